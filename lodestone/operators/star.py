@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
-from functools import cached_property
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone.functions.calendar import calendar_columns, date_key, date_of_key
-from lodestone.sources.base import load_base, optional
+from lodestone.sources.base import optional, read_raw
 from lodestone.sources.versions import latest_version
 
 STAR_TABLES = ("fact_orders", "dim_customer", "dim_product", "dim_date", "dim_region", "dim_supplier")
@@ -134,22 +135,24 @@ def build_fact_orders(lineitem: DataFrame, orders: DataFrame, keep_dates: bool =
 class Warehouse:
     """The six governed tables, derived from raw files or read from a written warehouse."""
 
-    def __init__(self, tables: dict, dated_fact: DataFrame | None = None):
-        self._tables = tables
-        self._dated_fact = tables["fact_orders"] if dated_fact is None else dated_fact
+    def __init__(self, plans: dict[str, Callable[[], DataFrame]]):
+        """``plans`` make each table on first use, so a query touches only the files it needs."""
+        self._plans = plans
+        self._tables: dict[str, DataFrame] = {}
 
     @classmethod
     def derive(cls, spark: SparkSession, raw_dir: str) -> Warehouse:
         """Star tables as plans over the raw files; nothing runs until a query does."""
-        raw = load_base(spark, raw_dir)
+        raw = partial(read_raw, spark, raw_dir)
         return cls({
-            "fact_orders": build_fact_orders(raw["lineitem"], raw["orders"]),
-            "dim_customer": build_dim_customer(raw["customer"]),
-            "dim_product": build_dim_product(raw["part"]),
-            "dim_date": build_dim_date(raw["orders"], raw["lineitem"]),
-            "dim_region": build_dim_region(raw["nation"], raw["region"]),
-            "dim_supplier": build_dim_supplier(raw["supplier"]),
-        }, build_fact_orders(raw["lineitem"], raw["orders"], keep_dates=True))
+            "fact_orders": lambda: build_fact_orders(raw("lineitem"), raw("orders")),
+            "dated_fact": lambda: build_fact_orders(raw("lineitem"), raw("orders"), keep_dates=True),
+            "dim_customer": lambda: build_dim_customer(raw("customer")),
+            "dim_product": lambda: build_dim_product(raw("part")),
+            "dim_date": lambda: build_dim_date(raw("orders"), raw("lineitem")),
+            "dim_region": lambda: build_dim_region(raw("nation"), raw("region")),
+            "dim_supplier": lambda: build_dim_supplier(raw("supplier")),
+        })
 
     @classmethod
     def open(cls, spark: SparkSession, root: str) -> Warehouse:
@@ -157,35 +160,45 @@ class Warehouse:
         version = latest_version(spark, root)
         if version is None:
             raise FileNotFoundError(f"no complete warehouse version under {root}")
-        return cls({name: spark.read.parquet(f"{version}/{name}") for name in STAR_TABLES})
+        return cls({name: partial(spark.read.parquet, f"{version}/{name}") for name in STAR_TABLES})
+
+    @classmethod
+    def of(cls, tables: dict[str, DataFrame]) -> Warehouse:
+        return cls({name: (lambda df=df: df) for name, df in tables.items()})
 
     def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._tables:
+            self._tables[name] = self._plans[name]()
         return self._tables[name]
 
     def items(self):
-        return [(name, self._tables[name]) for name in STAR_TABLES]
+        return [(name, self[name]) for name in STAR_TABLES]
+
+    @property
+    def _dated_fact(self) -> DataFrame:
+        return self["dated_fact" if "dated_fact" in self._plans else "fact_orders"]
 
-    @cached_property
+    @property
     def fact(self) -> DataFrame:
         return self["fact_orders"]
 
-    @cached_property
+    @property
     def customer(self) -> DataFrame:
         return self["dim_customer"]
 
-    @cached_property
+    @property
     def product(self) -> DataFrame:
         return self["dim_product"]
 
-    @cached_property
+    @property
     def supplier(self) -> DataFrame:
         return self["dim_supplier"]
 
-    @cached_property
+    @property
     def region(self) -> DataFrame:
         return self["dim_region"]
 
-    @cached_property
+    @property
     def calendar(self) -> DataFrame:
         return self["dim_date"]
 

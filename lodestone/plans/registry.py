@@ -2,17 +2,30 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lodestone.functions.errors import retry_after_seconds, wait_seconds
 from lodestone.functions.portable import json_safe
-from lodestone.operators import metrics, quality, star
+from lodestone.functions.statements import rejection, sql_of_reply
+from lodestone.functions.text import tokenize
+from lodestone.functions.vectors import as_double, dot, unit
+from lodestone.operators import answers, evaluation, guard, metrics, monitoring, quality, search, star
+from lodestone.operators.bm25 import bm25_scores
+from lodestone.operators.percentiles import nearest_rank
 from lodestone.operators.star import Warehouse
-from lodestone.plans import golden
-from lodestone.sources.base import load_base, read_raw
+from lodestone.operators.upsert import merge
+from lodestone.plans import derived, golden
+from lodestone.plans.telemetry import run_telemetry
+from lodestone.session import scratch_path
+from lodestone.sources import eventlog
+from lodestone.sources.base import load_base
+from lodestone.sources.versions import latest_version, mark_complete, next_version
+from lodestone.streaming.ingest import ingest_new_files, read_ingested
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -95,5 +108,459 @@ def golden_queries() -> dict[str, Query]:
     return {key: on_star(query) for key, query in named.items()}
 
 
+def telemetry_queries() -> dict[str, Query]:
+    def written_log(spark, path):
+        """The whole log as files, written once per application."""
+        root = scratch_path(spark, "log/" + path.strip("/").replace("/", "-"))
+        if latest_version(spark, root) is None:
+            folder = next_version(spark, root)
+            eventlog.append_events(eventlog.trace_events(derived.log_traces(spark, path)), f"{folder}/events")
+            eventlog.append_feedback(
+                eventlog.feedback_events(derived.log_feedback(spark, path)), f"{folder}/events")
+            mark_complete(spark, folder)
+        return f"{latest_version(spark, root)}/events"
+
+    def logged(spark, path):
+        return eventlog.read_log(spark, written_log(spark, path))
+
+    def event_counts(spark, path):
+        return logged(spark, path).groupBy("event_type").agg(
+            F.count("*").alias("events"), F.count_distinct("query_id").alias("queries"),
+            F.min("timestamp").alias("first"), F.max("timestamp").alias("last"))
+
+    def votes(spark, path):
+        kind = F.col("event_type")
+        cast = derived.events(spark, path).select(
+            F.when(kind == "click", "up").when(kind == "signup", "down").when(kind == "view", kind).alias("vote"))
+        valid, rejected = eventlog.split_votes(cast)
+        return valid.withColumn("accepted", F.lit(True)).unionByName(
+            rejected.withColumn("accepted", F.lit(False))
+        ).groupBy("accepted", F.coalesce("vote", F.lit("none")).alias("vote")).agg(
+            F.count("*").alias("rows"))
+
+    def merged_traces(spark, path):
+        """The log without purchases, then a load of purchases and of corrected errors."""
+        log = eventlog.flatten_usage(eventlog.trace_events(derived.log_traces(spark, path)))
+        purchase = F.col("question").contains("purchase")
+        loaded = log.where(~purchase)
+        load = log.where(purchase | ~F.col("succeeded")).withColumn(
+            "attempt_count", F.col("attempt_count") + 1)
+        once = merge(loaded, load, "query_id")
+        return merge(once, load, "query_id").drop("event_type")
+
+    def latest_votes(spark, path):
+        votes = eventlog.feedback_events(derived.log_feedback(spark, path))
+        return merge(None, votes, "query_id").select("query_id", "timestamp", "vote")
+
+    def both(tables):
+        columns = ("query_id", "timestamp")
+        return tables["traces"].select(F.lit("traces").alias("table_name"), *columns, "model").unionByName(
+            tables["feedback"].select(F.lit("feedback").alias("table_name"), *columns, F.col("vote").alias("model")))
+
+    def pipeline_twice(spark, path):
+        root = scratch_path(spark, f"telemetry/{uuid.uuid4()}")
+        log = written_log(spark, path)
+        run_telemetry(spark, log, root)
+        return both(run_telemetry(spark, log, root))
+
+    def incremental(spark, path):
+        root = scratch_path(spark, f"stream/{uuid.uuid4()}")
+        log = written_log(spark, path)
+        for _ in range(2):
+            ingest_new_files(spark, log, root).awaitTermination()
+        return both({name: read_ingested(spark, root, name) for name in ("traces", "feedback")})
+
+    plain = {
+        "T1_append_log": event_counts,
+        "T2_vote_domain": votes,
+        "T3_read_feedback": lambda spark, path: eventlog.feedback_of(logged(spark, path)),
+        "T4_flat_traces": lambda spark, path: eventlog.traces_of(logged(spark, path)),
+        "T6_merge_traces": merged_traces,
+        "T7_merge_feedback": latest_votes,
+        "T8_pipeline": pipeline_twice,
+        "T9_incremental": incremental,
+    }
+    return {key: (lambda spark, path, q=q: json_safe(q(spark, path))) for key, q in plain.items()}
+
+
+def monitoring_queries() -> dict[str, Query]:
+    def enriched(spark, path):
+        log = eventlog.trace_events(derived.log_traces(spark, path))
+        return monitoring.enriched_traces(eventlog.flatten_usage(log))
+
+    def rounded(df, *columns):
+        return df.withColumns({c: F.round(c, 9) for c in columns})
+
+    def summary(spark, path):
+        votes = merge(None, eventlog.feedback_events(derived.log_feedback(spark, path)), "query_id")
+        return rounded(monitoring.summary(enriched(spark, path), votes), "total_cost_usd")
+
+    plain = {
+        "M1_enriched": lambda spark, path: enriched(spark, path).select(
+            "query_id", "date", "category", "usage__prompt_tokens", "usage__completion_tokens", "cost_usd"),
+        "M2_cost_by_model": lambda spark, path: rounded(
+            enriched(spark, path).groupBy("model").agg(F.sum("cost_usd").alias("cost_usd")), "cost_usd"),
+        "M3_latency": lambda spark, path: nearest_rank(
+            enriched(spark, path), "latency_seconds", {"p50": 0.5, "p95": 0.95}),
+        "M4_categories": lambda spark, path: enriched(spark, path).groupBy("error", "category").agg(
+            F.count("*").alias("n")).select(F.coalesce("error", F.lit("")).alias("error"), "category", "n"),
+        "M5_summary": summary,
+        "M6_daily": lambda spark, path: rounded(
+            monitoring.daily_series(enriched(spark, path)), "avg_cost_usd"),
+        "M7_failures": lambda spark, path: monitoring.failure_categories(enriched(spark, path)),
+        "M8_trace_page": lambda spark, path: monitoring.trace_page(
+            enriched(spark, path), limit=100, offset=50),
+        "M8_trace_total": lambda spark, path: monitoring.trace_total(enriched(spark, path)),
+        "G11_over_quota": lambda spark, path: monitoring.over_quota(
+            enriched(spark, path), derived.PAID).select("query_id", "date"),
+    }
+    return {key: (lambda spark, path, q=q: json_safe(q(spark, path))) for key, q in plain.items()}
+
+
+GUARDED_SQL = """
+    SELECT r.region_name, d.year, COUNT(DISTINCT f.order_key) AS orders
+    FROM fact_orders f
+    JOIN dim_customer c ON f.customer_key = c.customer_key
+    JOIN dim_region r ON c.nation_key = r.nation_key
+    JOIN dim_date d ON f.order_date_key = d.date_key
+    GROUP BY r.region_name, d.year
+    ORDER BY r.region_name, d.year;
+"""
+
+METRIC_QUESTIONS = {
+    "total_revenue": "What share of revenue is the total?",
+    "order_count": "How many orders are there?",
+    "average_order_value": "What rate does a typical order reach?",
+    "repeat_customer_rate": "What is the repeat customer rate?",
+    "average_discount_rate": "Which fraction is discounted?",
+}
+
+
+def guard_queries() -> dict[str, Query]:
+    def classified(spark, path):
+        replies = derived.attempts(spark, path).select("question_id", "attempt_no", F.col("reply").alias("sql"))
+        as_written = guard.classify(replies).select("question_id", "attempt_no", "rejection", "allowed")
+        cleaned = guard.classify(replies.withColumn("sql", sql_of_reply(F.col("sql"))))
+        return as_written.join(
+            cleaned.select("question_id", "attempt_no", F.col("rejection").alias("clean_rejection")),
+            ["question_id", "attempt_no"]
+        ).withColumns({c: F.coalesce(c, F.lit("")) for c in ("rejection", "clean_rejection")})
+
+    def row_cap(w):
+        return guard.capped(w.fact).agg(F.count("*").alias("n")).select(
+            F.least("n", F.lit(guard.MAX_ROWS)).alias("row_count"),
+            (F.col("n") > guard.MAX_ROWS).alias("truncated"))
+
+    def guarded(spark, path):
+        own = guard.guarded_session(spark)
+        Warehouse.derive(own, path).register_views(own)
+        return guard.plan_guarded(own, GUARDED_SQL)
+
+    def plausible(w):
+        checks = [
+            answers.plausibility(F.lit(question), json_safe(metrics.metric(w, name)))
+            for name, question in METRIC_QUESTIONS.items()
+        ]
+        return reduce(DataFrame.unionByName, checks)
+
+    def plain_orders(raw):
+        return raw["orders"].select("o_orderkey", "o_totalprice", "o_orderdate")
+
+    def usage(spark, path):
+        attempts = derived.attempts(spark, path)
+        query = F.col("question_id").alias("query_id")
+        calls = attempts.where(F.col("api_error").isNull()).select(
+            query, F.col("total_tokens").alias("prompt_tokens"),
+            F.when(F.col("valid"), F.col("total_tokens")).alias("completion_tokens"), "total_tokens")
+        totals = evaluation.usage_totals(attempts.select(query).distinct(), calls)
+        return totals.select("query_id", *(
+            F.coalesce(c, F.lit(-1)).alias(c) for c in ("prompt_tokens", "completion_tokens", "total_tokens")))
+
+    def failures(spark, path):
+        attempts = derived.attempts(spark, path).withColumnRenamed("question_id", "query_id")
+        made = attempts.where(F.col("api_error").isNull())
+        texts = evaluation.failure_text(made, attempts.select("query_id").distinct())
+        return texts.select("query_id", F.coalesce("error", F.lit("")).alias("error"))
+
+    return {
+        "G1_classify": lambda spark, path: json_safe(classified(spark, path)),
+        "G2_row_cap": on_star(row_cap),
+        "G5_guarded_query": lambda spark, path: json_safe(guarded(spark, path)),
+        "G6_sql_of_reply": lambda spark, path: derived.attempts(spark, path).select(
+            "question_id", "attempt_no", sql_of_reply(F.col("reply")).alias("sql")),
+        "G7_plausibility": on_star(plausible),
+        "G8_json_safe": on_raw(plain_orders),
+        "G12_usage_totals": usage,
+        "G13_failure_text": failures,
+    }
+
+
+REPLY_ORDERS = ("3, 1, 2", "no idea", "9, 1, 1, 2", "Best: 8 then 4 then 12345678901234567890")
+
+
+def retrieval_queries() -> dict[str, Query]:
+    def parts(spark, path):
+        return (derived.index(spark, path), derived.questions(spark, path),
+                derived.vectors(spark, path, "query_id"))
+
+    def tokens(spark, path):
+        words = tokenize(F.col("text"))
+        return derived.corpus(spark, path).select(
+            "doc_id", F.size(words).alias("tokens"), F.md5(F.array_join(words, " ")).alias("digest"))
+
+    def terms(spark, path):
+        return derived.index(spark, path).rated_terms.withColumn("idf", F.round("idf", 6))
+
+    def corpus_row(spark, path):
+        return derived.index(spark, path).corpus.select(
+            "n", F.round("mean_length", 6).alias("mean_length"), F.round("mean_idf", 6).alias("mean_idf"))
+
+    def stored(spark, path):
+        index = derived.index(spark, path)
+        return index.postings.agg(
+            F.count("*").alias("postings"), F.sum("tf").alias("tokens"),
+            F.count_distinct("term").alias("terms"), F.max("tf").cast("bigint").alias("most"))
+
+    def score_totals(spark, path):
+        index, asked, _ = parts(spark, path)
+        return bm25_scores(index, asked).groupBy("query_id").agg(
+            F.count("*").alias("matched"), F.round(F.sum("score"), 4).alias("total"),
+            F.round(F.max("score"), 6).alias("best"))
+
+    def units(spark, path):
+        made = derived.vectors(spark, path, "doc_id").select(
+            "doc_id", unit(as_double(F.col("vector"))).alias("u"))
+        total = F.aggregate("u", F.lit(0.0), lambda a, x: a + x)
+        return made.select("doc_id", F.round(dot(F.col("u"), F.col("u")), 6).alias("length"),
+                           F.round(total, 6).alias("total"))
+
+    def ranges(spark, path):
+        index, asked, vectors = parts(spark, path)
+        found = search.score_ranges(index, asked, vectors)
+        return found.select("query_id", *(F.round(c, 6).alias(c) for c in ("v_low", "v_high", "k_low", "k_high")))
+
+    def declarative(spark, path):
+        index, asked, _ = parts(spark, path)
+        rounded = bm25_scores(index, asked).withColumn("score", F.round("score", 6))
+        return search.top_k(rounded, 5)
+
+    def found(method, k=5, with_vectors=True):
+        def run(spark, path):
+            index, asked, vectors = parts(spark, path)
+            return search.search(index, asked, method, k, vectors if with_vectors else None)
+        return run
+
+    def reranked(spark, path):
+        index, asked, vectors = parts(spark, path)
+        candidates = search.keyword_search(index, asked, 8)
+        return search.rerank(
+            search.with_vectors(candidates, index, vectors), search.cosine_of_candidates(), 4
+        ).select("query_id", "doc_id", "score", "rank")
+
+    def reordered(spark, path):
+        index, asked, _ = parts(spark, path)
+        replies = asked.select("query_id", derived.one_of(REPLY_ORDERS, F.col("query_id")).alias("reply"))
+        return search.apply_reply_order(search.keyword_search(index, asked, 8), replies, 5)
+
+    def schema_search(spark, path):
+        index, asked, vectors = parts(spark, path)
+        return search.search_schema(index, derived.corpus(spark, path), asked, vectors)
+
+    def contexts(spark, path):
+        blocks = search.context_blocks(schema_search(spark, path))
+        return blocks.select("query_id", F.length("context").alias("characters"), F.md5("context").alias("digest"))
+
+    return {
+        "R1_tokenize": tokens,
+        "R2_terms": terms,
+        "R2_corpus": corpus_row,
+        "R3_stored_index": stored,
+        "R4_bm25_scores": score_totals,
+        "R5_unit_vectors": units,
+        "R7_score_ranges": ranges,
+        "R8_top_k": declarative,
+        "R9_keyword_search": found("keyword"),
+        "R10_vector_search": found("vector"),
+        "R11_hybrid_search": found("hybrid"),
+        "R12_no_vectors": found("hybrid", with_vectors=False),
+        "R13_rerank": reranked,
+        "R14_reply_order": reordered,
+        "R15_search_schema": schema_search,
+        "R16_context": contexts,
+    }
+
+
+def evaluation_queries() -> dict[str, Query]:
+    def asked_with_vectors(spark, path):
+        return (derived.index(spark, path), derived.questions(spark, path),
+                derived.vectors(spark, path, "query_id"))
+
+    def methods(spark, path):
+        index, asked, vectors = asked_with_vectors(spark, path)
+        wide = search.hybrid_search(index, asked, vectors, 8)
+        return {
+            "Keyword only": search.keyword_search(index, asked, 5),
+            "Vector only": search.vector_search(index, asked, vectors, 5),
+            "Hybrid": wide.where(F.col("rank") <= 5),
+            "Hybrid + rerank": search.rerank(
+                search.with_vectors(wide, index, vectors), search.cosine_of_candidates(), 5
+            ).select(*wide.columns),
+        }
+
+    def hits(spark, path):
+        index, asked, _ = asked_with_vectors(spark, path)
+        ranked = search.keyword_search(index, asked, 5)
+        scored = evaluation.hit_and_reciprocal_rank(
+            asked.select("query_id", "tier"), ranked, derived.quoted_by(ranked, spark, path))
+        return scored
+
+    def compared(spark, path):
+        ranked = methods(spark, path)
+        pairs = reduce(DataFrame.unionByName, [r.select("query_id", "doc_id") for r in ranked.values()])
+        return evaluation.evaluate_methods(
+            derived.questions(spark, path), ranked, derived.quoted_by(pairs, spark, path))
+
+    def rates(spark, path):
+        return compared(spark, path).select(
+            "method", "tier", "questions", F.round("hit_rate", 9).alias("hit_rate"), F.round("mrr", 9).alias("mrr"))
+
+    def best(spark, path):
+        overall = compared(spark, path).where(F.col("tier") == evaluation.ALL_TIERS)
+        return evaluation.winner(overall, "hit_rate", "mrr").withColumn("mrr", F.round("mrr", 9))
+
+    def matches(raw):
+        """Per customer: do the large orders by status tell the same as all orders?"""
+        orders = raw["orders"].withColumnRenamed("o_custkey", "question_id")
+
+        def by_status(df):
+            return df.groupBy("question_id", "o_orderstatus").agg(F.count("*").alias("n"))
+
+        return evaluation.match_per_question(
+            orders.select("question_id").distinct(), by_status(orders.where("o_totalprice >= 20000")),
+            by_status(orders))
+
+    def executed(spark, path):
+        return derived.attempts(spark, path).select(
+            "question_id", "attempt_no", "tier", "model", "condition", "total_tokens",
+            sql_of_reply(F.col("reply")).alias("sql"), "api_error", F.col("error").alias("run_error"),
+            F.col("correct").alias("matched"))
+
+    def scored(spark, path):
+        return evaluation.outcomes(executed(spark, path)).select(
+            "question_id", "attempt_no", "sql", "correct", F.coalesce("error", F.lit("")).alias("error"))
+
+    def summary(spark, path):
+        return evaluation.outcome_summary(evaluation.outcomes(executed(spark, path)), "model", "condition")
+
+    def waits(spark, path):
+        message = derived.one_of(derived.WAITS, F.col("event_id"))
+        return derived.events(spark, path).select(
+            "event_id", retry_after_seconds(message).alias("hint"), wait_seconds(message).alias("wait"))
+
+    def kept(spark, path):
+        return evaluation.kept_attempts(derived.attempts(spark, path))
+
+    def finals(spark, path):
+        return evaluation.final_attempts(kept(spark, path)).select(
+            "question_id", "attempt_no", "attempt_count", "succeeded")
+
+    def retried(spark, path):
+        return evaluation.retry_outcomes(kept(spark, path))
+
+    def retried_plain(spark, path):
+        return retried(spark, path).withColumn("final_error", F.coalesce("final_error", F.lit("")))
+
+    def ablated(spark, path):
+        tagged = evaluation.outcomes(executed(spark, path))
+        current = evaluation.ablation(tagged.where(F.col("attempt_no") == 2))
+        earlier = evaluation.ablation(tagged.where(F.col("attempt_no") == 1))
+        return evaluation.compare_runs(current, earlier).withColumn("change", F.round("change", 9))
+
+    def tagged(spark, path):
+        """Outcome records of both conditions, written and read back."""
+        root = scratch_path(spark, f"outcomes/{uuid.uuid4()}")
+        plain = evaluation.outcomes(executed(spark, path).drop("model", "condition"))
+        first = evaluation.tag_outcomes(plain.where("attempt_no = 1"), derived.LOCAL, "retrieval disabled")
+        second = evaluation.tag_outcomes(plain.where("attempt_no = 2"), derived.PAID, "retrieval enabled")
+        records = first.unionByName(second)
+        records.write.json(root)
+        return spark.read.schema(records.schema).json(root).groupBy("model", "condition", "correct").agg(
+            F.count("*").alias("n"), F.sum("total_tokens").alias("total_tokens"))
+
+    def assembled(spark, path):
+        traces = evaluation.assemble_traces(derived.attempts(spark, path))
+        return traces.select(
+            "question_id", "tier", F.size("attempts").alias("attempts"),
+            F.array_join(F.transform("attempts", lambda a: a["reply"]), "|").alias("replies"))
+
+    def failing(spark, path):
+        attempts = kept(spark, path)
+        wrong = retried(spark, path).where(~F.col("retry_correct"))
+        return evaluation.select_questions(attempts, wrong).select("question_id", "attempt_no", "tier")
+
+    def verdicts(spark, path):
+        attempts = derived.attempts(spark, path).withColumns({
+            "sql": sql_of_reply(F.col("reply")), "verdict": F.col("reason"), "plausible": F.col("valid")})
+        stopped = attempts.withColumn("error", F.coalesce(rejection(F.col("sql")), F.col("error")))
+        return evaluation.attempt_verdicts(stopped).select(
+            "question_id", "attempt_no", "valid", "reason", F.coalesce("error", F.lit("")).alias("error"))
+
+    def told(spark, path):
+        return evaluation.attempt_feedback(derived.attempts(spark, path)).select(
+            "question_id", "attempt_no", F.coalesce("feedback", F.lit("")).alias("feedback"))
+
+    def answer_log(spark, path):
+        """Answered questions as trace rows, appended to a log and read back."""
+        root = scratch_path(spark, f"answers/{uuid.uuid4()}")
+        attempts = kept(spark, path).withColumn("query_id", F.col("question_id").cast("string"))
+        eventlog.append_events(eventlog.trace_events(answered(attempts)), root)
+        return eventlog.traces_of(eventlog.read_log(spark, root)).select(
+            "query_id", "succeeded", "attempt_count", F.coalesce("error", F.lit("")).alias("error"),
+            "sql", "usage__total_tokens")
+
+    return {
+        "E2_hits": hits,
+        "E3_rates_by_method_and_tier": rates,
+        "E5_winner": best,
+        "E6_match_per_question": on_raw(matches),
+        "E8_outcomes": scored,
+        "E9_summary": summary,
+        "E10_waits": waits,
+        "E11_final_attempts": finals,
+        "E12_retry_outcomes": retried_plain,
+        "E13_retry_summary": lambda spark, path: evaluation.retry_summary(retried(spark, path)).withColumn(
+            "lift", F.round("lift", 9)),
+        "E14_ablation": ablated,
+        "E15_tagged_outcomes": tagged,
+        "E16_assembled_traces": assembled,
+        "E17_failing_questions": failing,
+        "A2_verdicts": verdicts,
+        "A3_feedback": told,
+        "A4_kept_attempts": lambda spark, path: kept(spark, path).select("question_id", "attempt_no", "valid"),
+        "A5_answer_log": answer_log,
+    }
+
+
+def answered(attempts: DataFrame) -> DataFrame:
+    """Trace rows of answered questions: last statement, outcome, attempts, tokens, error."""
+    requests = attempts.groupBy("query_id").agg(
+        F.max("valid_from").alias("timestamp") if "valid_from" in attempts.columns
+        else F.lit("1970-01-01").cast("timestamp").alias("timestamp"),
+        F.max_by(sql_of_reply(F.col("reply")), "attempt_no").alias("sql"),
+        F.max_by("valid", "attempt_no").alias("succeeded"),
+        F.count("*").alias("attempt_count"),
+    )
+    calls = attempts.select("query_id", F.lit(0).cast("bigint").alias("prompt_tokens"),
+                            F.lit(0).cast("bigint").alias("completion_tokens"), "total_tokens")
+    return (
+        requests.join(evaluation.failure_text(attempts, requests), "query_id")
+        .join(evaluation.usage_totals(requests, calls), "query_id")
+        .withColumn("usage", F.struct("prompt_tokens", "completion_tokens", "total_tokens"))
+    )
+
+
 def all_queries() -> dict[str, Query]:
-    return {**warehouse_queries(), **metric_queries(), **golden_queries()}
+    return {
+        **warehouse_queries(), **metric_queries(), **golden_queries(), **telemetry_queries(),
+        **monitoring_queries(), **guard_queries(), **retrieval_queries(), **evaluation_queries(),
+    }

@@ -42,7 +42,9 @@ def main() -> int:
     from lodestone.session import build_session
 
     path, prefixes = sys.argv[1], tuple(sys.argv[2:])
-    spark = build_session(master="local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"})
+    spark = build_session(master="local[8]", **{
+        "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false",
+    })
     spark.sparkContext.setLogLevel("ERROR")
     con, sqls, bad = oracle_connection(path), oracle_sql(), 0
     for key, query in queries().items():
