@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodestone.functions.portable import json_safe
+from lodestone.operators.guard import QueryResult
 
 TIERS = (1, 2, 3)
 ALL_TIERS = "all"
@@ -110,12 +111,10 @@ def match_per_question(questions: DataFrame, actual: DataFrame, expected: DataFr
     ).select("question_id", F.col("wrong").isNull().alias("correct"))
 
 
-def rows_in_order(df: DataFrame, expected: DataFrame, order: list[Column]) -> bool:
-    """Ordered equality: both sides carry ``row_no``, their place in the declared order."""
-    from pyspark.sql import Window
-
-    numbered = df.withColumn("row_no", F.row_number().over(Window.orderBy(*order)))
-    return results_match(numbered, expected)
+def matches_recorded(result: QueryResult, recorded: list[list]) -> bool:
+    """Same rows in the same order, as a golden question records them. A guarded
+    result has a bounded number of rows, so this compares plain lists."""
+    return [list(row) for row in result.rows] == [list(row) for row in recorded]
 
 
 API_ERROR = "API error"

@@ -11,6 +11,7 @@ from pyspark import InheritableThread
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lodestone.functions.portable import json_safe
 from lodestone.functions.statements import rejection
 from lodestone.operators.star import STAR_TABLES
 
@@ -87,7 +88,7 @@ def run_guarded(
 ) -> QueryResult:
     """Run a guarded statement. After the timeout its jobs are cancelled and the
     caller gets control back at once; the session stays usable. Engine errors
-    reach the caller unchanged."""
+    reach the caller unchanged. Values come as JSON takes them."""
     context = spark.sparkContext
     group = f"guarded-{uuid.uuid4()}"
     outcome: dict = {}
@@ -96,7 +97,7 @@ def run_guarded(
     def work() -> None:
         try:
             context.setJobGroup(group, "guarded query", interruptOnCancel=True)
-            df = plan_guarded(spark, sql, max_rows)
+            df = json_safe(plan_guarded(spark, sql, max_rows))
             outcome["rows"] = [tuple(r) for r in df.collect()]
             outcome["columns"] = df.columns
         except Exception as error:  # handed to the caller below

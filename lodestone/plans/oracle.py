@@ -463,16 +463,18 @@ def tries(sql: str, *more: str) -> str:
 def guard_oracles() -> dict[str, str]:
     outside = "Question asks for a rate/share, but the result falls outside [0, 1]."
     fine = "Result looks plausible."
-    verdicts = " UNION ALL ".join(
-        f"SELECT '{q}' AS question, {'false' if r == outside else 'true'} AS plausible, '{r}' AS reason"
-        for q, r in (
-            ("What share of revenue is the total?", outside),
-            ("How many orders are there?", fine),
-            ("What rate does a typical order reach?", outside),
-            ("What is the repeat customer rate?", fine),
-            ("Which fraction is discounted?", fine),
-        )
+    asked = (
+        ("What share of revenue is the total?", "SELECT CAST(SUM(net_revenue) AS DOUBLE) FROM fact_orders"),
+        ("What rate does a typical order reach?", f"SELECT {AOV} FROM fact_orders"),
+        ("What is the repeat customer rate?", REPEAT),
+        ("Which fraction is discounted?", "SELECT CAST(AVG(discount) AS DOUBLE) FROM fact_orders"),
     )
+    rates = " UNION ALL ".join(f"SELECT '{q}' AS question, ({sql}) AS value, true AS is_rate" for q, sql in asked)
+    verdicts = star(f"""
+        SELECT question, NOT (is_rate AND value NOT BETWEEN 0 AND 1) AS plausible,
+               CASE WHEN is_rate AND value NOT BETWEEN 0 AND 1 THEN '{outside}' ELSE '{fine}' END AS reason
+        FROM ({rates} UNION ALL
+              SELECT 'How many orders are there?', COUNT(DISTINCT order_key), false FROM fact_orders)""")
     return {
         "G1_classify": tries(f"""
             SELECT question_id, attempt_no, {refusal('reply')} AS rejection, {refusal('reply')} = '' AS allowed,
