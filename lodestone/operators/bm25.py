@@ -70,9 +70,7 @@ class Index:
     @property
     def rated_terms(self) -> DataFrame:
         """(term, df, idf); a term in most documents gets a share of the mean instead."""
-        raw = plain_idf(self.corpus.select("n").scalar(), F.col("df"))
-        floor = self.corpus.select("mean_idf").scalar() * EPSILON
-        return self.terms.select("term", "df", F.when(raw < 0, floor).otherwise(raw).alias("idf"))
+        return rate(self.terms, self.corpus.select("n").scalar(), self.corpus.select("mean_idf").scalar())
 
     def write(self, root: str) -> Index:
         """Store a new version and return the index read back from it. Each table
@@ -102,6 +100,11 @@ def plain_idf(n: Column, df: Column) -> Column:
     return F.log(n - df + 0.5) - F.log(df + 0.5)
 
 
+def rate(terms: DataFrame, n: Column, mean_idf: Column) -> DataFrame:
+    raw = plain_idf(n, F.col("df"))
+    return terms.select("term", "df", F.when(raw < 0, mean_idf * EPSILON).otherwise(raw).alias("idf"))
+
+
 def document_frequencies(documents: DataFrame) -> DataFrame:
     words = documents.select(F.explode("terms").alias("term"))
     return words.groupBy("term").agg(F.count("*").alias("df"))
@@ -130,13 +133,13 @@ def build_index(documents: DataFrame, vectors: DataFrame | None = None) -> Index
     return Index(rows, terms, corpus_totals(rows, terms))
 
 
-def query_weights(index: Index, queries: DataFrame) -> DataFrame:
+def query_weights(queries: DataFrame, rated_terms: DataFrame) -> DataFrame:
     """(query_id, term, weight): how often the query has the term, times its idf."""
     counted = (
         queries.select("query_id", F.explode(tokenize(F.col("text"))).alias("term"))
         .groupBy("query_id", "term").agg(F.count("*").alias("qf"))
     )
-    return counted.join(index.rated_terms, "term").select(
+    return counted.join(rated_terms, "term").select(
         "query_id", "term", (F.col("qf") * F.col("idf")).alias("weight")
     )
 
@@ -152,6 +155,6 @@ def bm25_scores(index: Index, queries: DataFrame) -> DataFrame:
         F.col("tf") + K1 * (1 - B + B * F.col("length") / mean_length)
     )
     return (
-        index.postings.join(query_weights(index, queries), "term")
+        index.postings.join(query_weights(queries, index.rated_terms), "term")
         .groupBy("query_id", "doc_id").agg(F.sum(F.col("weight") * saturation).alias("score"))
     )

@@ -221,12 +221,14 @@ def tag_outcomes(scored: DataFrame, model: str, condition: str) -> DataFrame:
 def assemble_traces(attempts: DataFrame, max_attempts: int = MAX_ATTEMPTS) -> DataFrame:
     """One row per question with its attempts nested in order.
 
-    Only numbers up to ``max_attempts`` exist per question, so a list is short.
+    Each attempt number is an aggregate of its own, so a row holds at most
+    ``max_attempts`` whatever the input repeats, and combines before the shuffle.
     """
-    rest = [c for c in attempts.columns if c not in ("question_id", "tier", "attempt_no")]
+    rest = [c for c in attempts.columns if c not in ("question_id", "tier")]
+    row = F.struct("attempt_no", *(c for c in rest if c != "attempt_no"))
+    numbered = [F.max(F.when(F.col("attempt_no") == n, row)) for n in range(1, max_attempts + 1)]
     return kept_attempts(attempts, max_attempts).groupBy("question_id", "tier").agg(
-        F.sort_array(F.collect_list(F.struct("attempt_no", *rest))).alias("attempts")
-    )
+        F.array_compact(F.array(*numbered)).alias("attempts"))
 
 
 def select_questions(df: DataFrame, chosen: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from lodestone.functions.portable import json_safe
 from lodestone.functions.statements import rejection
 from lodestone.operators.star import STAR_TABLES
+from lodestone.session import tune
 
 MAX_ROWS = 1000
 TIMEOUT_SECONDS = 10.0
@@ -117,7 +118,6 @@ def run_guarded(
 
 def guarded_session(spark: SparkSession) -> SparkSession:
     """A session of its own for guarded queries, where unbounded products do not plan."""
-    own = spark.newSession()
+    own = tune(spark.newSession())
     own.conf.set("spark.sql.crossJoin.enabled", "false")
-    own.conf.set("spark.sql.session.timeZone", "UTC")
     return own

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import cached_property, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -11,12 +11,18 @@ from pyspark.sql import functions as F
 
 from lodestone.functions.vectors import as_double, dot, unit
 from lodestone.operators import scoring
-from lodestone.operators.bm25 import B, K1, Index, query_weights
+from lodestone.operators.bm25 import B, K1, Index, query_weights, rate
 
 # A block of queries goes to the tasks whole. Each has at most this many queries;
 # more queries mean more blocks, each with its own pass over the index.
 QUERIES_PER_PASS = 256
 
+SCORED_COLUMNS = {
+    "keyword": ("length", "terms", "counts"),
+    "vector": ("vector",),
+    "hybrid": ("length", "terms", "counts", "vector"),
+}
+
 SCORES = "query_id {query}, doc_id {doc}, score double"
 RANGES = "query_id {query}, v_low double, v_high double, k_low double, k_high double"
 
@@ -40,7 +46,7 @@ def load_block(index: Index, queries: DataFrame, vectors: DataFrame | None) -> s
         units = vectors.select("query_id", as_double(F.col("vector")).alias("v")).select(
             "query_id", unit(F.col("v")).alias("unit"))
         found = found.join(units, "query_id", "left")
-    asked = found.orderBy("query_id").toArrow()
+    asked = found.toArrow().sort_by("query_id")
     query_ids = asked["query_id"].combine_chunks()
     if len(query_ids) > QUERIES_PER_PASS:
         raise ValueError(f"a block of {len(query_ids)} queries is over the bound of {QUERIES_PER_PASS}")
@@ -48,7 +54,9 @@ def load_block(index: Index, queries: DataFrame, vectors: DataFrame | None) -> s
     dims = max((len(u) for u in units if u is not None), default=0)
     matrix = np.array([u if u is not None else [0.0] * dims for u in units]).reshape(len(units), dims)
 
-    weights = query_weights(index, queries).orderBy("term", "query_id").toArrow()
+    totals = index.corpus.first()
+    rated = rate(index.terms, F.lit(totals.n), F.lit(totals.mean_idf).cast("double"))
+    weights = query_weights(queries, rated).toArrow().sort_by([("term", "ascending"), ("query_id", "ascending")])
     terms = weights["term"].combine_chunks()
     vocabulary = terms.unique()
     slots = pa.compute.index_in(terms, value_set=vocabulary).to_numpy()
@@ -61,59 +69,80 @@ def load_block(index: Index, queries: DataFrame, vectors: DataFrame | None) -> s
         vectors=matrix,
         k1=K1,
         b=B,
-        mean_length=index.corpus.first().mean_length or 1.0,
+        mean_length=totals.mean_length or 1.0,
     )
 
 
-def _typed(schema: str, index: Index, queries: DataFrame) -> str:
-    return schema.format(
-        query=queries.schema["query_id"].dataType.simpleString(),
-        doc=index.documents.schema["doc_id"].dataType.simpleString(),
-    )
-
-
-def _block_ranges(index: Index, queries: DataFrame, block: scoring.QueryBlock) -> DataFrame:
-    rows = index.documents.mapInArrow(scoring.ranges_in_batches(block), _typed(RANGES, index, queries))
-    return rows.groupBy("query_id").agg(
-        F.min("v_low").alias("v_low"), F.max("v_high").alias("v_high"),
-        F.min("k_low").alias("k_low"), F.max("k_high").alias("k_high"),
-    )
-
-
-def score_ranges(index: Index, queries: DataFrame, vectors: DataFrame | None = None) -> DataFrame:
-    """Per query the smallest and largest vector and keyword score over all documents."""
-    parts = []
-    for part in query_blocks(queries):
-        parts.append(_block_ranges(index, part, load_block(index, part, vectors)))
-    return reduce(DataFrame.unionByName, parts)
-
-
-def search(
-    index: Index, queries: DataFrame, method: str, k: int = 5,
-    vectors: DataFrame | None = None, alpha: float = 0.5,
-) -> DataFrame:
-    """(query_id, doc_id, score, rank): the ``k`` best of all documents per query.
-
-    ``method`` is ``keyword``, ``vector`` or ``hybrid``, the last being
-    ``alpha`` times the vector score plus the rest times the keyword score,
-    both stretched to [0, 1] over all documents. Documents without a match or
-    without a vector score 0 and still fill up to ``k``; with no vectors at
-    all, hybrid ranks by keyword alone. Scores are rounded, and equal scores
-    rank by document id.
-    """
-    parts = []
-    for part in query_blocks(queries):
-        block = load_block(index, part, vectors)
-        ranges = None
-        if method == "hybrid":
-            rows = _block_ranges(index, part, block).orderBy("query_id").toArrow()
-            ranges = [rows[c].to_numpy() for c in ("v_low", "v_high", "k_low", "k_high")]
-        if len(block.query_ids):
-            parts.append(index.documents.mapInArrow(
-                scoring.top_in_batches(block, method, k, alpha, ranges), _typed(SCORES, index, queries)))
-    if not parts:
-        return index.documents.sparkSession.createDataFrame([], _typed(SCORES, index, queries) + ", rank int")
-    return top_k(reduce(DataFrame.unionByName, parts), k)
+class Retriever:
+    """A batch of queries over an index. Query blocks and score ranges are made
+    once and serve every search."""
+
+    def __init__(self, index: Index, queries: DataFrame, vectors: DataFrame | None = None):
+        self.index, self.queries, self.vectors = index, queries, vectors
+
+    @cached_property
+    def _blocks(self) -> list[scoring.QueryBlock]:
+        blocks = [load_block(self.index, part, self.vectors) for part in query_blocks(self.queries)]
+        return [block for block in blocks if len(block.query_ids)]
+
+    def _typed(self, schema: str) -> str:
+        return schema.format(
+            query=self.queries.schema["query_id"].dataType.simpleString(),
+            doc=self.index.documents.schema["doc_id"].dataType.simpleString(),
+        )
+
+    def _over_index(self, tasks: list, schema: str, method: str = "hybrid") -> DataFrame:
+        """Each task function over all documents, reading only the columns the method scores."""
+        documents = self.index.documents.select("doc_id", *SCORED_COLUMNS[method])
+        if not tasks:
+            return documents.sparkSession.createDataFrame([], self._typed(schema))
+        return reduce(DataFrame.unionByName, [
+            documents.mapInArrow(task, self._typed(schema)) for task in tasks])
+
+    def score_ranges(self) -> DataFrame:
+        """Per query the smallest and largest vector and keyword score over all documents."""
+        rows = self._over_index([scoring.ranges_in_batches(b) for b in self._blocks], RANGES)
+        return rows.groupBy("query_id").agg(
+            F.min("v_low").alias("v_low"), F.max("v_high").alias("v_high"),
+            F.min("k_low").alias("k_low"), F.max("k_high").alias("k_high"),
+        )
+
+    @cached_property
+    def _ranges(self) -> list[list[np.ndarray]]:
+        """The ranges of each block, in the order of its queries."""
+        rows = self.score_ranges().toArrow()
+        ordered = []
+        for block in self._blocks:
+            place = pa.compute.index_in(block.query_ids, value_set=rows["query_id"].combine_chunks())
+            mine = rows.take(place) if rows.num_rows else rows
+            ordered.append([mine[c].to_numpy() for c in ("v_low", "v_high", "k_low", "k_high")])
+        return ordered
+
+    def search(self, method: str, k: int = 5, alpha: float = 0.5) -> DataFrame:
+        """(query_id, doc_id, score, rank): the ``k`` best of all documents per query.
+
+        ``method`` is ``keyword``, ``vector`` or ``hybrid``, the last being
+        ``alpha`` times the vector score plus the rest times the keyword score,
+        both stretched to [0, 1] over all documents. Documents without a match
+        or without a vector score 0 and still fill up to ``k``; with no vectors
+        at all, hybrid ranks by keyword alone. Scores are rounded, and equal
+        scores rank by document id.
+        """
+        ranges = self._ranges if method == "hybrid" else [None] * len(self._blocks)
+        tasks = [
+            scoring.top_in_batches(block, method, k, alpha, span)
+            for block, span in zip(self._blocks, ranges)
+        ]
+        return top_k(self._over_index(tasks, SCORES, method), k)
+
+    def keyword_search(self, k: int = 5) -> DataFrame:
+        return self.search("keyword", k)
+
+    def vector_search(self, k: int = 5) -> DataFrame:
+        return self.search("vector", k)
+
+    def hybrid_search(self, k: int = 5, alpha: float = 0.5) -> DataFrame:
+        return self.search("hybrid", k, alpha)
 
 
 def top_k(scores: DataFrame, k: int, *ties: Column | str) -> DataFrame:
@@ -122,20 +151,6 @@ def top_k(scores: DataFrame, k: int, *ties: Column | str) -> DataFrame:
     return scores.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def keyword_search(index: Index, queries: DataFrame, k: int = 5) -> DataFrame:
-    return search(index, queries, "keyword", k)
-
-
-def vector_search(index: Index, queries: DataFrame, vectors: DataFrame, k: int = 5) -> DataFrame:
-    return search(index, queries, "vector", k, vectors)
-
-
-def hybrid_search(
-    index: Index, queries: DataFrame, vectors: DataFrame | None, k: int = 5, alpha: float = 0.5
-) -> DataFrame:
-    return search(index, queries, "hybrid", k, vectors, alpha)
-
-
 def rerank(candidates: DataFrame, scorer: Column, k: int = 5) -> DataFrame:
     """The ``k`` best candidates by a joint score; equal scores keep their order.
 
@@ -191,10 +206,10 @@ def context_blocks(ranked: DataFrame) -> DataFrame:
 
 
 def search_schema(
-    index: Index, corpus: DataFrame, queries: DataFrame, vectors: DataFrame,
-    k_retrieve: int = 8, k_final: int = 4,
+    retriever: Retriever, corpus: DataFrame, k_retrieve: int = 8, k_final: int = 4
 ) -> DataFrame:
     """Hybrid candidates, reranked by cosine, with the columns of ``corpus``."""
-    candidates = hybrid_search(index, queries, vectors, k_retrieve)
-    best = rerank(with_vectors(candidates, index, vectors), cosine_of_candidates(), k_final)
+    candidates = retriever.hybrid_search(k_retrieve)
+    joined = with_vectors(candidates, retriever.index, retriever.vectors)
+    best = rerank(joined, cosine_of_candidates(), k_final)
     return best.select("query_id", "doc_id", "rank", "score").join(corpus, "doc_id")

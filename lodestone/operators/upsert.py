@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def latest_per_key(df: DataFrame, key: str, order: Column) -> DataFrame:
-    """One row per key, the one with the greatest ``order``.
+def latest_per_key(df: DataFrame, key: str, *order: str) -> DataFrame:
+    """One row per key, the one with the greatest ``order`` columns; full ties fall
+    to the greatest row content.
 
     An aggregate instead of a window: copies of a key collapse before the
     shuffle, so a key that holds a third of the rows is no hot partition.
     """
-    whole = F.struct(*df.columns)
-    return df.groupBy(F.col(key).alias("_key")).agg(F.max_by(whole, order).alias("row")).select("row.*")
+    rest = [c for c in df.columns if c not in order and c != key]
+    row = F.max(F.struct(*order, *rest)).alias("row")
+    return df.groupBy(key).agg(row).select(*(c if c == key else f"row.{c}" for c in df.columns))
 
 
 def merge(target: DataFrame | None, batch: DataFrame, key: str) -> DataFrame:
@@ -21,12 +23,9 @@ def merge(target: DataFrame | None, batch: DataFrame, key: str) -> DataFrame:
 
     The batch wins over the target, and inside the batch the latest timestamp
     wins. Target rows that the batch does not mention stay, and merging the same
-    batch twice changes nothing. Full ties fall to the greatest row content.
+    batch twice changes nothing.
     """
-    if target is None:
-        target = batch.limit(0)
-    tagged = target.select(F.lit(0).alias("_side"), *batch.columns).unionByName(
-        batch.select(F.lit(1).alias("_side"), *batch.columns)
-    )
-    order = F.struct("_side", "timestamp", F.to_json(F.struct(*batch.columns)))
-    return latest_per_key(tagged, key, order).drop("_side")
+    sides = batch.withColumn("_side", F.lit(1))
+    if target is not None:
+        sides = sides.unionByName(target.select(*batch.columns).withColumn("_side", F.lit(0)))
+    return latest_per_key(sides, key, "_side", "timestamp").drop("_side")

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import argparse
+
 from pyspark.sql import DataFrame, SparkSession
 
 from lodestone.operators.bm25 import build_index
 from lodestone.operators.quality import row_counts
 from lodestone.operators.star import LAYOUT_KEYS, Warehouse
 from lodestone.plans.telemetry import run_telemetry
+from lodestone.session import build_session, size_shuffles, tune
+from lodestone.sources.base import read_table
 from lodestone.sources.versions import mark_complete, next_version
 
 
@@ -37,7 +41,25 @@ def nightly_refresh(
     spark: SparkSession, raw_dir: str, documents: DataFrame, log_dir: str, root: str
 ) -> DataFrame:
     """Warehouse, then retrieval index, then telemetry tables; returns the warehouse report."""
+    size_shuffles(tune(spark), raw_dir, log_dir)
     report = build_warehouse(spark, raw_dir, f"{root}/warehouse")
     build_index(documents).write(f"{root}/index")
     run_telemetry(spark, log_dir, f"{root}/telemetry")
     return report
+
+
+def main() -> None:
+    """``spark-submit`` entry: all stages in order, reporting the row counts."""
+    parser = argparse.ArgumentParser(description=main.__doc__)
+    parser.add_argument("--raw", required=True, help="folder of the raw tables, documents included")
+    parser.add_argument("--log", required=True, help="folder of the query log")
+    parser.add_argument("--out", required=True, help="folder for warehouse, index and telemetry")
+    given = parser.parse_args()
+    spark = build_session("nightly-refresh")
+    documents = read_table(spark, given.raw, "documents").select("doc_id", "text")
+    nightly_refresh(spark, given.raw, documents, given.log, given.out).show()
+    spark.stop()
+
+
+if __name__ == "__main__":
+    main()

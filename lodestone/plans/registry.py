@@ -21,7 +21,7 @@ from lodestone.operators.star import Warehouse
 from lodestone.operators.upsert import merge
 from lodestone.plans import derived, golden
 from lodestone.plans.telemetry import run_telemetry
-from lodestone.session import scratch_path
+from lodestone.session import scratch_path, settled, tune
 from lodestone.sources import eventlog
 from lodestone.sources.base import load_base
 from lodestone.sources.versions import latest_version, mark_complete, next_version
@@ -298,11 +298,12 @@ def guard_queries() -> dict[str, Query]:
 REPLY_ORDERS = ("3, 1, 2", "no idea", "9, 1, 1, 2", "Best: 8 then 4 then 12345678901234567890")
 
 
-def retrieval_queries() -> dict[str, Query]:
-    def parts(spark, path):
-        return (derived.index(spark, path), derived.questions(spark, path),
-                derived.vectors(spark, path, "query_id"))
+def retriever(spark: SparkSession, path: str, with_vectors: bool = True) -> search.Retriever:
+    vectors = derived.vectors(spark, path, "query_id") if with_vectors else None
+    return search.Retriever(derived.index(spark, path), derived.questions(spark, path), vectors)
+
 
+def retrieval_queries() -> dict[str, Query]:
     def tokens(spark, path):
         words = tokenize(F.col("text"))
         return derived.corpus(spark, path).select(
@@ -322,8 +323,8 @@ def retrieval_queries() -> dict[str, Query]:
             F.count_distinct("term").alias("terms"), F.max("tf").cast("bigint").alias("most"))
 
     def score_totals(spark, path):
-        index, asked, _ = parts(spark, path)
-        return bm25_scores(index, asked).groupBy("query_id").agg(
+        scores = bm25_scores(derived.index(spark, path), derived.questions(spark, path))
+        return scores.groupBy("query_id").agg(
             F.count("*").alias("matched"), F.round(F.sum("score"), 4).alias("total"),
             F.round(F.max("score"), 6).alias("best"))
 
@@ -335,36 +336,29 @@ def retrieval_queries() -> dict[str, Query]:
                            F.round(total, 6).alias("total"))
 
     def ranges(spark, path):
-        index, asked, vectors = parts(spark, path)
-        found = search.score_ranges(index, asked, vectors)
+        found = retriever(spark, path).score_ranges()
         return found.select("query_id", *(F.round(c, 6).alias(c) for c in ("v_low", "v_high", "k_low", "k_high")))
 
     def declarative(spark, path):
-        index, asked, _ = parts(spark, path)
-        rounded = bm25_scores(index, asked).withColumn("score", F.round("score", 6))
-        return search.top_k(rounded, 5)
+        scores = bm25_scores(derived.index(spark, path), derived.questions(spark, path))
+        return search.top_k(scores.withColumn("score", F.round("score", 6)), 5)
 
-    def found(method, k=5, with_vectors=True):
-        def run(spark, path):
-            index, asked, vectors = parts(spark, path)
-            return search.search(index, asked, method, k, vectors if with_vectors else None)
-        return run
+    def found(method, with_vectors=True):
+        return lambda spark, path: retriever(spark, path, with_vectors).search(method, 5)
 
     def reranked(spark, path):
-        index, asked, vectors = parts(spark, path)
-        candidates = search.keyword_search(index, asked, 8)
-        return search.rerank(
-            search.with_vectors(candidates, index, vectors), search.cosine_of_candidates(), 4
-        ).select("query_id", "doc_id", "score", "rank")
+        r = retriever(spark, path)
+        candidates = search.with_vectors(r.keyword_search(8), r.index, r.vectors)
+        return search.rerank(candidates, search.cosine_of_candidates(), 4).select(
+            "query_id", "doc_id", "score", "rank")
 
     def reordered(spark, path):
-        index, asked, _ = parts(spark, path)
-        replies = asked.select("query_id", derived.one_of(REPLY_ORDERS, F.col("query_id")).alias("reply"))
-        return search.apply_reply_order(search.keyword_search(index, asked, 8), replies, 5)
+        r = retriever(spark, path)
+        replies = r.queries.select("query_id", derived.one_of(REPLY_ORDERS, F.col("query_id")).alias("reply"))
+        return search.apply_reply_order(settled(r.keyword_search(8)), replies, 5)
 
     def schema_search(spark, path):
-        index, asked, vectors = parts(spark, path)
-        return search.search_schema(index, derived.corpus(spark, path), asked, vectors)
+        return search.search_schema(retriever(spark, path), derived.corpus(spark, path))
 
     def contexts(spark, path):
         blocks = search.context_blocks(schema_search(spark, path))
@@ -391,28 +385,23 @@ def retrieval_queries() -> dict[str, Query]:
 
 
 def evaluation_queries() -> dict[str, Query]:
-    def asked_with_vectors(spark, path):
-        return (derived.index(spark, path), derived.questions(spark, path),
-                derived.vectors(spark, path, "query_id"))
-
     def methods(spark, path):
-        index, asked, vectors = asked_with_vectors(spark, path)
-        wide = search.hybrid_search(index, asked, vectors, 8)
+        r = retriever(spark, path)
+        wide = settled(r.hybrid_search(8))
         return {
-            "Keyword only": search.keyword_search(index, asked, 5),
-            "Vector only": search.vector_search(index, asked, vectors, 5),
+            "Keyword only": settled(r.keyword_search(5)),
+            "Vector only": settled(r.vector_search(5)),
             "Hybrid": wide.where(F.col("rank") <= 5),
             "Hybrid + rerank": search.rerank(
-                search.with_vectors(wide, index, vectors), search.cosine_of_candidates(), 5
+                search.with_vectors(wide, r.index, r.vectors), search.cosine_of_candidates(), 5
             ).select(*wide.columns),
         }
 
     def hits(spark, path):
-        index, asked, _ = asked_with_vectors(spark, path)
-        ranked = search.keyword_search(index, asked, 5)
-        scored = evaluation.hit_and_reciprocal_rank(
-            asked.select("query_id", "tier"), ranked, derived.quoted_by(ranked, spark, path))
-        return scored
+        r = retriever(spark, path)
+        ranked = settled(r.keyword_search(5))
+        return evaluation.hit_and_reciprocal_rank(
+            r.queries.select("query_id", "tier"), ranked, derived.quoted_by(ranked, spark, path))
 
     def compared(spark, path):
         ranked = methods(spark, path)
@@ -560,7 +549,8 @@ def answered(attempts: DataFrame) -> DataFrame:
 
 
 def all_queries() -> dict[str, Query]:
-    return {
+    named = {
         **warehouse_queries(), **metric_queries(), **golden_queries(), **telemetry_queries(),
         **monitoring_queries(), **guard_queries(), **retrieval_queries(), **evaluation_queries(),
     }
+    return {key: (lambda spark, path, q=q: q(tune(spark), path)) for key, q in named.items()}

@@ -4,27 +4,54 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+
+# What every job relies on: dates in UTC, and plans that adapt to skew. An
+# aggregate on the join key would otherwise keep a skewed join from being split.
+SETTINGS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+}
+
+# Shuffled data one task should get, and how much larger rows are in a shuffle
+# than in compressed columnar files.
+TASK_BYTES = 200 * 1024 * 1024
+EXPANSION = 3
 
 
 def build_session(app_name: str = "lodestone", master: str | None = None, **conf) -> SparkSession:
-    """A session with the settings every job here relies on: UTC dates and adaptive plans."""
-    settings = {
-        "spark.sql.session.timeZone": "UTC",
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.ui.enabled": "false",
-        **conf,
-    }
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in settings.items():
+    for key, value in {**SETTINGS, "spark.ui.enabled": "false", **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """The same settings for a session that was made elsewhere."""
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
+def size_shuffles(spark: SparkSession, *paths: str) -> int:
+    """Enough shuffle partitions for these inputs; adaptive plans merge what is too many."""
+    total = 0
+    for path in paths:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if files.exists(folder):
+            total += files.getContentSummary(folder).getLength()
+    wanted = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total * EXPANSION // TASK_BYTES))
+    spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    return wanted
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
@@ -35,6 +62,8 @@ def shared_dir(spark: SparkSession) -> str:
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if configured:
+        if context.getCheckpointDir() is None:
+            context.setCheckpointDir(configured)
         return configured.rstrip("/")
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
@@ -45,3 +74,10 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared folder that belongs to this application alone."""
     return f"{shared_dir(spark)}/lodestone/{spark.sparkContext.applicationId}/{name}"
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """A small result that several later steps read, computed once and stored in
+    the shared folder, where the loss of an executor cannot reach it."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint()

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lodestone.functions.text import tokenize
 from lodestone.operators import search
-from lodestone.operators.bm25 import Index, bm25_scores, build_index, query_weights
+from lodestone.operators.bm25 import Index, bm25_scores, build_index
 
 WORDS = "order revenue region customer the discount date_key ship supplier rate".split()
 
@@ -109,7 +109,7 @@ def test_postings_count_terms(setup):
 @pytest.mark.parametrize("method", ("keyword", "vector", "hybrid"))
 def test_search_equals_brute_force(setup, method):
     *_, index, queries, vectors = setup
-    assert found(search.search(index, queries, method, 5, vectors)) == expected(setup, method, 5)
+    assert found(search.Retriever(index, queries, vectors).search(method, 5)) == expected(setup, method, 5)
 
 
 def test_joined_scores_equal_brute_force(setup):
@@ -122,26 +122,26 @@ def test_joined_scores_equal_brute_force(setup):
 
 def test_more_queries_than_one_pass_takes(setup, monkeypatch):
     *_, index, queries, vectors = setup
-    whole = found(search.hybrid_search(index, queries, vectors, 5))
+    whole = found(search.Retriever(index, queries, vectors).hybrid_search(5))
     monkeypatch.setattr(search, "QUERIES_PER_PASS", 3)
     assert len(search.query_blocks(queries)) > 1
-    assert found(search.hybrid_search(index, queries, vectors, 5)) == whole
+    assert found(search.Retriever(index, queries, vectors).hybrid_search(5)) == whole
 
 
 def test_small_batches_give_the_same(spark, setup):
     *_, index, queries, vectors = setup
-    whole = found(search.hybrid_search(index, queries, vectors, 5))
+    whole = found(search.Retriever(index, queries, vectors).hybrid_search(5))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
     try:
-        assert found(search.hybrid_search(index, queries, vectors, 5)) == whole
+        assert found(search.Retriever(index, queries, vectors).hybrid_search(5)) == whole
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
 def test_without_vectors_hybrid_ranks_by_keyword(setup):
     *_, index, queries, _ = setup
-    by_word = found(search.keyword_search(index, queries, 5))
-    alone = found(search.hybrid_search(index, queries, None, 5))
+    by_word = found(search.Retriever(index, queries).keyword_search(5))
+    alone = found(search.Retriever(index, queries).hybrid_search(5))
     assert {q: [d for d, _ in rows] for q, rows in alone.items()} == {
         q: [d for d, _ in rows] for q, rows in by_word.items()}
 
@@ -150,25 +150,26 @@ def test_ids_may_be_text(spark, setup):
     documents = spark.createDataFrame([("table:b", "order line"), ("table:a", "order line"), ("m", "x y z")],
                                       "doc_id string, text string")
     queries = spark.createDataFrame([("q1", "order")], "query_id string, text string")
-    rows = search.keyword_search(build_index(documents), queries, 3).orderBy("rank").collect()
+    rows = search.Retriever(build_index(documents), queries).keyword_search(3).orderBy("rank").collect()
     assert [r.doc_id for r in rows] == ["table:a", "table:b", "m"]
 
 
 def test_empty_inputs(spark, setup):
     *_, index, queries, vectors = setup
-    assert search.hybrid_search(index, queries.limit(0), vectors, 5).count() == 0
+    assert search.Retriever(index, queries.limit(0), vectors).hybrid_search(5).count() == 0
     nothing = build_index(spark.createDataFrame([], "doc_id bigint, text string"))
-    assert search.keyword_search(nothing, queries, 5).count() == 0
+    assert search.Retriever(nothing, queries).keyword_search(5).count() == 0
 
 
 def test_index_survives_writing(setup, tmp_path):
     *_, index, queries, vectors = setup
     stored = index.write(str(tmp_path / "index"))
     again = Index.open(queries.sparkSession, str(tmp_path / "index"))
-    want = found(search.hybrid_search(index, queries, vectors, 5))
-    assert found(search.hybrid_search(stored, queries, vectors, 5)) == want
-    assert found(search.hybrid_search(again, queries, vectors, 5)) == want
-    assert query_weights(again, queries).count() == query_weights(index, queries).count()
+    want = found(search.Retriever(index, queries, vectors).hybrid_search(5))
+    assert found(search.Retriever(stored, queries, vectors).hybrid_search(5)) == want
+    assert found(search.Retriever(again, queries, vectors).hybrid_search(5)) == want
+    rated = [{r.term: (r.df, round(r.idf, 9)) for r in i.rated_terms.collect()} for i in (index, again)]
+    assert rated[0] == rated[1]
 
 
 def candidates(spark, n, queries=1):

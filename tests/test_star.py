@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from lodestone.operators import quality, star
 from lodestone.operators.star import STAR_TABLES, Warehouse
 from lodestone.plans import golden
-from lodestone.plans.refresh import build_warehouse
+from lodestone.plans import derived
+from lodestone.plans.refresh import build_warehouse, nightly_refresh
 from lodestone.sources.versions import latest_version, next_version
 
 LINES = (
@@ -136,3 +137,31 @@ def test_only_governed_names_are_visible(spark, warehouse):
     Warehouse.derive(own, "/root/testdata/sf0.001").register_views(own)
     own.range(1).createOrReplaceTempView("lineitem")
     assert quality.governed_namespace(own, ("lineitem", "orders")) == {"missing": [], "exposed": ["lineitem"]}
+
+
+def test_nightly_refresh_runs_all_stages_and_again(spark, data, tmp_path):
+    from lodestone.operators.bm25 import Index
+    from lodestone.plans.telemetry import open_table
+    from lodestone.sources import eventlog
+
+    log, root = str(tmp_path / "log"), str(tmp_path / "out")
+    eventlog.append_events(eventlog.trace_events(derived.log_traces(spark, data)), log)
+    documents = derived.corpus(spark, data).select("doc_id", "text")
+    for _ in range(2):
+        report = nightly_refresh(spark, data, documents, log, root)
+    assert {r.table_name: r.row_count for r in report.collect()}["fact_orders"] == 6000
+    assert Index.open(spark, f"{root}/index").documents.count() == 200
+    assert open_table(spark, f"{root}/telemetry", "traces").count() == 1000
+
+
+def test_shuffles_are_sized_by_the_input(spark, data):
+    from lodestone import session
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert session.size_shuffles(spark, data, "/no/such/folder") == int(before)
+        session.TASK_BYTES, kept = 100_000, session.TASK_BYTES
+        assert session.size_shuffles(spark, data) > int(before)
+        session.TASK_BYTES = kept
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
