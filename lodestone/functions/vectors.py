@@ -16,6 +16,12 @@ def dot(a: Column, b: Column) -> Column:
 
 
 def unit(vector: Column) -> Column:
-    """The vector at length one; a zero vector stays as it is."""
-    length = F.sqrt(dot(vector, vector))
-    return F.when(length == 0, vector).otherwise(F.transform(vector, lambda x: x / length))
+    """The vector at length one; a zero vector stays as it is.
+
+    The outer transform is over one element and is there to name the length, so
+    that it is taken once and not once per component.
+    """
+    sized = F.array(F.struct(vector.alias("v"), F.sqrt(dot(vector, vector)).alias("length")))
+    scaled = F.transform(sized, lambda s: F.when(s["length"] == 0, s["v"]).otherwise(
+        F.transform(s["v"], lambda x: x / s["length"])))
+    return scaled[0]

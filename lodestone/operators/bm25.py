@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from lodestone.functions.text import tokenize
 from lodestone.functions.vectors import as_double, unit
+from lodestone.sources.base import spread
 from lodestone.sources.versions import latest_version, mark_complete, next_version
 
 # The usual BM25 parameters, and the share of the mean idf that a
@@ -23,12 +24,6 @@ B = 0.75
 EPSILON = 0.25
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows of a few large files over all cores; a scan of enough files stays as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
-
-
 def bags(documents: DataFrame) -> DataFrame:
     """Per document its length and distinct terms with counts.
 
@@ -122,7 +117,7 @@ def build_index(documents: DataFrame, vectors: DataFrame | None = None) -> Index
     Vectors are put at unit length and stored beside the terms, so that later
     searches read one table and join nothing.
     """
-    rows = bags(spread(documents))
+    rows = bags(spread(documents, "doc_id"))
     if vectors is None:
         rows = rows.withColumn("vector", F.lit(None).cast("array<double>"))
     else:

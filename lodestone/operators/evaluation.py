@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodestone.functions.portable import json_safe
-from lodestone.operators.guard import QueryResult
+from lodestone.operators.guard import GuardrailViolation, QueryResult, QueryTimeout, run_guarded
 
 TIERS = (1, 2, 3)
 ALL_TIERS = "all"
@@ -117,6 +119,32 @@ def matches_recorded(result: QueryResult, recorded: list[list]) -> bool:
     return [list(row) for row in result.rows] == [list(row) for row in recorded]
 
 
+EXECUTION = ("question_id string, tier int, sql string, api_error string, run_error string, matched boolean, "
+             "total_tokens bigint")
+
+
+def run_statements(spark: SparkSession, questions: list[dict], **limits) -> DataFrame:
+    """Executions of generated statements against their recorded results.
+
+    ``questions`` are (id, tier, sql, reference_result), and optionally
+    ``api_error`` and ``total_tokens``. Each statement is a guarded query of its
+    own, so what reaches the driver is bounded by the row cap; rows match in any
+    order, and whatever stops a statement is its ``run_error``.
+    """
+
+    def execute(q: dict) -> tuple:
+        error, matched = None, None
+        if q.get("api_error") is None:
+            try:
+                rows = run_guarded(spark, q["sql"], **limits).rows
+                matched = Counter(rows) == Counter(tuple(row) for row in q["reference_result"])
+            except (GuardrailViolation, QueryTimeout, PySparkException) as failure:
+                error = str(failure)
+        return q["id"], q["tier"], q["sql"], q.get("api_error"), error, matched, q.get("total_tokens")
+
+    return spark.createDataFrame([execute(q) for q in questions], EXECUTION)
+
+
 API_ERROR = "API error"
 MISMATCH = "result mismatch"
 

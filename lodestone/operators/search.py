@@ -43,9 +43,8 @@ def load_block(index: Index, queries: DataFrame, vectors: DataFrame | None) -> s
     if vectors is None:
         found = found.withColumn("unit", F.lit(None).cast("array<double>"))
     else:
-        units = vectors.select("query_id", as_double(F.col("vector")).alias("v")).select(
-            "query_id", unit(F.col("v")).alias("unit"))
-        found = found.join(units, "query_id", "left")
+        given = vectors.select("query_id", as_double(F.col("vector")).alias("v"))
+        found = found.join(given, "query_id", "left").select("query_id", unit(F.col("v")).alias("unit"))
     asked = found.toArrow().sort_by("query_id")
     query_ids = asked["query_id"].combine_chunks()
     if len(query_ids) > QUERIES_PER_PASS:
@@ -166,9 +165,9 @@ def rerank(candidates: DataFrame, scorer: Column, k: int = 5) -> DataFrame:
 def with_vectors(candidates: DataFrame, index: Index, vectors: DataFrame) -> DataFrame:
     """Candidates with the unit vectors of their document and query."""
     documents = index.documents.select("doc_id", F.col("vector").alias("doc_unit"))
-    units = vectors.select("query_id", as_double(F.col("vector")).alias("v")).select(
-        "query_id", unit(F.col("v")).alias("query_unit"))
-    return candidates.join(documents, "doc_id").join(units, "query_id", "left")
+    given = vectors.select("query_id", as_double(F.col("vector")).alias("query_vector"))
+    joined = candidates.join(documents, "doc_id").join(given, "query_id", "left")
+    return joined.withColumn("query_unit", unit(F.col("query_vector"))).drop("query_vector")
 
 
 def cosine_of_candidates() -> Column:

@@ -143,11 +143,16 @@ class Warehouse:
         self._tables: dict[str, DataFrame] = {}
 
     @classmethod
-    def derive(cls, spark: SparkSession, raw_dir: str) -> Warehouse:
-        """Star tables as plans over the raw files; nothing runs until a query does."""
+    def derive(cls, spark: SparkSession, raw_dir: str, spread_lines: bool = False) -> Warehouse:
+        """Star tables as plans over the raw files; nothing runs until a query does.
+
+        ``spread_lines`` is for whole builds: lines that come in a few large
+        files go over all cores, by the key they are joined on.
+        """
         raw = partial(read_raw, spark, raw_dir)
+        lines = partial(raw, "lineitem", "l_orderkey" if spread_lines else None)
         return cls({
-            "fact_orders": lambda: build_fact_orders(raw("lineitem"), raw("orders")),
+            "fact_orders": lambda: build_fact_orders(lines(), raw("orders")),
             "dated_fact": lambda: build_fact_orders(raw("lineitem"), raw("orders"), keep_dates=True),
             "dim_customer": lambda: build_dim_customer(raw("customer")),
             "dim_product": lambda: build_dim_product(raw("part")),

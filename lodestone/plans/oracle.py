@@ -143,7 +143,12 @@ def warehouse_oracles() -> dict[str, str]:
             "SELECT * REPLACE (" + ", ".join(
                 money(c, c) for c in ("quantity", "extended_price", "discount", "tax", "net_revenue")
             ) + ") FROM fact_orders"),
+        "W9_written_fact": star(f"""
+            SELECT COUNT(*) AS line_rows, {money('SUM(net_revenue)', 'net_revenue')},
+              CAST(SUM(order_date_key) AS BIGINT) AS order_dates, CAST(SUM(ship_date_key) AS BIGINT) AS ship_dates
+            FROM fact_orders"""),
         "W11_row_counts": star(counts),
+        "W12_rebuild": star(counts),
         "W14_non_empty": star(f"SELECT table_name, row_count > 0 AS non_empty FROM ({counts})"),
         "W15_key_uniqueness": star(keys),
         "W16_grain_uniqueness": star("""
@@ -587,6 +592,10 @@ def retrieval_oracles() -> dict[str, str]:
         "R5_unit_vectors": found("""
             SELECT vec_id AS doc_id, round(list_dot_product(u, u), 6) AS length, round(list_sum(u), 6) AS total
             FROM uni"""),
+        "R6_vector_scores": found(
+            "SELECT query_id, doc_id, round(near, 6) AS vector_score "
+            "FROM words JOIN (SELECT query_id, doc_id, near FROM mixed) USING (query_id, doc_id)",
+            f"words AS ({best_of('worded', 8)})"),
         "R7_score_ranges": found("""
             SELECT query_id, round(v_low, 6) AS v_low, round(v_high, 6) AS v_high, round(k_low, 6) AS k_low,
                    round(k_high, 6) AS k_high FROM ranges"""),
@@ -640,7 +649,11 @@ def evaluation_oracles() -> dict[str, str]:
         "E2_hits": found("""
             SELECT query_id, CAST(query_id % 3 + 1 AS INTEGER) AS tier, CAST(rr > 0 AS INTEGER) AS hit,
                    rr AS reciprocal_rank FROM rates WHERE method = 'Keyword only'""", *METHODS),
-        "E3_rates_by_method_and_tier": found(f"""
+        "E3_rates_by_tier": found(f"""
+            SELECT method, CAST(tier AS VARCHAR) AS tier, {MEANS} FROM rates
+              WHERE method = 'Vector only' GROUP BY method, tier UNION ALL
+            SELECT method, 'all', {MEANS} FROM rates WHERE method = 'Vector only' GROUP BY method""", *METHODS),
+        "E4_compare_methods": found(f"""
             SELECT method, CAST(tier AS VARCHAR) AS tier, {MEANS} FROM rates GROUP BY method, tier UNION ALL
             SELECT method, 'all', {MEANS} FROM rates GROUP BY method""", *METHODS),
         "E5_winner": found(f"""
@@ -692,6 +705,8 @@ def evaluation_oracles() -> dict[str, str]:
         "E17_failing_questions": tries("""
             SELECT question_id, attempt_no, tier FROM kept
             WHERE question_id IN (SELECT question_id FROM lasts WHERE NOT correct)"""),
+        "A1_candidate_sql": tries(
+            "SELECT question_id, c.sql FROM lasts JOIN cleaned c USING (question_id, attempt_no)"),
         "A2_verdicts": tries(f"""
             SELECT question_id, attempt_no, failure IS NULL AND valid AS valid,
               CASE WHEN failure IS NULL THEN reason ELSE 'execution failed' END AS reason,

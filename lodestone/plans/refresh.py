@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import argparse
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
 from lodestone.operators.bm25 import build_index
 from lodestone.operators.quality import row_counts
-from lodestone.operators.star import LAYOUT_KEYS, Warehouse
+from lodestone.operators.star import LAYOUT_KEYS, STAR_TABLES, Warehouse
 from lodestone.plans.telemetry import run_telemetry
 from lodestone.session import build_session, size_shuffles, tune
 from lodestone.sources.base import read_table
@@ -31,8 +32,10 @@ def build_warehouse(spark: SparkSession, raw_dir: str, root: str) -> DataFrame:
     which no reader opens.
     """
     folder = next_version(spark, root)
-    for name, df in Warehouse.derive(spark, raw_dir).items():
-        write_clustered(df, f"{folder}/{name}", LAYOUT_KEYS[name])
+    star = Warehouse.derive(spark, raw_dir, spread_lines=True)
+    with ThreadPoolExecutor(len(STAR_TABLES)) as pool:  # the dimensions fill cores the fact leaves idle
+        list(pool.map(
+            lambda item: write_clustered(item[1], f"{folder}/{item[0]}", LAYOUT_KEYS[item[0]]), star.items()))
     mark_complete(spark, folder)
     return row_counts(Warehouse.open(spark, root))
 

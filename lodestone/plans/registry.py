@@ -20,6 +20,7 @@ from lodestone.operators.percentiles import nearest_rank
 from lodestone.operators.star import Warehouse
 from lodestone.operators.upsert import merge
 from lodestone.plans import derived, golden
+from lodestone.plans.refresh import build_warehouse
 from lodestone.plans.telemetry import run_telemetry
 from lodestone.session import scratch_path, settled, tune
 from lodestone.sources import eventlog
@@ -58,7 +59,21 @@ def base_totals(raw: dict[str, DataFrame]) -> DataFrame:
 
 
 def warehouse_queries() -> dict[str, Query]:
+    def rebuilt(spark, path):
+        return build_warehouse(spark, path, scratch_path(spark, f"warehouse/{uuid.uuid4()}"))
+
+    def written(spark, path):
+        """Exact totals of the written fact."""
+        root = scratch_path(spark, f"warehouse/{uuid.uuid4()}")
+        build_warehouse(spark, path, root)
+        return Warehouse.open(spark, root).fact.agg(
+            F.count("*").alias("line_rows"), F.sum("net_revenue").alias("net_revenue"),
+            F.sum(F.col("order_date_key").cast("bigint")).alias("order_dates"),
+            F.sum(F.col("ship_date_key").cast("bigint")).alias("ship_dates"))
+
     return {
+        "W9_written_fact": lambda spark, path: json_safe(written(spark, path)),
+        "W12_rebuild": rebuilt,
         "W1_base": on_raw(base_totals),
         "W2_dim_region": on_star(lambda w: w.region),
         "W3_dim_customer": on_star(lambda w: w.customer),
@@ -352,6 +367,13 @@ def retrieval_queries() -> dict[str, Query]:
         return search.rerank(candidates, search.cosine_of_candidates(), 4).select(
             "query_id", "doc_id", "score", "rank")
 
+    def vector_scores(spark, path):
+        """Exact cosine of each question's keyword candidates, vector by vector."""
+        r = retriever(spark, path)
+        joined = search.with_vectors(r.keyword_search(8), r.index, r.vectors)
+        return joined.select(
+            "query_id", "doc_id", F.round(search.cosine_of_candidates(), 6).alias("vector_score"))
+
     def reordered(spark, path):
         r = retriever(spark, path)
         replies = r.queries.select("query_id", derived.one_of(REPLY_ORDERS, F.col("query_id")).alias("reply"))
@@ -371,6 +393,7 @@ def retrieval_queries() -> dict[str, Query]:
         "R3_stored_index": stored,
         "R4_bm25_scores": score_totals,
         "R5_unit_vectors": units,
+        "R6_vector_scores": vector_scores,
         "R7_score_ranges": ranges,
         "R8_top_k": declarative,
         "R9_keyword_search": found("keyword"),
@@ -409,10 +432,16 @@ def evaluation_queries() -> dict[str, Query]:
         return evaluation.evaluate_methods(
             derived.questions(spark, path), ranked, derived.quoted_by(pairs, spark, path))
 
-    def rates(spark, path):
-        return compared(spark, path).select(
+    def shown(results):
+        return results.select(
             "method", "tier", "questions", F.round("hit_rate", 9).alias("hit_rate"), F.round("mrr", 9).alias("mrr"))
 
+    def one_method(spark, path):
+        r = retriever(spark, path)
+        ranked = settled(r.vector_search(5))
+        return shown(evaluation.evaluate_methods(
+            r.queries, {"Vector only": ranked}, derived.quoted_by(ranked, spark, path)))
+
     def best(spark, path):
         overall = compared(spark, path).where(F.col("tier") == evaluation.ALL_TIERS)
         return evaluation.winner(overall, "hit_rate", "mrr").withColumn("mrr", F.round("mrr", 9))
@@ -509,7 +538,8 @@ def evaluation_queries() -> dict[str, Query]:
 
     return {
         "E2_hits": hits,
-        "E3_rates_by_method_and_tier": rates,
+        "E3_rates_by_tier": one_method,
+        "E4_compare_methods": lambda spark, path: shown(compared(spark, path)),
         "E5_winner": best,
         "E6_match_per_question": on_raw(matches),
         "E8_outcomes": scored,
@@ -523,6 +553,8 @@ def evaluation_queries() -> dict[str, Query]:
         "E15_tagged_outcomes": tagged,
         "E16_assembled_traces": assembled,
         "E17_failing_questions": failing,
+        "A1_candidate_sql": lambda spark, path: evaluation.final_attempts(kept(spark, path)).select(
+            "question_id", sql_of_reply(F.col("reply")).alias("sql")),
         "A2_verdicts": verdicts,
         "A3_feedback": told,
         "A4_kept_attempts": lambda spark, path: kept(spark, path).select("question_id", "attempt_no", "valid"),

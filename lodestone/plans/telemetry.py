@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from lodestone.operators.upsert import merge
-from lodestone.sources.eventlog import feedback_of, read_log, traces_of
+from lodestone.sources.eventlog import EVENT, feedback_of, read_log, traces_of
 from lodestone.sources.versions import latest_version, mark_complete, next_version
 
 TABLES = ("traces", "feedback")
@@ -16,6 +16,22 @@ def open_table(spark: SparkSession, root: str, name: str) -> DataFrame | None:
     return None if version is None else spark.read.parquet(f"{version}/{name}")
 
 
+def load_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """Both tables as last loaded; empty ones, with their columns, before the first load."""
+    nothing = spark.createDataFrame([], EVENT)
+    empty = {"traces": traces_of(nothing), "feedback": feedback_of(nothing)}
+    return {
+        name: stored if (stored := open_table(spark, root, name)) is not None else empty[name].drop("event_type")
+        for name in TABLES
+    }
+
+
+def refresh_views(spark: SparkSession, log_dir: str, root: str) -> None:
+    """Load the log and point the views ``traces`` and ``feedback`` at the result."""
+    for name, table in run_telemetry(spark, log_dir, root).items():
+        table.createOrReplaceTempView(name)
+
+
 def run_telemetry(spark: SparkSession, log_dir: str, root: str) -> dict[str, DataFrame]:
     """Merge the whole log into both tables. Running it again changes nothing.
 
@@ -28,4 +44,4 @@ def run_telemetry(spark: SparkSession, log_dir: str, root: str) -> dict[str, Dat
         merged = merge(open_table(spark, root, name), batch.drop("event_type"), "query_id")
         merged.write.mode("overwrite").parquet(f"{folder}/{name}")
     mark_complete(spark, folder)
-    return {name: open_table(spark, root, name) for name in TABLES}
+    return load_tables(spark, root)

@@ -30,13 +30,21 @@ def read_table(spark: SparkSession, path: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{path.rstrip('/')}/{name}.parquet")
 
 
-def read_raw(spark: SparkSession, path: str, name: str) -> DataFrame:
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows of a few large files over all cores; a scan of enough files stays as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if len(df.inputFiles()) < cores else df
+
+
+def read_raw(spark: SparkSession, path: str, name: str, spread_by: str | None = None) -> DataFrame:
     """One raw relation with money as decimal and timestamps as dates, in one projection.
 
     Money in binary floating point rounds differently from engine to engine, so
     it becomes an exact decimal before anything is computed from it.
     """
     df = read_table(spark, path, name)
+    if spread_by:
+        df = spread(df, spread_by)
     casts = CASTS[name]
     return df.select(
         *(F.col(c).cast(casts[c]).alias(c) if c in casts else F.col(c) for c in df.columns)

@@ -186,3 +186,36 @@ def test_golden_file(spark, tmp_path):
     recorded = golden.reference_rows(rows).orderBy("row_no").collect()
     assert [(r.row_no, r.row) for r in recorded] == [(1, ["ASIA", "1.5"]), (2, [None, "2"])]
     assert rows.select(F.max("tier")).first()[0] == 3
+
+
+def test_statements_are_run_and_scored(spark, data):
+    from lodestone.operators.star import Warehouse
+
+    own = guard.guarded_session(spark)
+    Warehouse.derive(own, data).register_views(own)
+    questions = [
+        {"id": "right", "tier": 1, "sql": "SELECT COUNT(*) AS n FROM dim_region", "reference_result": [[25]]},
+        {"id": "wrong", "tier": 1, "sql": "SELECT COUNT(*) AS n FROM dim_region", "reference_result": [[24]]},
+        {"id": "any order", "tier": 2, "reference_result": [["EUROPE", 5], ["ASIA", 5]],
+         "sql": "SELECT region_name, COUNT(*) AS n FROM dim_region WHERE region_name IN ('ASIA', 'EUROPE') "
+                "GROUP BY region_name"},
+        {"id": "refused", "tier": 2, "sql": "DROP TABLE dim_region", "reference_result": [[1]]},
+        {"id": "broken", "tier": 3, "sql": "SELECT nope FROM dim_region", "reference_result": [[1]]},
+        {"id": "unreachable", "tier": 3, "sql": "", "reference_result": [[1]], "api_error": "HTTP 500"},
+    ]
+    rows = {r.question_id: r for r in ev.outcomes(ev.run_statements(own, questions)).collect()}
+    assert [q for q in rows if rows[q].correct] == ["right", "any order"]
+    assert rows["wrong"].error == "result mismatch" and rows["refused"].error.startswith("Only SELECT")
+    assert "UNRESOLVED_COLUMN" in rows["broken"].error and rows["unreachable"].error == "API error: HTTP 500"
+
+
+def test_report_tables_are_written(spark, tmp_path):
+    from lodestone.sources.reports import write_report
+
+    tables = {"summary": frame(spark, [("a", 0.5)], "name string, accuracy double"),
+              "tiers": frame(spark, [(1, 1.0)], "tier int, accuracy double")}
+    write_report(tables, str(tmp_path / "r"))
+    back = spark.read.option("header", True).csv(str(tmp_path / "r" / "summary"))
+    assert [tuple(r) for r in back.collect()] == [("a", "0.5")]
+    write_report(tables, str(tmp_path / "p"), "parquet")
+    assert spark.read.parquet(str(tmp_path / "p" / "tiers")).first().tier == 1

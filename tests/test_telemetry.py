@@ -3,7 +3,7 @@ import json
 import pytest
 
 from lodestone.operators.upsert import merge
-from lodestone.plans.telemetry import run_telemetry
+from lodestone.plans.telemetry import load_tables, refresh_views, run_telemetry
 from lodestone.sources import eventlog
 from lodestone.streaming.ingest import ingest_new_files, read_ingested
 
@@ -132,3 +132,22 @@ def test_append_log_accepts_every_derived_event(spark, data, tmp_path):
     back = eventlog.traces_of(eventlog.read_log(spark, path))
     direct = eventlog.flatten_usage(eventlog.trace_events(derived.log_traces(spark, data)))
     assert back.exceptAll(direct.select(*back.columns)).isEmpty() and back.count() == 1000
+
+
+def test_tables_before_the_first_load_are_empty(spark, tmp_path):
+    from lodestone.operators import monitoring
+
+    tables = load_tables(spark, str(tmp_path / "t"))
+    row = monitoring.summary(monitoring.enriched_traces(tables["traces"]), tables["feedback"]).first()
+    assert set(row.asDict().values()) == {0}
+
+
+def test_refresh_points_views_at_the_new_load(spark, tmp_path):
+    own = spark.newSession()
+    folder, root = tmp_path / "log", str(tmp_path / "t")
+    path = log(folder, "a.json", trace("q1"))
+    refresh_views(own, path, root)
+    assert own.table("traces").count() == 1 and own.table("feedback").count() == 0
+    log(folder, "b.json", trace("q2"), vote("q2", "up", "00:01"))
+    refresh_views(own, path, root)
+    assert own.table("traces").count() == 2 and own.table("feedback").count() == 1
