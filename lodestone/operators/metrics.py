@@ -63,19 +63,15 @@ def metric_by(w: Warehouse, name: str, *dims: str, role: str = "order") -> DataF
     """The metric per combination of dimension columns, joining only the tables they need."""
     fact = w.fact
     wanted = set(dims) - set(fact.columns)
-    for table, key, joined in (
-        (w.customer, "customer_key", w.by_customer),
-        (w.product, "product_key", w.by_product),
-    ):
-        if wanted & set(table.columns):
-            fact = joined(fact)
-            wanted -= set(table.columns)
-    if wanted & set(w.region.columns):
+    customer, place = set(w.customer.columns), set(w.region.columns)
+    if wanted & (customer | place):
         # "Region" of a sale means where its customer is.
-        if "nation_key" not in fact.columns:
-            fact = w.by_customer(fact)
-        fact = w.with_region(fact)
-        wanted -= set(w.region.columns)
+        placed = bool(wanted & (place - customer))
+        fact = w.by_customer(fact, placed)
+        wanted -= customer | (place if placed else set())
+    if wanted & set(w.product.columns):
+        fact = w.by_product(fact)
+        wanted -= set(w.product.columns)
     if wanted & set(w.supplier.columns):
         fact = w.by_supplier(fact)
         wanted -= set(w.supplier.columns)

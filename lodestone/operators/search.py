@@ -9,13 +9,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lodestone.functions.text import tokenize
 from lodestone.functions.vectors import as_double, dot, unit
 from lodestone.operators import scoring
 from lodestone.operators.bm25 import B, K1, Index, query_weights, rate
 
-# A block of queries goes to the tasks whole. Each has at most this many queries;
-# more queries mean more blocks, each with its own pass over the index.
+# A block of queries goes to the tasks whole. Each has at most this many queries and
+# query terms; more mean more blocks, each with its own pass over the index.
 QUERIES_PER_PASS = 256
+TERMS_PER_PASS = 500_000
 
 SCORED_COLUMNS = {
     "keyword": ("length", "terms", "counts"),
@@ -27,14 +29,17 @@ SCORES = "query_id {query}, doc_id {doc}, score double"
 RANGES = "query_id {query}, v_low double, v_high double, k_low double, k_high double"
 
 
-def query_blocks(queries: DataFrame) -> list[DataFrame]:
-    """The queries in blocks. By hash, so blocks aim at half the bound and none reaches it."""
-    n = queries.count()
-    if n <= QUERIES_PER_PASS:
-        return [queries]
-    blocks = -(-2 * n // QUERIES_PER_PASS)
-    place = F.pmod(F.xxhash64("query_id"), F.lit(blocks))
-    return [queries.where(place == i) for i in range(blocks)]
+def query_blocks(queries: DataFrame, depth: int = 0) -> list[DataFrame]:
+    """The queries in blocks within both bounds. A hash deals them out, aiming at half
+    of each bound; a block that is over all the same is dealt out again. Only a
+    single query can stay over."""
+    terms = F.size(F.array_distinct(tokenize(F.coalesce("text", F.lit("")))))
+    size = queries.agg(F.count("*").alias("n"), F.coalesce(F.sum(terms), F.lit(0)).alias("terms")).first()
+    if size.n <= 1 or (size.n <= QUERIES_PER_PASS and size.terms <= TERMS_PER_PASS):
+        return [queries] if size.n else []
+    blocks = max(2, -(-2 * size.n // QUERIES_PER_PASS), -(-2 * size.terms // TERMS_PER_PASS))
+    place = F.pmod(F.xxhash64("query_id", F.lit(depth)), F.lit(blocks))
+    return [b for i in range(blocks) for b in query_blocks(queries.where(place == i), depth + 1)]
 
 
 def load_block(index: Index, queries: DataFrame, vectors: DataFrame | None) -> scoring.QueryBlock:
@@ -53,9 +58,11 @@ def load_block(index: Index, queries: DataFrame, vectors: DataFrame | None) -> s
     dims = max((len(u) for u in units if u is not None), default=0)
     matrix = np.array([u if u is not None else [0.0] * dims for u in units]).reshape(len(units), dims)
 
-    totals = index.corpus.first()
+    totals = index.corpus.first()  # one row
     rated = rate(index.terms, F.lit(totals.n), F.lit(totals.mean_idf).cast("double"))
     weights = query_weights(queries, rated).toArrow().sort_by([("term", "ascending"), ("query_id", "ascending")])
+    if weights.num_rows > TERMS_PER_PASS:
+        raise ValueError(f"{weights.num_rows} query terms are over the bound; score with bm25_scores instead")
     terms = weights["term"].combine_chunks()
     vocabulary = terms.unique()
     slots = pa.compute.index_in(terms, value_set=vocabulary).to_numpy()
@@ -81,8 +88,7 @@ class Retriever:
 
     @cached_property
     def _blocks(self) -> list[scoring.QueryBlock]:
-        blocks = [load_block(self.index, part, self.vectors) for part in query_blocks(self.queries)]
-        return [block for block in blocks if len(block.query_ids)]
+        return [load_block(self.index, part, self.vectors) for part in query_blocks(self.queries)]
 
     def _typed(self, schema: str) -> str:
         return schema.format(

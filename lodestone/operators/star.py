@@ -231,17 +231,24 @@ class Warehouse:
         keys = [d.year * 10000 + d.month * 100 + d.day for d in (first, last)]
         return self._dated_fact.where(F.col(f"{role}_date_key").between(*keys))
 
-    def by_customer(self, fact: DataFrame | None = None) -> DataFrame:
-        return (self.fact if fact is None else fact).join(self.customer, "customer_key")
+    def by_customer(self, fact: DataFrame | None = None, placed: bool = False) -> DataFrame:
+        return self._with(self.customer, "customer_key", fact, placed)
 
-    def by_supplier(self, fact: DataFrame | None = None) -> DataFrame:
-        return (self.fact if fact is None else fact).join(self.supplier, "supplier_key")
+    def by_supplier(self, fact: DataFrame | None = None, placed: bool = False) -> DataFrame:
+        return self._with(self.supplier, "supplier_key", fact, placed)
 
     def by_product(self, fact: DataFrame | None = None) -> DataFrame:
-        return (self.fact if fact is None else fact).join(self.product, "product_key")
+        return self._with(self.product, "product_key", fact)
 
-    def with_region(self, df: DataFrame) -> DataFrame:
-        return df.join(self.region, "nation_key")
+    def _with(self, dim: DataFrame, key: str, fact: DataFrame | None, placed: bool = False) -> DataFrame:
+        """The fact joined with a dimension; ``placed`` adds the nation and region of its rows.
+
+        Places meet the dimension first. That is the smaller join, and a filter
+        on a place cuts the dimension before the fact is touched.
+        """
+        if placed:
+            dim = dim.join(self.region, "nation_key")
+        return (self.fact if fact is None else fact).join(dim, key)
 
     def register_views(self, spark: SparkSession) -> None:
         """Expose the governed tables, and only those, under their names."""

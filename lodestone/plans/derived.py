@@ -63,7 +63,7 @@ def log_traces(spark: SparkSession, path: str) -> DataFrame:
         (~failed).alias("succeeded"),
         F.when(failed, one_of(ERRORS, F.col("event_id"))).alias("error"),
         F.when(failed, 2).otherwise(1).cast("bigint").alias("attempt_count"),
-        F.when(~failed, F.col("user_id")).alias("row_count"),
+        F.when(failed, 0).otherwise(F.col("user_id")).alias("row_count"),
         F.col("value").alias("latency_seconds"),
         F.when(F.col("user_id") % 3 == 0, PAID).otherwise(LOCAL).alias("model"),
         F.struct(

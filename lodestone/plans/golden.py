@@ -70,8 +70,8 @@ def average_retail_price(w): return w.product.agg(average("retail_price").alias(
 
 # --- fact and dimensions -----------------------------------------------------
 
-def revenue_by_customer_region(w): return _ranked(w.with_region(w.by_customer()), "region_name")
-def revenue_by_supplier_nation(w): return _ranked(w.with_region(w.by_supplier()), "nation_name")
+def revenue_by_customer_region(w): return _ranked(w.by_customer(placed=True), "region_name")
+def revenue_by_supplier_nation(w): return _ranked(w.by_supplier(placed=True), "nation_name")
 
 
 def orders_in_1997(w):
@@ -105,7 +105,7 @@ def revenue_by_type(w): return _ranked(w.by_product(), "product_type")
 
 
 def lines_from_asia(w):
-    return w.with_region(w.by_supplier()).where("region_name = 'ASIA'").agg(_count("line_count"))
+    return w.by_supplier(placed=True).where("region_name = 'ASIA'").agg(_count("line_count"))
 
 
 def building_discount(w):
@@ -114,7 +114,7 @@ def building_discount(w):
 
 
 def orders_from_nation(w, nation: str = "GERMANY"):
-    return (w.with_region(w.by_customer()).where(F.col("nation_name") == nation)
+    return (w.by_customer(placed=True).where(F.col("nation_name") == nation)
             .agg(_distinct("order_key", "order_count")))
 
 
@@ -181,7 +181,7 @@ def line_and_order_value(w):
 
 
 def lines_from_region_any_case(w, region: str = "Asia"):
-    lines = w.with_region(w.by_supplier())
+    lines = w.by_supplier(placed=True)
     return lines.where(F.upper("region_name") == region.upper()).agg(_count("line_count"))
 
 

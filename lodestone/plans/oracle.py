@@ -149,6 +149,8 @@ def warehouse_oracles() -> dict[str, str]:
             FROM fact_orders"""),
         "W11_row_counts": star(counts),
         "W12_rebuild": star(counts),
+        "W13_nightly_refresh": star(f"""{counts} UNION ALL SELECT 'index', COUNT(*) FROM documents
+            UNION ALL SELECT 'traces', COUNT(*) FROM events"""),
         "W14_non_empty": star(f"SELECT table_name, row_count > 0 AS non_empty FROM ({counts})"),
         "W15_key_uniqueness": star(keys),
         "W16_grain_uniqueness": star("""
@@ -297,7 +299,7 @@ traces AS (
          event_type <> 'error' AS succeeded,
          CASE WHEN event_type = 'error' THEN {case_of(derived.ERRORS, 'event_id')} END AS error,
          CAST(CASE WHEN event_type = 'error' THEN 2 ELSE 1 END AS BIGINT) AS attempt_count,
-         CASE WHEN event_type <> 'error' THEN user_id END AS row_count,
+         CASE WHEN event_type <> 'error' THEN user_id ELSE 0 END AS row_count,
          value AS latency_seconds,
          CASE WHEN user_id % 3 = 0 THEN 'gpt-4o-mini' ELSE 'llama3' END AS model,
          {K} AS prompt, 2 * {K} AS completion

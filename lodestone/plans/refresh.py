@@ -13,7 +13,7 @@ from lodestone.operators.star import LAYOUT_KEYS, STAR_TABLES, Warehouse
 from lodestone.plans.telemetry import run_telemetry
 from lodestone.session import build_session, size_shuffles, tune
 from lodestone.sources.base import read_table
-from lodestone.sources.versions import mark_complete, next_version
+from lodestone.sources.versions import drop_old_versions, mark_complete, next_version
 
 
 def write_clustered(df: DataFrame, path: str, keys: list[str]) -> None:
@@ -48,6 +48,8 @@ def nightly_refresh(
     report = build_warehouse(spark, raw_dir, f"{root}/warehouse")
     build_index(documents).write(f"{root}/index")
     run_telemetry(spark, log_dir, f"{root}/telemetry")
+    for stage in ("warehouse", "index", "telemetry"):
+        drop_old_versions(spark, f"{root}/{stage}")
     return report
 
 

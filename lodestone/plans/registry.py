@@ -15,13 +15,13 @@ from lodestone.functions.statements import rejection, sql_of_reply
 from lodestone.functions.text import tokenize
 from lodestone.functions.vectors import as_double, dot, unit
 from lodestone.operators import answers, evaluation, guard, metrics, monitoring, quality, search, star
-from lodestone.operators.bm25 import bm25_scores
+from lodestone.operators.bm25 import Index, bm25_scores
 from lodestone.operators.percentiles import nearest_rank
 from lodestone.operators.star import Warehouse
 from lodestone.operators.upsert import merge
 from lodestone.plans import derived, golden
-from lodestone.plans.refresh import build_warehouse
-from lodestone.plans.telemetry import run_telemetry
+from lodestone.plans.refresh import build_warehouse, nightly_refresh
+from lodestone.plans.telemetry import load_tables, run_telemetry
 from lodestone.session import scratch_path, settled, tune
 from lodestone.sources import eventlog
 from lodestone.sources.base import load_base
@@ -71,6 +71,19 @@ def warehouse_queries() -> dict[str, Query]:
             F.sum(F.col("order_date_key").cast("bigint")).alias("order_dates"),
             F.sum(F.col("ship_date_key").cast("bigint")).alias("ship_dates"))
 
+    def nightly(spark, path):
+        root = scratch_path(spark, f"nightly/{uuid.uuid4()}")
+        eventlog.append_events(eventlog.trace_events(derived.log_traces(spark, path)), f"{root}/log")
+        documents = derived.corpus(spark, path).select("doc_id", "text")
+        report = nightly_refresh(spark, path, documents, f"{root}/log", root)
+        stages = {
+            "index": Index.open(spark, f"{root}/index").documents,
+            "traces": load_tables(spark, f"{root}/telemetry")["traces"],
+        }
+        return reduce(DataFrame.unionByName, [report, *(
+            df.agg(F.count("*").alias("row_count")).withColumn("table_name", F.lit(name))
+            for name, df in stages.items())])
+
     return {
         "W9_written_fact": lambda spark, path: json_safe(written(spark, path)),
         "W12_rebuild": rebuilt,
@@ -85,6 +98,7 @@ def warehouse_queries() -> dict[str, Query]:
         "W6c_dim_date": on_star(lambda w: w.calendar),
         "W7_fact_orders": on_star(lambda w: w.fact),
         "W11_row_counts": on_star(quality.row_counts),
+        "W13_nightly_refresh": nightly,
         "W14_non_empty": on_star(quality.non_empty),
         "W15_key_uniqueness": on_star(quality.key_uniqueness),
         "W16_grain_uniqueness": on_star(quality.grain_uniqueness),

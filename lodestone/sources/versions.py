@@ -43,3 +43,13 @@ def next_version(spark: SparkSession, root: str) -> str:
 def mark_complete(spark: SparkSession, folder: str) -> None:
     """The switch: from here on readers pick this version."""
     _fs(spark, folder).create(_path(spark, f"{folder}/{MARKER}"), True).close()
+
+
+def drop_old_versions(spark: SparkSession, root: str, keep: int = 3) -> list[str]:
+    """Delete all but the newest ``keep`` versions, counting complete ones only."""
+    complete = [n for n in _versions(spark, root) if path_exists(spark, f"{root}/v{n}/{MARKER}")]
+    oldest_kept = complete[-keep] if len(complete) >= keep else 0
+    dropped = [f"{root}/v{n}" for n in _versions(spark, root) if n < oldest_kept]
+    for folder in dropped:
+        _fs(spark, folder).delete(_path(spark, folder), True)
+    return dropped

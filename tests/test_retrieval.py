@@ -128,6 +128,17 @@ def test_more_queries_than_one_pass_takes(setup, monkeypatch):
     assert found(search.Retriever(index, queries, vectors).hybrid_search(5)) == whole
 
 
+def test_more_terms_than_one_pass_takes(setup, monkeypatch):
+    *_, index, queries, vectors = setup
+    whole = found(search.Retriever(index, queries, vectors).hybrid_search(5))
+    monkeypatch.setattr(search, "TERMS_PER_PASS", 4)
+    assert len(search.query_blocks(queries)) > 1
+    assert found(search.Retriever(index, queries, vectors).hybrid_search(5)) == whole
+    monkeypatch.setattr(search, "TERMS_PER_PASS", 1)
+    with pytest.raises(ValueError, match="bm25_scores"):
+        search.Retriever(index, queries, vectors).keyword_search(5)
+
+
 def test_small_batches_give_the_same(spark, setup):
     *_, index, queries, vectors = setup
     whole = found(search.Retriever(index, queries, vectors).hybrid_search(5))

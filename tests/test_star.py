@@ -9,7 +9,7 @@ from lodestone.operators.star import STAR_TABLES, Warehouse
 from lodestone.plans import golden
 from lodestone.plans import derived
 from lodestone.plans.refresh import build_warehouse, nightly_refresh
-from lodestone.sources.versions import latest_version, next_version
+from lodestone.sources.versions import drop_old_versions, latest_version, mark_complete, next_version
 
 LINES = (
     "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity decimal(15,2), "
@@ -165,3 +165,14 @@ def test_shuffles_are_sized_by_the_input(spark, data):
         session.TASK_BYTES = kept
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_old_versions_go_and_the_newest_stay(spark, tmp_path):
+    root = str(tmp_path / "t")
+    for number in range(1, 6):
+        folder = next_version(spark, root)
+        spark.range(number).write.parquet(f"{folder}/x")
+        if number != 4:
+            mark_complete(spark, folder)
+    assert [f[-2:] for f in drop_old_versions(spark, root, keep=2)] == ["v1", "v2"]
+    assert spark.read.parquet(f"{latest_version(spark, root)}/x").count() == 5
