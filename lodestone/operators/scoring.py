@@ -50,7 +50,8 @@ class QueryBlock:
         inner = np.arange(len(row)) - np.repeat(np.cumsum(askers) - askers, askers)
         at = self.first[slot][row] + inner
         cell = doc[row] * q + self.asker[at]
-        return np.bincount(cell, part[row] * self.weight[at], minlength=n * q).reshape(n, q)
+        # Without any match bincount gives whole numbers, hence the cast.
+        return np.bincount(cell, part[row] * self.weight[at], minlength=n * q).astype(float).reshape(n, q)
 
     def cosine(self, batch: pa.RecordBatch) -> np.ndarray:
         """Dot products of unit vectors, documents x queries; 0 where one side has none."""

@@ -157,6 +157,14 @@ def test_without_vectors_hybrid_ranks_by_keyword(setup):
         q: [d for d, _ in rows] for q, rows in by_word.items()}
 
 
+def test_queries_without_known_terms(spark, setup):
+    *_, index, _, _ = setup
+    queries = spark.createDataFrame([(1, "zzz"), (2, None)], "query_id bigint, text string")
+    for method in ("keyword", "hybrid"):
+        rows = search.Retriever(index, queries).search(method, 2).orderBy("query_id", "rank").collect()
+        assert [(r.query_id, r.doc_id, r.score) for r in rows] == [(1, 0, 0.0), (1, 1, 0.0), (2, 0, 0.0), (2, 1, 0.0)]
+
+
 def test_ids_may_be_text(spark, setup):
     documents = spark.createDataFrame([("table:b", "order line"), ("table:a", "order line"), ("m", "x y z")],
                                       "doc_id string, text string")
