@@ -15,17 +15,23 @@ SEVERAL = "Multiple statements are not allowed."
 NOT_SELECT = "Only SELECT (or WITH ... SELECT) statements are allowed."
 KEYWORD = "Disallowed keyword in query: "
 
-OPENING = r"(?i)^\s*(WITH|SELECT)\b"
-KEYWORD_PATTERN = r"(?i)\b(" + "|".join(DISALLOWED) + r")\b"
+OPENING = r"(?iU)^(WITH|SELECT)\b"
+KEYWORD_PATTERN = r"(?iU)\b(" + "|".join(DISALLOWED) + r")\b"
+
+# Fixed value: every character that counts as white space.
+WHITE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007"
+    "\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def trimmed(text: Column) -> Column:
     """Without white space at both ends."""
-    return F.regexp_replace(F.regexp_replace(text, r"^\s+", ""), r"\s+$", "")
+    return F.btrim(text, F.lit(WHITE))
 
 
 def statement_body(sql: Column) -> Column:
-    return F.regexp_replace(trimmed(sql), ";+$", "")
+    return F.rtrim(trimmed(sql), F.lit(";"))
 
 
 def rejection(sql: Column) -> Column:

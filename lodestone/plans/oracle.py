@@ -398,6 +398,10 @@ def monitoring_oracles() -> dict[str, str]:
         "M6_daily": log(f"""
             SELECT {day} AS date, COUNT(*) AS query_count, AVG(CAST(succeeded AS DOUBLE)) AS execution_accuracy,
                    round(AVG(cost_usd), 9) AS avg_cost_usd FROM priced GROUP BY day"""),
+        "M6_daily_stream": log(f"""
+            SELECT {day} AS date, COUNT(*) AS query_count, AVG(CAST(succeeded AS DOUBLE)) AS execution_accuracy,
+                   round(AVG(cost_usd), 9) AS avg_cost_usd FROM priced
+            WHERE day + INTERVAL 1 DAY <= (SELECT MAX(event_ts) FROM priced) - INTERVAL 1 DAY GROUP BY day"""),
         "M7_failures": log(
             "SELECT category, COUNT(*) AS count FROM priced WHERE NOT succeeded GROUP BY category"),
         "M8_trace_page": log(f"""

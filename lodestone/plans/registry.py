@@ -26,7 +26,7 @@ from lodestone.session import scratch_path, settled, tune
 from lodestone.sources import eventlog
 from lodestone.sources.base import load_base
 from lodestone.sources.versions import latest_version, mark_complete, next_version
-from lodestone.streaming.ingest import ingest_new_files, read_ingested
+from lodestone.streaming.ingest import daily_series_stream, ingest_new_files, read_ingested
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -137,18 +137,19 @@ def golden_queries() -> dict[str, Query]:
     return {key: on_star(query) for key, query in named.items()}
 
 
-def telemetry_queries() -> dict[str, Query]:
-    def written_log(spark, path):
-        """The whole log as files, written once per application."""
-        root = scratch_path(spark, "log/" + path.strip("/").replace("/", "-"))
-        if latest_version(spark, root) is None:
-            folder = next_version(spark, root)
-            eventlog.append_events(eventlog.trace_events(derived.log_traces(spark, path)), f"{folder}/events")
-            eventlog.append_feedback(
-                eventlog.feedback_events(derived.log_feedback(spark, path)), f"{folder}/events")
-            mark_complete(spark, folder)
-        return f"{latest_version(spark, root)}/events"
+def written_log(spark: SparkSession, path: str) -> str:
+    """The whole log as files, written once per application."""
+    root = scratch_path(spark, "log/" + path.strip("/").replace("/", "-"))
+    if latest_version(spark, root) is None:
+        folder = next_version(spark, root)
+        eventlog.append_events(eventlog.trace_events(derived.log_traces(spark, path)), f"{folder}/events")
+        eventlog.append_feedback(
+            eventlog.feedback_events(derived.log_feedback(spark, path)), f"{folder}/events")
+        mark_complete(spark, folder)
+    return f"{latest_version(spark, root)}/events"
+
 
+def telemetry_queries() -> dict[str, Query]:
     def logged(spark, path):
         return eventlog.read_log(spark, written_log(spark, path))
 
@@ -224,7 +225,18 @@ def monitoring_queries() -> dict[str, Query]:
         votes = merge(None, eventlog.feedback_events(derived.log_feedback(spark, path)), "query_id")
         return rounded(monitoring.summary(enriched(spark, path), votes), "total_cost_usd")
 
+    def streamed(spark, path):
+        """The daily series as a stream over the log; days still open are left out."""
+        root = scratch_path(spark, f"daily/{uuid.uuid4()}")
+        log = spark.readStream.schema(eventlog.EVENT).json(written_log(spark, path))
+        days = daily_series_stream(monitoring.enriched_traces(eventlog.traces_of(log)))
+        days.writeStream.format("parquet").outputMode("append").option(
+            "checkpointLocation", f"{root}/progress").trigger(availableNow=True).start(
+            f"{root}/days").awaitTermination()
+        return rounded(spark.read.schema(days.schema).parquet(f"{root}/days"), "avg_cost_usd")
+
     plain = {
+        "M6_daily_stream": streamed,
         "M1_enriched": lambda spark, path: enriched(spark, path).select(
             "query_id", "date", "category", "usage__prompt_tokens", "usage__completion_tokens", "cost_usd"),
         "M2_cost_by_model": lambda spark, path: rounded(
