@@ -19,6 +19,13 @@ from lodestone.session import tune
 MAX_ROWS = 1000
 TIMEOUT_SECONDS = 10.0
 
+# Functions a statement may read from besides tables: they make rows out of their
+# arguments. And functions it may not call: they run any Java method.
+GENERATORS = {
+    "range", "explode", "explode_outer", "posexplode", "posexplode_outer", "inline", "inline_outer", "stack",
+}
+ESCAPES = ("reflect", "try_reflect", "java_method")
+
 
 class GuardrailViolation(Exception):
     """The statement may not run."""
@@ -67,8 +74,12 @@ def check_governed(spark: SparkSession, sql: str, governed: tuple[str, ...] = ST
         is_local = name in local and not spark.catalog.tableExists(f"`{name}`")
         if not is_local:
             raise GuardrailViolation(f"Not a governed table: {name}")
-    if re.search(r"UnresolvedTableValuedFunction|InsertInto|Command\b", tree):
+    generators = {n.strip().lower() for n in re.findall(r"UnresolvedTableValuedFunction \[([^\]]*)\]", tree)}
+    if generators - GENERATORS or re.search(r"InsertInto|Command\b", tree):
         raise GuardrailViolation("Only governed tables may be read.")
+    escape = re.search(r"'(" + "|".join(ESCAPES) + r")\(", tree, re.IGNORECASE)
+    if escape:
+        raise GuardrailViolation(f"Not an allowed function: {escape.group(1)}")
 
 
 def capped(df: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:

@@ -54,7 +54,7 @@ def test_writes_are_refused(spark, word):
 
 @pytest.mark.parametrize("reply", (
     "```sql\nSELECT 1\n```", "```sql\nSELECT 1", "```\nSELECT 1\n```", "SELECT 1", "SELECT 1;",
-    "  ```SQL\n SELECT 1;\n```  ",
+    "  ```SQL\n SELECT 1;\n```  ", "\u3000SELECT 1\xa0\x1c",
 ))
 def test_sql_is_taken_out_of_a_reply(spark, reply):
     assert spark.range(1).select(sql_of_reply(F.lit(reply)).alias("s")).first().s == "SELECT 1"
@@ -80,7 +80,10 @@ def test_values_are_json_safe(own):
     "SELECT (SELECT MAX(id) FROM raw_orders) AS m FROM dim_region",
     "WITH raw_orders AS (SELECT * FROM raw_orders) SELECT * FROM raw_orders",
     "SELECT * FROM parquet.`/root/testdata/sf0.001/orders.parquet`",
-    "SELECT * FROM range(10)",
+    "SELECT * FROM sql_keywords()",
+    "SELECT reflect('java.lang.System', 'lineSeparator') AS r FROM dim_region",
+    "SELECT nation_key FROM dim_region WHERE java_method('java.lang.Math', 'abs', 1) = 1",
+    "WITH a AS (SELECT Try_Reflect('java.lang.System', 'lineSeparator') AS r) SELECT * FROM a",
     "SELECT * FROM default.dim_region",
 ))
 def test_only_governed_tables_are_read(own, sql):
@@ -88,6 +91,11 @@ def test_only_governed_tables_are_read(own, sql):
         guard.run_guarded(own, sql)
 
 
+def test_rows_may_be_made_from_arguments(own):
+    assert guard.run_guarded(own, "SELECT SUM(id) AS s FROM range(5)").rows == [(10,)]
+    assert guard.run_guarded(own, "SELECT * FROM VALUES (1), (2) AS t(a)").row_count == 2
+
+
 def test_with_names_are_local(own):
     sql = "WITH a AS (SELECT * FROM dim_region), b AS (SELECT * FROM a) SELECT COUNT(*) AS n FROM b"
     assert guard.run_guarded(own, sql).rows == [(25,)]
