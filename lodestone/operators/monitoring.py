@@ -26,6 +26,18 @@ def cost_usd(model: Column, prompt: Column, completion: Column, prices: dict = P
     return F.coalesce(chain.otherwise(0.0) if cases else chain, F.lit(0.0))
 
 
+# Costs add up as exact decimals, so a total does not depend on the order of its rows.
+EXACT_COST = "decimal(28,12)"
+
+
+def total_cost() -> Column:
+    return F.sum(F.col("cost_usd").cast(EXACT_COST)).cast("double")
+
+
+def mean_cost() -> Column:
+    return total_cost() / F.count("cost_usd")
+
+
 def enriched_traces(traces: DataFrame) -> DataFrame:
     """Traces with their date, error category, token counts without gaps, and cost."""
     tokens = {
@@ -55,7 +67,7 @@ def summary(enriched: DataFrame, feedback: DataFrame) -> DataFrame:
     totals = enriched.agg(
         F.count("*").alias("total_queries"),
         F.coalesce(_accuracy(), F.lit(0.0)).alias("execution_accuracy"),
-        F.coalesce(F.sum("cost_usd"), F.lit(0.0)).alias("total_cost_usd"),
+        F.coalesce(total_cost(), F.lit(0.0)).alias("total_cost_usd"),
     )
     votes = feedback.agg(
         F.count("*").alias("votes"),
@@ -83,7 +95,7 @@ def daily_series(enriched: DataFrame) -> DataFrame:
     return (
         enriched.groupBy("date")
         .agg(F.count("*").alias("query_count"), _accuracy().alias("execution_accuracy"),
-             F.avg("cost_usd").alias("avg_cost_usd"))
+             mean_cost().alias("avg_cost_usd"))
         .orderBy("date")
     )
 

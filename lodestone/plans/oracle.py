@@ -330,6 +330,8 @@ priced AS (
               THEN (prompt * 0.15::DOUBLE + completion * 0.60::DOUBLE) / 1000000 ELSE 0.0::DOUBLE END AS cost_usd
   FROM traces)"""
 
+COST = "CAST(SUM(CAST(cost_usd AS DECIMAL(28,12))) AS DOUBLE)"
+
 # Nearest rank from the sorted list: half to even, as index into 0 .. n - 1.
 LATENCY = """
 ranked AS (SELECT latency_seconds AS v, ROW_NUMBER() OVER (ORDER BY latency_seconds) - 1 AS i,
@@ -382,13 +384,13 @@ def monitoring_oracles() -> dict[str, str]:
         "M1_enriched": log(f"""
             SELECT query_id, {day} AS date, category, prompt AS usage__prompt_tokens,
                    completion AS usage__completion_tokens, cost_usd FROM priced"""),
-        "M2_cost_by_model": log("SELECT model, round(SUM(cost_usd), 9) AS cost_usd FROM priced GROUP BY model"),
+        "M2_cost_by_model": log(f"SELECT model, {COST} AS cost_usd FROM priced GROUP BY model"),
         "M3_latency": log("SELECT p50, p95 FROM latency"),
         "M4_categories": log(
             "SELECT COALESCE(error, '') AS error, category, COUNT(*) AS n FROM priced GROUP BY 1, 2"),
-        "M5_summary": log("""
+        "M5_summary": log(f"""
             SELECT COUNT(*) AS total_queries, AVG(CAST(succeeded AS DOUBLE)) AS execution_accuracy,
-              round(SUM(cost_usd), 9) AS total_cost_usd,
+              {COST} AS total_cost_usd,
               CAST((SELECT COUNT(*) FROM last_votes) AS DOUBLE) / COUNT(*) AS feedback_rate,
               (SELECT COUNT(*) FROM last_votes WHERE vote = 'up') AS helpful_count,
               (SELECT COUNT(*) FROM last_votes WHERE vote = 'down') AS not_helpful_count,
@@ -397,10 +399,10 @@ def monitoring_oracles() -> dict[str, str]:
             FROM priced"""),
         "M6_daily": log(f"""
             SELECT {day} AS date, COUNT(*) AS query_count, AVG(CAST(succeeded AS DOUBLE)) AS execution_accuracy,
-                   round(AVG(cost_usd), 9) AS avg_cost_usd FROM priced GROUP BY day"""),
+                   {COST} / COUNT(*) AS avg_cost_usd FROM priced GROUP BY day"""),
         "M6_daily_stream": log(f"""
             SELECT {day} AS date, COUNT(*) AS query_count, AVG(CAST(succeeded AS DOUBLE)) AS execution_accuracy,
-                   round(AVG(cost_usd), 9) AS avg_cost_usd FROM priced
+                   {COST} / COUNT(*) AS avg_cost_usd FROM priced
             WHERE day + INTERVAL 1 DAY <= (SELECT MAX(event_ts) FROM priced) - INTERVAL 1 DAY GROUP BY day"""),
         "M7_failures": log(
             "SELECT category, COUNT(*) AS count FROM priced WHERE NOT succeeded GROUP BY category"),

@@ -218,12 +218,9 @@ def monitoring_queries() -> dict[str, Query]:
         log = eventlog.trace_events(derived.log_traces(spark, path))
         return monitoring.enriched_traces(eventlog.flatten_usage(log))
 
-    def rounded(df, *columns):
-        return df.withColumns({c: F.round(c, 9) for c in columns})
-
     def summary(spark, path):
         votes = merge(None, eventlog.feedback_events(derived.log_feedback(spark, path)), "query_id")
-        return rounded(monitoring.summary(enriched(spark, path), votes), "total_cost_usd")
+        return monitoring.summary(enriched(spark, path), votes)
 
     def streamed(spark, path):
         """The daily series as a stream over the log; days still open are left out."""
@@ -233,21 +230,20 @@ def monitoring_queries() -> dict[str, Query]:
         days.writeStream.format("parquet").outputMode("append").option(
             "checkpointLocation", f"{root}/progress").trigger(availableNow=True).start(
             f"{root}/days").awaitTermination()
-        return rounded(spark.read.schema(days.schema).parquet(f"{root}/days"), "avg_cost_usd")
+        return spark.read.schema(days.schema).parquet(f"{root}/days")
 
     plain = {
         "M6_daily_stream": streamed,
         "M1_enriched": lambda spark, path: enriched(spark, path).select(
             "query_id", "date", "category", "usage__prompt_tokens", "usage__completion_tokens", "cost_usd"),
-        "M2_cost_by_model": lambda spark, path: rounded(
-            enriched(spark, path).groupBy("model").agg(F.sum("cost_usd").alias("cost_usd")), "cost_usd"),
+        "M2_cost_by_model": lambda spark, path: enriched(spark, path).groupBy("model").agg(
+            monitoring.total_cost().alias("cost_usd")),
         "M3_latency": lambda spark, path: nearest_rank(
             enriched(spark, path), "latency_seconds", {"p50": 0.5, "p95": 0.95}),
         "M4_categories": lambda spark, path: enriched(spark, path).groupBy("error", "category").agg(
             F.count("*").alias("n")).select(F.coalesce("error", F.lit("")).alias("error"), "category", "n"),
         "M5_summary": summary,
-        "M6_daily": lambda spark, path: rounded(
-            monitoring.daily_series(enriched(spark, path)), "avg_cost_usd"),
+        "M6_daily": lambda spark, path: monitoring.daily_series(enriched(spark, path)),
         "M7_failures": lambda spark, path: monitoring.failure_categories(enriched(spark, path)),
         "M8_trace_page": lambda spark, path: monitoring.trace_page(
             enriched(spark, path), limit=100, offset=50),

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from lodestone.operators.monitoring import mean_cost
 from lodestone.operators.upsert import merge
 from lodestone.sources.eventlog import EVENT, feedback_of, traces_of
 from lodestone.sources.versions import path_exists
@@ -51,7 +52,7 @@ def daily_series_stream(traces: DataFrame, lateness: str = "1 day") -> DataFrame
         .agg(
             F.count("*").alias("query_count"),
             F.avg(F.col("succeeded").cast("double")).alias("execution_accuracy"),
-            F.avg("cost_usd").alias("avg_cost_usd"),
+            mean_cost().alias("avg_cost_usd"),
         )
         .select(F.to_date("day.start").alias("date"), "query_count", "execution_accuracy", "avg_cost_usd")
     )
