@@ -7,12 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm import decontaminate, langid, mixing, simhash, tokens
+from lodestone.llm import ann, decontaminate, htmltext, katz, langid, mixing, passages, simhash, tokens, toxicity
 from lodestone.llm.blocks import crc_mod
 from lodestone.llm.oracle import ORACLES
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
+TOXIC_FROM = 0.3
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +33,26 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = crc_mod("doc_id", 4) == 2
+    docs = _table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity.train(docs, _table(spark, sf_dir, "labels"), ~held_out))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"))
+
+
+def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(_table(spark, sf_dir, "documents"))
+
+
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = htmltext.extract(_table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op6_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokens.write_tokens(_table(spark, sf_dir, "documents"), tokenizer_path(), end_id=END_ID)
     return tokens.read_tokens(spark, path, with_ids=False).drop("ids")
@@ -47,6 +68,13 @@ def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = crc_mod("doc_id", 5) == 1
+    scored = katz.score(docs, katz.fit(docs, ~held_out))
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -64,9 +92,14 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_id": op1_language_id,
+        "op2_toxicity": op2_toxicity,
+        "op3_nearest_neighbours": op3_nearest_neighbours,
+        "op4_substring_dedup": op4_substring_dedup,
+        "op5_html_extraction": op5_html_extraction,
         "op6_token_output": op6_token_output,
         "op7_mixing": op7_mixing,
         "op8_simhash_dedup": op8_simhash_dedup,
+        "op9_lm_scoring": op9_lm_scoring,
         "op10_decontamination": op10_decontamination,
         "pipeline": pipeline,
     }
