@@ -15,7 +15,7 @@ import os
 import struct
 import uuid
 import zlib
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +33,7 @@ BLOCK = 1024
 FRAME_IDS = 1 << 18
 MAGIC = b"S8B1"
 #: Words whose ids a worker remembers.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 900_000
 
 
 def pack(values: np.ndarray) -> bytes:
@@ -43,12 +43,10 @@ def pack(values: np.ndarray) -> bytes:
     blocks = -(-n // BLOCK)
     stop = np.minimum((np.arange(n) // BLOCK + 1) * BLOCK, n)  # where each id's block ends
     width = _widths(values)
-    choice = np.full(n, -1, np.int64)
-    for selector in [0, *range(2, 16)]:
-        over = np.where(width > BITS[selector], np.arange(n), n)
-        ahead = np.minimum.accumulate(over[::-1])[::-1] if n else over  # the next id that doesn't fit
-        fits = (ahead - np.arange(n) >= COUNTS[selector]) | (ahead >= stop)
-        choice[(choice < 0) & fits] = selector
+    choice = np.full(n, -1, np.int8)
+    for selector in range(15, 1, -1):  # the last that fits holds the most ids
+        choice[_fitting(width, stop, selector)] = selector
+    choice[_fitting(width, stop, 0)] = 0
     choice[choice < 0] = ESCAPE
     step = np.minimum(COUNTS[choice], stop - np.arange(n))
     at = np.arange(blocks) * BLOCK
@@ -75,6 +73,16 @@ def pack(values: np.ndarray) -> bytes:
     return MAGIC + struct.pack("<III", n, len(words), len(escaped)) + offsets.tobytes() + words.astype("<u8").tobytes() + values[escaped].astype("<u8").tobytes()
 
 
+def _fitting(width: np.ndarray, stop: np.ndarray, selector: int) -> np.ndarray:
+    """Where a word of this selector can start: its ids fit, or all to the block's end do."""
+    small = np.flatnonzero(width <= BITS[selector])
+    if not len(small):
+        return small
+    last = np.flatnonzero(np.append(np.diff(small) > 1, True))  # of each run of ids that fit
+    end = np.repeat(small[last] + 1, np.diff(np.append(-1, last)))
+    return small[(end - small >= COUNTS[selector]) | (end >= stop[small])]
+
+
 def _widths(values: np.ndarray) -> np.ndarray:
     """Bits each value needs, 0 to 64."""
     width = np.zeros(len(values), np.int64)
@@ -132,32 +140,47 @@ class WordEncoder:
 
     def clear(self) -> None:
         self.index: dict[str, int] = {}
-        self.heads: dict[str, np.ndarray] = {}
-        self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
-        self.first, self.size = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+        self.pieces: dict[str, int] = {"": 0}
+        self.flat, self.used = np.zeros(1 << 20, np.uint32), 0
+        self.first, self.size = np.zeros(1 << 18, np.int64), np.zeros(1 << 18, np.int32)  # of pieces
+        self.parts = np.zeros((1 << 18, 2), np.int32)  # of words
+
+    def _encode_pieces(self, new: list[str]) -> None:
+        pieces = self.pieces
+        for i in range(0, len(new), 1 << 14):
+            some = new[i : i + (1 << 14)]
+            ids = [e.ids for e in self.library.encode_batch_fast(some, add_special_tokens=False)]
+            size = np.fromiter(map(len, ids), np.int64, len(ids))
+            total, known = int(size.sum()), len(pieces)
+            while self.used + total > len(self.flat):
+                self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+            while known + len(some) > len(self.first):
+                self.first, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.first, self.size))
+            self.flat[self.used : self.used + total] = np.fromiter(chain.from_iterable(ids), np.uint32, total)
+            self.size[known : known + len(some)] = size
+            self.first[known : known + len(some)] = self.used + np.cumsum(size) - size
+            self.used += total
+            pieces.update(zip(some, range(known, known + len(some)), strict=True))
 
     def _learn(self, words: list[str]) -> None:
-        parts = {}
+        heads, tails = [], []
         for word in words:
             head = word.rstrip(self.TAIL)
-            parts[word] = (head, word[len(head) :]) if head.isalpha() and head != word else (word,)
-        new = list({p for two in parts.values() for p in two if p and p not in self.heads})
-        for i in range(0, len(new), 1 << 14):
-            some = new[i : i + (1 << 14)]
-            for p, e in zip(some, self.library.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                self.heads[p] = np.array(e.ids, np.uint32)
-        none = np.zeros(0, np.uint32)
-        ids = [np.concatenate([self.heads.get(p, none) for p in parts[w]]) for w in words]
-        total = sum(map(len, ids))
-        while self.used + total > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        while len(self.index) + len(words) > len(self.first):
-            self.first, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.first, self.size))
-        for word, own in zip(words, ids, strict=True):
-            k = self.index[word] = len(self.index)
-            self.first[k], self.size[k] = self.used, len(own)
-            self.flat[self.used : self.used + len(own)] = own
-            self.used += len(own)
+            if head.isalpha():
+                heads.append(head.lower() if head.isascii() else head)
+                tails.append(word[len(head) :])
+            else:
+                heads.append(word)
+                tails.append("")
+        pieces = self.pieces
+        self._encode_pieces([p for p in dict.fromkeys([*heads, *tails]) if p not in pieces])
+        known = len(self.index)
+        while known + len(words) > len(self.parts):
+            self.parts = np.concatenate([self.parts, np.zeros_like(self.parts)])
+        own = self.parts[known : known + len(words)]
+        own[:, 0] = np.fromiter(map(pieces.__getitem__, heads), np.int32, len(words))
+        own[:, 1] = np.fromiter(map(pieces.__getitem__, tails), np.int32, len(words))
+        self.index.update(zip(words, range(known, known + len(words)), strict=True))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after another, and how many each has."""
@@ -169,15 +192,17 @@ class WordEncoder:
             own = text.replace("\n", " ").split(" ")
             counts[i] = len(own)
             words += own
-        at = np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
-        new = np.flatnonzero(at < 0)
-        if len(new):
-            self._learn(list(dict.fromkeys(words[i] for i in new.tolist())))
-            at[new] = np.fromiter((self.index[words[i]] for i in new.tolist()), np.int64, len(new))
-        size = self.size[at]
-        ends = np.cumsum(size)
-        ids = self.flat[np.repeat(self.first[at] - (ends - size), size) + np.arange(int(ends[-1]) if len(ends) else 0)]
-        upto = np.append(0, ends)[np.append(0, np.cumsum(counts))]
+        at = np.fromiter(map(self.index.get, words, repeat(-1)), np.int32, len(words))
+        new = np.flatnonzero(at < 0).tolist()
+        if new:
+            missing = [words[i] for i in new]
+            self._learn(list(dict.fromkeys(missing)))
+            at[new] = np.fromiter(map(self.index.__getitem__, missing), np.int32, len(new))
+        piece = self.parts[at].ravel()
+        size = self.size[piece]
+        ends = np.cumsum(size, dtype=np.int64)
+        ids = self.flat[np.repeat(self.first[piece] - (ends - size), size) + np.arange(int(ends[-1]) if len(ends) else 0)]
+        upto = np.append(0, ends)[2 * np.append(0, np.cumsum(counts))]
         return ids, np.diff(upto)
 
 
@@ -191,7 +216,7 @@ def encoder(path: str) -> WordEncoder:
 
 
 #: Characters encoded at a time.
-TEXT_SLICE = 1 << 20
+TEXT_SLICE = 1 << 21
 
 
 def write_tokens(docs: DataFrame, tokenizer: str, path: str | None = None, id_col: str = "doc_id",
