@@ -187,7 +187,7 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 10, id_col: str = "vec
                 far = np.sqrt(((y - q) ** 2).sum(axis=1))
                 best = np.lexsort((first, far))[: k + 1]
                 out.append(pd.DataFrame({"key": asked["key"].iloc[i], "first_id": asked["first_id"].iloc[i], "score": far[best], "ids": own["ids"].iloc[best].to_numpy()}))
-        return pd.concat(out) if out else pd.DataFrame({"key": [], "first_id": [], "score": [], "ids": []})
+        return pd.concat(out) if out else pd.DataFrame({"key": [], "first_id": [], "score": [], "ids": pd.Series([], dtype=object)})
 
     met = visits.groupBy("leaf").cogroup(index.drop("key").groupBy("leaf")).applyInPandas(compare, "key long, first_id long, score double, ids array<long>")
     near = F.row_number().over(Window.partitionBy("key", "first_id").orderBy("score", F.col("ids")[0]))
