@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 from lodestone.session import scratch_path
 
 #: Bytes of text that NumPy code handles at a time; one longer text is handled alone.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 #: Files of a finished job's shuffles are of no more use once its table is written.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 U64 = np.uint64
 
@@ -40,13 +41,32 @@ def freed_shuffles(spark: SparkSession):
             spark.conf.set(CLEANUP, before)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """The rows as a table in the shared folder: lineage ends there and lost executors don't matter."""
+def written(df: DataFrame, name: str, batch_rows: int | None = None) -> DataFrame:
+    """The rows as a table in the shared folder: lineage ends there and lost executors don't matter.
+
+    ``batch_rows``: rows that go to Python at a time, fewer than usual where a row is large.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, f"llm/{name}-{uuid.uuid4().hex}")
-    with freed_shuffles(spark):
-        df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(BATCH_ROWS)
+    try:
+        if batch_rows:
+            spark.conf.set(BATCH_ROWS, str(batch_rows))
+        with freed_shuffles(spark):
+            df.write.parquet(path)
+    finally:
+        spark.conf.set(BATCH_ROWS, before)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.written_to = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``written`` made and nothing reads any more."""
+    for table in tables:
+        spark = table.sparkSession
+        folder = spark._jvm.org.apache.hadoop.fs.Path(table.written_to)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def bucket_count(spark: SparkSession, factor: int = 2, least: int = 64) -> int:
