@@ -25,6 +25,10 @@ GENERATORS = {
     "range", "explode", "explode_outer", "posexplode", "posexplode_outer", "inline", "inline_outer", "stack",
 }
 ESCAPES = ("reflect", "try_reflect", "java_method")
+# Written anywhere in a statement: names made from strings, and calls of the functions above.
+COMMENTS = r"(?:\s|/\*.*?\*/|--[^\n]*\n)*"
+BANNED = re.compile(rf"(?<![\w])`?(identifier|{'|'.join(ESCAPES)})`?{COMMENTS}\(", re.IGNORECASE | re.DOTALL)
+SHOWN_FIELDS = "spark.sql.debug.maxToStringFields"
 
 
 class GuardrailViolation(Exception):
@@ -64,7 +68,17 @@ def check_governed(spark: SparkSession, sql: str, governed: tuple[str, ...] = ST
     Spark's own parser names the relations. A WITH name is allowed only if no
     table or view has it, because inside its own definition it means that table.
     """
-    tree = spark._jsparkSession.sessionState().sqlParser().parsePlan(sql).treeString()
+    banned = BANNED.search(sql)
+    if banned:
+        raise GuardrailViolation(f"Not an allowed function: {banned.group(1)}")
+    before = spark.conf.get(SHOWN_FIELDS)
+    spark.conf.set(SHOWN_FIELDS, str(2**31 - 1))  # long lists of columns are shown whole
+    try:
+        tree = spark._jsparkSession.sessionState().sqlParser().parsePlan(sql).treeString()
+    finally:
+        spark.conf.set(SHOWN_FIELDS, before)
+    if re.search("WithUnresolvedIdentifier", tree, re.IGNORECASE):
+        raise GuardrailViolation("Names made from strings may not be read.")
     names = {n.strip() for n in re.findall(r"UnresolvedRelation \[([^\]]*)\]", tree)}
     local = {n.strip() for group in re.findall(r"\bCTE \[([^\]]*)\]", tree) for n in group.split(",")}
     allowed = {g.lower() for g in governed}
@@ -104,12 +118,14 @@ def run_guarded(
     context = spark.sparkContext
     group = f"guarded-{uuid.uuid4()}"
     outcome: dict = {}
-    done = threading.Event()
+    done, stopped = threading.Event(), threading.Event()
 
     def work() -> None:
         try:
             context.setJobGroup(group, "guarded query", interruptOnCancel=True)
             df = json_safe(plan_guarded(spark, sql, max_rows))
+            if stopped.is_set():
+                return
             outcome["rows"] = [tuple(r) for r in df.collect()]
             outcome["columns"] = df.columns
         except Exception as error:  # handed to the caller below
@@ -119,7 +135,8 @@ def run_guarded(
 
     InheritableThread(target=work, daemon=True).start()
     if not done.wait(timeout_seconds):
-        context.cancelJobGroup(group)
+        stopped.set()
+        context._jsc.sc().cancelJobGroupAndFutureJobs(group)  # also those that planning has yet to start
         raise QueryTimeout(f"Query exceeded {timeout_seconds}s and was cancelled.")
     if "error" in outcome:
         raise outcome["error"]

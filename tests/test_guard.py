@@ -85,6 +85,12 @@ def test_values_are_json_safe(own):
     "SELECT nation_key FROM dim_region WHERE java_method('java.lang.Math', 'abs', 1) = 1",
     "WITH a AS (SELECT Try_Reflect('java.lang.System', 'lineSeparator') AS r) SELECT * FROM a",
     "SELECT * FROM default.dim_region",
+    "SELECT COUNT(*) FROM IDENTIFIER('raw_customer')",
+    "SELECT COUNT(*) FROM IDENTIFIER('raw_' || 'customer')",
+    "SELECT COUNT(*) FROM identifier /* x */ ('parquet.`/root/testdata/sf0.001/orders.parquet`')",
+    "SELECT IDENTIFIER('reflect')('java.lang.Math','abs',-1)",
+    f"SELECT {', '.join(f'nation_key AS c{i}' for i in range(30))}, reflect('java.lang.Math','abs',-1) FROM dim_region",
+    f"SELECT * FROM dim_region WHERE nation_key IN ({', '.join(map(str, range(40)))}, `reflect`('java.lang.Math','abs',-1))",
 ))
 def test_only_governed_tables_are_read(own, sql):
     with pytest.raises(guard.GuardrailViolation):
@@ -119,3 +125,12 @@ def test_timeout_returns_control_and_keeps_the_session(own):
         guard.run_guarded(own, slow, timeout_seconds=1.0)
     assert time.time() - started < 5
     assert guard.run_guarded(own, "SELECT COUNT(*) AS n FROM dim_region").rows == [(25,)]
+
+
+def test_timeout_while_planning_leaves_no_job(own):
+    slow = ("SELECT SUM(a.quantity * b.quantity) AS s FROM fact_orders a JOIN fact_orders b "
+            "ON a.return_flag = b.return_flag JOIN fact_orders c ON b.return_flag = c.return_flag")
+    with pytest.raises(guard.QueryTimeout):
+        guard.run_guarded(own, slow, timeout_seconds=0.05)
+    time.sleep(4)
+    assert not own.sparkContext.statusTracker().getActiveJobsIds()
