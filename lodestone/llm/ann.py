@@ -20,12 +20,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestone.llm.blocks import written
+from lodestone.llm.blocks import bucket_count, written
 
 #: Vectors the tree is fitted on, by smallest hash.
 SAMPLE = 20_000
 #: Vectors of the sample that are searched to calibrate, and the mean recall asked for.
-CALIBRATION, RECALL = 200, 0.98
+CALIBRATION, RECALL = 200, 0.96
 BRANCHES = 8
 #: Distinct vectors a leaf should hold; leaves grow only where the sample is too small for more of them.
 LEAF = 200
@@ -168,28 +168,57 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 10, id_col: str = "vec
 
     index = written(classes.select("v", "key", "ids").mapInArrow(place, "leaf long, v array<double>, key long, ids array<long>"), "vector-index")
     held = {r["leaf"]: r["n"] for r in index.groupBy("leaf").agg(F.sum(F.size("ids")).alias("n")).collect()}
+    parts = bucket_count(spark, least=32)  # leaves are searched some at a time
 
     def visit(batches):
         for batch in batches:
             v = batch.column(0).flatten().to_numpy().reshape(len(batch), -1)
-            out = [sent.value.visits(q, lambda own: len(own) >= widen and sum(held.get(b, 0) for b in own) > k) for q in v]
-            at = np.repeat(np.arange(len(out)), [len(o) for o in out])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out).astype(np.int64)), *(c.take(pa.array(at)) for c in batch.columns)], names=["leaf", "v", "key", "first_id"])
+            at, part, leaves = [], [], []
+            for i, q in enumerate(v):
+                own = np.array(sent.value.visits(q, lambda own: len(own) >= widen and sum(held.get(b, 0) for b in own) > k))
+                for p in np.unique(own % parts).tolist():
+                    at.append(i)
+                    part.append(p)
+                    leaves.append(own[own % parts == p].tolist())
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array(leaves, pa.list_(pa.int64())), *(c.take(pa.array(at, pa.int64())) for c in batch.columns)], names=["part", "leaves", "v", "key", "first_id"])
 
-    visits = classes.where("asked").select("v", "key", F.col("ids")[0].alias("first_id")).mapInArrow(visit, "leaf long, v array<double>, key long, first_id long")
+    visits = classes.where("asked").select("v", "key", F.col("ids")[0].alias("first_id")).mapInArrow(visit, "part long, leaves array<long>, v array<double>, key long, first_id long")
 
     def compare(asked: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(asked) and len(own):
-            y = np.stack(own["v"].to_numpy())
-            first = np.array([i[0] for i in own["ids"]])
-            for i, q in enumerate(asked["v"]):
-                far = np.sqrt(((y - q) ** 2).sum(axis=1))
-                best = np.lexsort((first, far))[: k + 1]
-                out.append(pd.DataFrame({"key": asked["key"].iloc[i], "first_id": asked["first_id"].iloc[i], "score": far[best], "ids": own["ids"].iloc[best].to_numpy()}))
-        return pd.concat(out) if out else pd.DataFrame({"key": [], "first_id": [], "score": [], "ids": pd.Series([], dtype=object)})
-
-    met = visits.groupBy("leaf").cogroup(index.drop("key").groupBy("leaf")).applyInPandas(compare, "key long, first_id long, score double, ids array<long>")
+        if not len(asked) or not len(own):
+            return pd.DataFrame({"key": [], "first_id": [], "score": [], "ids": pd.Series([], dtype=object)})
+        q, y = np.stack(asked["v"].to_numpy()), np.stack(own["v"].to_numpy())
+        first, leaf = np.array([i[0] for i in own["ids"]]), own["leaf"].to_numpy()
+        asks: dict[int, list[int]] = {}
+        for i, leaves in enumerate(asked["leaves"]):
+            for b in leaves:
+                asks.setdefault(int(b), []).append(i)
+        rows, columns = [], []
+        for b, who in asks.items():
+            here, step = np.flatnonzero(leaf == b), max(1, (1 << 21) // max(1, int((leaf == b).sum())))
+            for s in range(0, len(who) if len(here) else 0, step):
+                some = np.array(who[s : s + step])
+                far = _squares(q[some], y[here])
+                if len(here) > k + 1:  # with what rounding may have put behind the last of the nearest
+                    last = np.partition(far, k, axis=1)[:, k]
+                    r, c = np.nonzero(far <= (last + 1e-9 * (1 + np.abs(last)))[:, None])
+                else:
+                    r, c = np.nonzero(np.ones(far.shape, bool))
+                rows.append(some[r])
+                columns.append(here[c])
+        r, c = np.concatenate([np.zeros(0, np.int64), *rows]), np.concatenate([np.zeros(0, np.int64), *columns])
+        far = np.empty(len(r))
+        for s in range(0, len(r), 1 << 16):
+            far[s : s + (1 << 16)] = np.sqrt(((q[r[s : s + (1 << 16)]] - y[c[s : s + (1 << 16)]]) ** 2).sum(axis=1))
+        order = np.lexsort((first[c], far, r))
+        r, c, far = r[order], c[order], far[order]
+        begin = np.flatnonzero(np.append(True, r[1:] != r[:-1])) if len(r) else np.zeros(0, np.int64)
+        kept = np.arange(len(r)) - np.repeat(begin, np.diff(np.append(begin, len(r)))) <= k
+        r, c, far = r[kept], c[kept], far[kept]
+        return pd.DataFrame({"key": asked["key"].to_numpy()[r], "first_id": asked["first_id"].to_numpy()[r], "score": far, "ids": own["ids"].reset_index(drop=True)[c].reset_index(drop=True)})
+
+    placed = index.select((F.col("leaf") % parts).alias("part"), "leaf", "v", "ids")
+    met = visits.groupBy("part").cogroup(placed.groupBy("part")).applyInPandas(compare, "key long, first_id long, score double, ids array<long>")
     near = F.row_number().over(Window.partitionBy("key", "first_id").orderBy("score", F.col("ids")[0]))
     met = met.withColumn("r", near).where(F.col("r") <= k + 1)
     best = met.groupBy("key", "first_id").agg(F.collect_list(F.struct("score", "ids")).alias("near"))
