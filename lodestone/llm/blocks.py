@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -74,6 +76,25 @@ def bucket_count(spark: SparkSession, factor: int = 2, least: int = 64) -> int:
     return max(least, factor * int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+#: What this worker process remembers from task to task, by name.
+KEPT: dict[str, object] = {}
+
+
+def release(but: str | None = None) -> None:
+    """At the start of a task: give back what the worker still holds of earlier stages.
+
+    Spark reuses its Python workers, so without this a stage's tables and freed arrays
+    would stay beside the next stage's. What is kept under the name ``but`` stays.
+    """
+    if others := [name for name in KEPT if name != but]:
+        for name in others:
+            del KEPT[name]
+        gc.collect()
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # where the C library has it
+        trim(0)
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Bytes of all texts, the offset of each text and whether it is null."""
     if isinstance(column, pa.ChunkedArray):

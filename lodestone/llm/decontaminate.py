@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.blocks import NOT_WORD, U64, Words, shingle_hashes, slices, utf8, written
+from lodestone.llm.blocks import NOT_WORD, U64, Words, release, shingle_hashes, slices, utf8, written
 
 WINDOW = 10
 GRAM = 5
@@ -161,6 +161,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 def _scan(sent, gram: int, window: int):
     def run(batches):
+        release()
         block: Block = sent.value
         for batch in batches:
             names = batch.schema.names

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestone.llm.blocks import slices, utf8, written
+from lodestone.llm.blocks import release, slices, utf8, written
 
 #: N-grams in a profile.
 PROFILE = 400
@@ -110,6 +110,7 @@ def language_profiles(docs: DataFrame, train: Column | None = None, text_col: st
     rows = rows.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches):
+        release()
         for batch in batches:
             lang = batch.column(0).dictionary_encode()
             lang = lang if isinstance(lang, pa.DictionaryArray) else lang.combine_chunks()
@@ -175,6 +176,7 @@ def identify(docs: DataFrame, profiles: DataFrame, id_col: str = "doc_id", text_
                         F.lit(None).cast("string").alias("lang_pred"), F.lit(None).cast("double").alias("score"))
 
     def run(batches):
+        release()
         for batch in batches:
             names = batch.schema.names
             raw, at, _ = utf8(batch.column(names.index("_text")))

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.blocks import U64, local_components, mixed, utf8, written
+from lodestone.llm.blocks import U64, local_components, mixed, release, utf8, written
 from lodestone.llm.graph import connected_components
 
 SHINGLE_WORDS = 4
@@ -67,6 +67,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     tables = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), row_key(id_col, text_col).alias("key"))
 
     def run(batches):
+        release()
         for batch in batches:
             raw, at, _ = utf8(batch.column(1))
             data = raw.tobytes()
@@ -146,6 +147,7 @@ def near_links(distinct: DataFrame, distance: int = MAX_DISTANCE, buckets: int =
     reach[code(ball_masks(distance // 2)) & (buckets - 1)] = True
 
     def deal(batches):
+        release()
         for batch in batches:
             fps = batch.column(0).to_numpy(zero_copy_only=False).view(U64)
             own = code(fps) & (buckets - 1)
@@ -155,6 +157,7 @@ def near_links(distinct: DataFrame, distance: int = MAX_DISTANCE, buckets: int =
                     yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([mine.tobytes()], pa.binary())], names=["bucket", "fps"])
 
     def join(pdf: pd.DataFrame) -> pd.DataFrame:
+        release()
         fps = np.unique(np.frombuffer(b"".join(pdf["fps"]), U64))
         a, b = meet(fps, int(pdf["bucket"].iloc[0]), buckets, distance)
         return pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})

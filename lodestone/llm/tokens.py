@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lodestone.llm.blocks import U64, freed_shuffles
+from lodestone.llm.blocks import KEPT, U64, freed_shuffles, release
 from lodestone.session import scratch_path
 
 #: Ids a word holds and bits of each, by selector. Fixed by the format; selector 1 is the escape.
@@ -206,13 +206,12 @@ class WordEncoder:
         return ids, np.diff(upto)
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
-
-
 def encoder(path: str) -> WordEncoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
+    """The worker's encoder, which lasts until a task of another kind comes."""
+    release(but=path)
+    if path not in KEPT:
+        KEPT[path] = WordEncoder(path)
+    return KEPT[path]
 
 
 #: Characters encoded at a time.
@@ -298,6 +297,7 @@ def read_tokens(spark: SparkSession, path: str, with_ids: bool = True) -> DataFr
     shards = shards.select("shard", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("ahead"))
 
     def run(batches):
+        release()
         for batch in batches:
             for i in range(len(batch)):
                 shard, before, keys, sizes, words = (batch.column(k)[i] for k in range(5))
