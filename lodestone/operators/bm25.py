@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from lodestone.functions.text import tokenize
 from lodestone.functions.vectors import as_double, unit
-from lodestone.sources.base import spread
 from lodestone.sources.versions import latest_version, mark_complete, next_version
 
 # The usual BM25 parameters, and the share of the mean idf that a
@@ -117,7 +116,7 @@ def build_index(documents: DataFrame, vectors: DataFrame | None = None) -> Index
     Vectors are put at unit length and stored beside the terms, so that later
     searches read one table and join nothing.
     """
-    rows = bags(spread(documents, "doc_id"))
+    rows = bags(documents)
     if vectors is None:
         rows = rows.withColumn("vector", F.lit(None).cast("array<double>"))
     else:

@@ -477,7 +477,6 @@ def guard_oracles() -> dict[str, str]:
     outside = "Question asks for a rate/share, but the result falls outside [0, 1]."
     fine = "Result looks plausible."
     asked = (
-        ("What share of revenue is the total?", "SELECT CAST(SUM(net_revenue) AS DOUBLE) FROM fact_orders"),
         ("What rate does a typical order reach?", f"SELECT {AOV} FROM fact_orders"),
         ("What is the repeat customer rate?", REPEAT),
         ("Which fraction is discounted?", "SELECT CAST(AVG(discount) AS DOUBLE) FROM fact_orders"),
@@ -487,7 +486,9 @@ def guard_oracles() -> dict[str, str]:
         SELECT question, NOT (is_rate AND value NOT BETWEEN 0 AND 1) AS plausible,
                CASE WHEN is_rate AND value NOT BETWEEN 0 AND 1 THEN '{outside}' ELSE '{fine}' END AS reason
         FROM ({rates} UNION ALL
-              SELECT 'How many orders are there?', COUNT(DISTINCT order_key), false FROM fact_orders)""")
+              SELECT 'How many orders are there?', COUNT(DISTINCT order_key), false FROM fact_orders UNION ALL
+              -- asks for a share, but an exact decimal is not range-checked
+              SELECT 'What share of revenue is the total?', SUM(net_revenue), false FROM fact_orders)""")
     return {
         "G1_classify": tries(f"""
             SELECT question_id, attempt_no, {refusal('reply')} AS rejection, {refusal('reply')} = '' AS allowed,

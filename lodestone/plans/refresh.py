@@ -32,7 +32,7 @@ def build_warehouse(spark: SparkSession, raw_dir: str, root: str) -> DataFrame:
     which no reader opens.
     """
     folder = next_version(spark, root)
-    star = Warehouse.derive(spark, raw_dir, spread_lines=True)
+    star = Warehouse.derive(spark, raw_dir)
     with ThreadPoolExecutor(len(STAR_TABLES)) as pool:  # the dimensions fill cores the fact leaves idle
         list(pool.map(
             lambda item: write_clustered(item[1], f"{folder}/{item[0]}", LAYOUT_KEYS[item[0]]), star.items()))

@@ -295,7 +295,7 @@ def guard_queries() -> dict[str, Query]:
 
     def plausible(w):
         checks = [
-            answers.plausibility(F.lit(question), json_safe(metrics.metric(w, name)))
+            answers.plausibility(F.lit(question), metrics.metric(w, name))
             for name, question in METRIC_QUESTIONS.items()
         ]
         return reduce(DataFrame.unionByName, checks)

@@ -9,6 +9,7 @@ from lodestone.operators.star import STAR_TABLES, Warehouse
 from lodestone.plans import golden
 from lodestone.plans import derived
 from lodestone.plans.refresh import build_warehouse, nightly_refresh
+from lodestone.session import tune
 from lodestone.sources.versions import drop_old_versions, latest_version, mark_complete, next_version
 
 LINES = (
@@ -176,3 +177,29 @@ def test_old_versions_go_and_the_newest_stay(spark, tmp_path):
             mark_complete(spark, folder)
     assert [f[-2:] for f in drop_old_versions(spark, root, keep=2)] == ["v1", "v2"]
     assert spark.read.parquet(f"{latest_version(spark, root)}/x").count() == 5
+
+
+def test_a_hot_order_is_split_in_the_build(spark, tmp_path):
+    """Most lines on one order, in a few files: the join's plan divides that order's lines."""
+    lines = spark.range(60_000).select(
+        F.when(F.col("id") % 10 < 7, 1).otherwise(F.col("id")).alias("l_orderkey"), F.col("id").cast("int").alias("l_linenumber"),
+        *(F.lit(1).cast("decimal(15,2)").alias(c) for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")),
+        *(F.xxhash64("id", F.lit(c)).alias(c) for c in ("l_partkey", "l_suppkey")),
+        *(F.lit("N").alias(c) for c in ("l_returnflag", "l_linestatus")),
+        *(F.lit("2024-01-01").alias(c) for c in ("l_shipdate", "l_commitdate", "l_receiptdate")))
+    lines.repartition(3).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(60_000).select(
+        F.col("id").alias("o_orderkey"), F.col("id").alias("o_custkey"), F.lit(1).alias("o_totalprice"), F.lit("2024-01-01").alias("o_orderdate"),
+        F.lit("O").alias("o_orderstatus"), F.lit("1").alias("o_orderpriority")).write.parquet(f"{tmp_path}/orders.parquet")
+    own = spark.newSession()
+    tune(own)
+    for key, value in {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16",
+                       "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k",
+                       "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+                       "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5"}.items():
+        own.conf.set(key, value)
+    fact = Warehouse.derive(own, str(tmp_path)).fact
+    assert len(fact.collect()) == 60_000
+    plan = fact._jdf.queryExecution().executedPlan().toString()
+    assert "skew=true" in plan
+    assert "REPARTITION_BY_NUM" not in plan
