@@ -1,4 +1,5 @@
 import time
+from decimal import Decimal
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -89,6 +90,11 @@ def test_values_are_json_safe(own):
     "SELECT COUNT(*) FROM IDENTIFIER('raw_' || 'customer')",
     "SELECT COUNT(*) FROM identifier /* x */ ('parquet.`/root/testdata/sf0.001/orders.parquet`')",
     "SELECT IDENTIFIER('reflect')('java.lang.Math','abs',-1)",
+    "SELECT * FROM dim_region LATERAL VIEW java_method('java.lang.Math', 'abs', 1) t AS z",
+    "SELECT input_file_name() AS f FROM dim_region",
+    "SELECT system.builtin.reflect('java.lang.Math','abs',-1) FROM dim_region",
+    "SELECT nation_key, SUM(nation_key) OVER (ORDER BY version()) AS s FROM dim_region",
+    "SELECT * FROM (FROM raw_orders |> SELECT id)",
     f"SELECT {', '.join(f'nation_key AS c{i}' for i in range(30))}, reflect('java.lang.Math','abs',-1) FROM dim_region",
     f"SELECT * FROM dim_region WHERE nation_key IN ({', '.join(map(str, range(40)))}, `reflect`('java.lang.Math','abs',-1))",
 ))
@@ -97,6 +103,34 @@ def test_only_governed_tables_are_read(own, sql):
         guard.run_guarded(own, sql)
 
 
+@pytest.mark.parametrize("sql", (
+    "SELECT 'identifier(' AS a, COUNT(DISTINCT nation_key) FILTER (WHERE nation_key > 1) AS n FROM dim_region",
+    "SELECT EXTRACT(YEAR FROM DATE'2020-01-02') AS y, typeof(nation_key) AS t, upper(trim(region_name)) AS u FROM dim_region",
+    "SELECT region_name || 'x' AS r, CASE WHEN nation_key BETWEEN 1 AND 3 THEN 1 END AS c FROM dim_region WHERE region_name LIKE 'A%'",
+    "SELECT * FROM (SELECT region_name, nation_key FROM dim_region) PIVOT (COUNT(*) FOR region_name IN ('ASIA' AS a))",
+    "SELECT /*+ BROADCAST(r) */ r.nation_key, x FROM dim_region r LATERAL VIEW explode(array(1, 2)) t AS x",
+    "SELECT ROW_NUMBER() OVER w AS n FROM dim_region WINDOW w AS (ORDER BY nation_key) ORDER BY ALL LIMIT 3 OFFSET 1",
+    "SELECT * FROM dim_region WHERE EXISTS (SELECT 1 FROM fact_orders f WHERE f.customer_key = nation_key) "
+    "INTERSECT SELECT * FROM dim_region",
+    "SELECT a.nation_key, (SELECT MAX(b.nation_key) FROM dim_region b) AS m FROM dim_region a GROUP BY ALL HAVING COUNT(*) > 0",
+))
+def test_ordinary_statements_run(own, sql):
+    assert guard.run_guarded(own, sql).columns
+
+
+def test_sources_of_the_analysed_statement_are_those_of_governed_views(own, data):
+    guard.check_sources(own, own.sql("SELECT * FROM dim_region WHERE nation_key = (SELECT MAX(nation_key) FROM dim_region)"))
+    own.read.parquet(f"{data}/documents.parquet").createOrReplaceTempView("texts")
+    for sql in ("SELECT doc_id FROM texts", "SELECT * FROM dim_region WHERE nation_key IN (SELECT doc_id FROM texts)"):
+        with pytest.raises(guard.GuardrailViolation):
+            guard.check_sources(own, own.sql(sql))
+
+
+def test_raw_values_can_be_had_for_checks(own):
+    result = guard.run_guarded(own, "SELECT SUM(net_revenue) AS share FROM fact_orders", portable=False)
+    assert isinstance(result.rows[0][0], Decimal)
+
+
 def test_rows_may_be_made_from_arguments(own):
     assert guard.run_guarded(own, "SELECT SUM(id) AS s FROM range(5)").rows == [(10,)]
     assert guard.run_guarded(own, "SELECT * FROM VALUES (1), (2) AS t(a)").row_count == 2
