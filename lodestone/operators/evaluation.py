@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections import Counter
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.errors import PySparkException
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodestone.functions.portable import json_safe
+from lodestone.functions.statements import sql_of_reply
 from lodestone.operators.guard import GuardrailViolation, QueryResult, QueryTimeout, run_guarded
 
 TIERS = (1, 2, 3)
@@ -20,11 +22,8 @@ ALL_TIERS = "all"
 
 
 def hit_and_reciprocal_rank(queries: DataFrame, ranked: DataFrame, relevant: DataFrame) -> DataFrame:
-    """Per query (and method, if ranked has one): whether a relevant document was
-    found, and one over the rank of the first. Nothing found counts zero.
-
-    Methods are given by ``ranked``; a method's queries without results are
-    still counted because ``queries`` is the left side.
+    """Per query: whether a relevant document was found, and one over the rank of the
+    first. Nothing found counts zero, since ``queries`` is the left side.
     """
     found = (
         ranked.join(relevant.select("query_id", "doc_id").distinct(), ["query_id", "doc_id"], "left_semi")
@@ -115,12 +114,15 @@ def match_per_question(questions: DataFrame, actual: DataFrame, expected: DataFr
 
 def matches_recorded(result: QueryResult, recorded: list[list]) -> bool:
     """Same rows in the same order, as a golden question records them. A guarded
-    result has a bounded number of rows, so this compares plain lists."""
-    return [list(row) for row in result.rows] == [list(row) for row in recorded]
+    result has a bounded number of rows, so this compares plain lists; one that
+    was cut at the bound matches nothing."""
+    return not result.truncated and [list(row) for row in result.rows] == [list(row) for row in recorded]
 
 
 EXECUTION = ("question_id string, tier int, sql string, api_error string, run_error string, matched boolean, "
              "total_tokens bigint")
+# Statements that run at the same time.
+AT_ONCE = 8
 
 
 def run_statements(spark: SparkSession, questions: list[dict], **limits) -> DataFrame:
@@ -128,21 +130,23 @@ def run_statements(spark: SparkSession, questions: list[dict], **limits) -> Data
 
     ``questions`` are (id, tier, sql, reference_result), and optionally
     ``api_error`` and ``total_tokens``. Each statement is a guarded query of its
-    own, so what reaches the driver is bounded by the row cap; rows match in any
-    order, and whatever stops a statement is its ``run_error``.
+    own, some at a time, so what reaches the driver is bounded by the row cap; rows
+    match in any order, a result cut at the cap matches nothing, and whatever stops
+    a statement is its ``run_error``.
     """
 
     def execute(q: dict) -> tuple:
         error, matched = None, None
         if q.get("api_error") is None:
             try:
-                rows = run_guarded(spark, q["sql"], **limits).rows
-                matched = Counter(rows) == Counter(tuple(row) for row in q["reference_result"])
+                result = run_guarded(spark, q["sql"], **limits)
+                matched = not result.truncated and Counter(result.rows) == Counter(tuple(row) for row in q["reference_result"])
             except (GuardrailViolation, QueryTimeout, PySparkException) as failure:
                 error = str(failure)
         return q["id"], q["tier"], q["sql"], q.get("api_error"), error, matched, q.get("total_tokens")
 
-    return spark.createDataFrame([execute(q) for q in questions], EXECUTION)
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        return spark.createDataFrame(list(pool.map(execute, questions)), EXECUTION)
 
 
 API_ERROR = "API error"
@@ -246,17 +250,36 @@ def tag_outcomes(scored: DataFrame, model: str, condition: str) -> DataFrame:
     return scored.withColumns({"model": F.lit(model), "condition": F.lit(condition)})
 
 
-def assemble_traces(attempts: DataFrame, max_attempts: int = MAX_ATTEMPTS) -> DataFrame:
-    """One row per question with its attempts nested in order.
+def assemble_traces(attempts: DataFrame) -> DataFrame:
+    """One row per question with every recorded attempt nested in order, and the last one as ``final``.
 
-    Each attempt number is an aggregate of its own, so a row holds at most
-    ``max_attempts`` whatever the input repeats, and combines before the shuffle.
+    An attempt number that was recorded several times is kept once, with the
+    greatest row. Those repeats collapse before the shuffle, so a question's row
+    grows only with the attempts that were made.
     """
-    rest = [c for c in attempts.columns if c not in ("question_id", "tier")]
-    row = F.struct("attempt_no", *(c for c in rest if c != "attempt_no"))
-    numbered = [F.max(F.when(F.col("attempt_no") == n, row)) for n in range(1, max_attempts + 1)]
-    return kept_attempts(attempts, max_attempts).groupBy("question_id", "tier").agg(
-        F.array_compact(F.array(*numbered)).alias("attempts"))
+    rest = [c for c in attempts.columns if c not in ("question_id", "tier", "attempt_no")]
+    once = attempts.groupBy("question_id", "tier", "attempt_no").agg(F.max(F.struct(*rest)).alias("row"))
+    nested = once.groupBy("question_id", "tier").agg(
+        F.sort_array(F.collect_list(F.struct("attempt_no", "row.*"))).alias("attempts"))
+    return nested.withColumn("final", F.element_at("attempts", -1))
+
+
+def answered(attempts: DataFrame) -> DataFrame:
+    """Trace rows of answered questions for the log: question, last statement and its
+    outcome, time, model, rows and error, with the attempts, seconds and tokens of all."""
+    last = {"question": "question", "timestamp": "timestamp", "model": "model", "row_count": "row_count",
+            "succeeded": "valid"}
+    requests = attempts.groupBy("query_id").agg(
+        *(F.max_by(column, "attempt_no").alias(name) for name, column in last.items()),
+        F.max_by(sql_of_reply(F.col("reply")), "attempt_no").alias("sql"),
+        F.sum("latency_seconds").alias("latency_seconds"),
+        F.count("*").alias("attempt_count"),
+    )
+    return (
+        requests.join(failure_text(attempts, requests), "query_id")
+        .join(usage_totals(requests, attempts), "query_id")
+        .withColumn("usage", F.struct("prompt_tokens", "completion_tokens", "total_tokens"))
+    )
 
 
 def select_questions(df: DataFrame, chosen: DataFrame) -> DataFrame:

@@ -32,7 +32,7 @@ RANGES = "query_id {query}, v_low double, v_high double, k_low double, k_high do
 def query_blocks(queries: DataFrame, depth: int = 0) -> list[DataFrame]:
     """The queries in blocks within both bounds. A hash deals them out, aiming at half
     of each bound; a block that is over all the same is dealt out again. Only a
-    single query can stay over."""
+    single query can stay over; it is a block of its own. A query comes once."""
     terms = F.size(F.array_distinct(tokenize(F.coalesce("text", F.lit("")))))
     size = queries.agg(F.count("*").alias("n"), F.coalesce(F.sum(terms), F.lit(0)).alias("terms")).first()
     if size.n <= 1 or (size.n <= QUERIES_PER_PASS and size.terms <= TERMS_PER_PASS):
@@ -48,12 +48,10 @@ def load_block(index: Index, queries: DataFrame, vectors: DataFrame | None) -> s
     if vectors is None:
         found = found.withColumn("unit", F.lit(None).cast("array<double>"))
     else:
-        given = vectors.select("query_id", as_double(F.col("vector")).alias("v"))
+        given = vectors.groupBy("query_id").agg(F.max(as_double(F.col("vector"))).alias("v"))
         found = found.join(given, "query_id", "left").select("query_id", unit(F.col("v")).alias("unit"))
     asked = found.toArrow().sort_by("query_id")
     query_ids = asked["query_id"].combine_chunks()
-    if len(query_ids) > QUERIES_PER_PASS:
-        raise ValueError(f"a block of {len(query_ids)} queries is over the bound of {QUERIES_PER_PASS}")
     units = asked["unit"].to_pylist()
     dims = max((len(u) for u in units if u is not None), default=0)
     matrix = np.array([u if u is not None else [0.0] * dims for u in units]).reshape(len(units), dims)
@@ -61,8 +59,6 @@ def load_block(index: Index, queries: DataFrame, vectors: DataFrame | None) -> s
     totals = index.corpus.first()  # one row
     rated = rate(index.terms, F.lit(totals.n), F.lit(totals.mean_idf).cast("double"))
     weights = query_weights(queries, rated).toArrow().sort_by([("term", "ascending"), ("query_id", "ascending")])
-    if weights.num_rows > TERMS_PER_PASS:
-        raise ValueError(f"{weights.num_rows} query terms are over the bound; score with bm25_scores instead")
     terms = weights["term"].combine_chunks()
     vocabulary = terms.unique()
     slots = pa.compute.index_in(terms, value_set=vocabulary).to_numpy()
@@ -81,14 +77,16 @@ def load_block(index: Index, queries: DataFrame, vectors: DataFrame | None) -> s
 
 class Retriever:
     """A batch of queries over an index. Query blocks and score ranges are made
-    once and serve every search."""
+    once and serve every search. A query id that comes in several rows is one
+    query, with the greatest of its texts and vectors."""
 
     def __init__(self, index: Index, queries: DataFrame, vectors: DataFrame | None = None):
         self.index, self.queries, self.vectors = index, queries, vectors
 
     @cached_property
     def _blocks(self) -> list[scoring.QueryBlock]:
-        return [load_block(self.index, part, self.vectors) for part in query_blocks(self.queries)]
+        once = self.queries.groupBy("query_id").agg(F.max("text").alias("text"))
+        return [load_block(self.index, part, self.vectors) for part in query_blocks(once)]
 
     def _typed(self, schema: str) -> str:
         return schema.format(

@@ -99,6 +99,12 @@ def attempts(spark: SparkSession, path: str) -> DataFrame:
         .alias("reason"),
         kind.isin("click", "purchase").alias("correct"),
         F.col("k").alias("total_tokens"),
+        (F.col("k") - F.floor(F.col("k") / 4)).alias("prompt_tokens"),
+        F.floor(F.col("k") / 4).alias("completion_tokens"),
+        F.concat(F.lit("What about "), kind, F.lit("?")).alias("question"),
+        F.col("ts").alias("timestamp"),
+        F.col("value").alias("latency_seconds"),
+        F.when(kind != "error", F.col("user_id")).otherwise(0).alias("row_count"),
         F.when(F.col("user_id") % 2 == 0, PAID).otherwise(LOCAL).alias("model"),
         F.when(F.col("user_id") % 4 < 2, "retrieval enabled").otherwise("retrieval disabled")
         .alias("condition"),

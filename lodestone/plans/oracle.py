@@ -150,7 +150,10 @@ def warehouse_oracles() -> dict[str, str]:
         "W11_row_counts": star(counts),
         "W12_rebuild": star(counts),
         "W13_nightly_refresh": star(f"""{counts} UNION ALL SELECT 'index', COUNT(*) FROM documents
-            UNION ALL SELECT 'traces', COUNT(*) FROM events"""),
+            UNION ALL SELECT 'vectors', COUNT(*) FROM documents WHERE doc_id IN (SELECT vec_id FROM embeddings)
+            UNION ALL SELECT 'traces', COUNT(*) FROM events
+            UNION ALL SELECT 'feedback', COUNT(DISTINCT event_id - event_id % 5) FROM events
+              WHERE event_type IN ('click', 'purchase', 'signup')"""),
         "W14_non_empty": star(f"SELECT table_name, row_count > 0 AS non_empty FROM ({counts})"),
         "W15_key_uniqueness": star(keys),
         "W16_grain_uniqueness": star("""
@@ -280,7 +283,7 @@ def golden_oracles() -> dict[str, str]:
     }
 
 
-STAMP = "strftime({}, '%Y-%m-%dT%H:%M:%S.%f')"
+STAMP = "regexp_replace(strftime({}, '%Y-%m-%dT%H:%M:%S.%f'), '[.]000000$', '')"
 
 K = "CAST(json_extract_string(props, '$.k') AS BIGINT)"
 
@@ -402,8 +405,7 @@ def monitoring_oracles() -> dict[str, str]:
                    {COST} / COUNT(*) AS avg_cost_usd FROM priced GROUP BY day"""),
         "M6_daily_stream": log(f"""
             SELECT {day} AS date, COUNT(*) AS query_count, AVG(CAST(succeeded AS DOUBLE)) AS execution_accuracy,
-                   {COST} / COUNT(*) AS avg_cost_usd FROM priced
-            WHERE day + INTERVAL 1 DAY <= (SELECT MAX(event_ts) FROM priced) - INTERVAL 1 DAY GROUP BY day"""),
+                   {COST} / COUNT(*) AS avg_cost_usd FROM priced GROUP BY day"""),
         "M7_failures": log(
             "SELECT category, COUNT(*) AS count FROM priced WHERE NOT succeeded GROUP BY category"),
         "M8_trace_page": log(f"""
@@ -426,6 +428,9 @@ attempts AS (
          event_type IN ('click', 'purchase', 'view') AS valid,
          CASE WHEN event_type = 'signup' THEN 'Query returned no rows.' ELSE 'Result looks plausible.' END AS reason,
          event_type IN ('click', 'purchase') AS correct, {K} AS total_tokens,
+         {K} - {K} // 4 AS prompt_tokens, {K} // 4 AS completion_tokens,
+         concat('What about ', event_type, '?') AS question, ts, value AS latency_seconds,
+         CASE WHEN event_type <> 'error' THEN user_id ELSE 0 END AS row_count,
          CASE WHEN user_id % 2 = 0 THEN 'gpt-4o-mini' ELSE 'llama3' END AS model,
          CASE WHEN user_id % 4 < 2 THEN 'retrieval enabled' ELSE 'retrieval disabled' END AS condition
   FROM events),
@@ -502,6 +507,10 @@ def guard_oracles() -> dict[str, str]:
         "G8_json_safe": """
             SELECT o_orderkey, CAST(CAST(o_totalprice AS DECIMAL(15,2)) AS DOUBLE) AS o_totalprice,
                    strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate FROM orders""",
+        "G8_json_safe_nested": f"""
+            SELECT event_id, {STAMP.format('ts')} AS ts, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS whole_second,
+                   CAST({K} AS DOUBLE) AS amount, strftime(ts, '%Y-%m-%d') AS day, CAST({K} AS DOUBLE) AS named_amount
+            FROM events""",
         "G12_usage_totals": tries("""
             SELECT question_id AS query_id,
               CASE WHEN bool_and(api_error IS NOT NULL) THEN -1
@@ -523,7 +532,7 @@ def guard_oracles() -> dict[str, str]:
 
 
 # Dense on purpose: every query meets every document, as the definition says.
-RETRIEVAL = r"""
+TERMS = r"""
 tok AS (
   SELECT doc_id, unnest(list_filter(string_split_regex(lower(replace(text, '_', ' ')), '\s+'),
                                     lambda x: x <> '')) AS term FROM documents),
@@ -533,7 +542,9 @@ tot AS (SELECT COUNT(*) AS n, AVG(dl) AS mean_length FROM lens),
 freq AS (SELECT term, COUNT(*) AS df FROM post GROUP BY term),
 rated AS (SELECT term, df, ln(n - df + 0.5::DOUBLE) - ln(df + 0.5::DOUBLE) AS raw FROM freq, tot),
 terms AS (SELECT term, df, CASE WHEN raw < 0 THEN 0.25::DOUBLE * (SELECT AVG(raw) FROM rated) ELSE raw END AS idf
-          FROM rated),
+          FROM rated)"""
+
+RETRIEVAL = TERMS + r""",
 asked AS (
   SELECT item_id AS query_id, unnest(list_filter(string_split_regex(lower(replace(text, '_', ' ')), '\s+'),
                                                  lambda x: x <> '')) AS term FROM benchmark),
@@ -578,6 +589,12 @@ HYBRID = "0.5::DOUBLE * vn + 0.5::DOUBLE * kn"
 SCHEMA = (f"wide AS ({best_of(HYBRID, 8)})", f"final AS ({rerank_of('wide', 4)})")
 
 
+def counted(sql: str) -> str:
+    """Over the words alone, whose steps are each computed once."""
+    steps = TERMS.replace("tok AS (", "tok AS MATERIALIZED (").replace("freq AS (", "freq AS MATERIALIZED (")
+    return f"WITH {steps}\n{sql}"
+
+
 def found(sql: str, *more: str) -> str:
     return f"WITH {','.join((RETRIEVAL, *more))}\n{sql}"
 
@@ -588,11 +605,11 @@ def retrieval_oracles() -> dict[str, str]:
             SELECT doc_id, CAST(len(w) AS INTEGER) AS tokens, md5(array_to_string(w, ' ')) AS digest FROM (
               SELECT doc_id, list_filter(string_split_regex(lower(replace(text, '_', ' ')), '\s+'),
                                          lambda x: x <> '') AS w FROM documents)""",
-        "R2_terms": found("SELECT term, df, round(idf, 6) AS idf FROM terms"),
-        "R2_corpus": found("""
+        "R2_terms": counted("SELECT term, df, round(idf, 6) AS idf FROM terms"),
+        "R2_corpus": counted("""
             SELECT n, round(mean_length, 6) AS mean_length,
                    (SELECT round(AVG(raw), 6) FROM rated) AS mean_idf FROM tot"""),
-        "R3_stored_index": found("""
+        "R3_stored_index": counted("""
             SELECT COUNT(*) AS postings, CAST(SUM(tf) AS BIGINT) AS tokens, COUNT(DISTINCT term) AS terms,
                    MAX(tf) AS most FROM post"""),
         "R4_bm25_scores": found("""
@@ -710,7 +727,9 @@ def evaluation_oracles() -> dict[str, str]:
             FROM scored GROUP BY 1, 2, 3"""),
         "E16_assembled_traces": tries("""
             SELECT question_id, tier, CAST(COUNT(*) AS INTEGER) AS attempts,
-                   string_agg(reply, '|' ORDER BY attempt_no) AS replies FROM kept GROUP BY question_id, tier"""),
+                   arg_max(question, attempt_no) AS question, arg_max(row_count, attempt_no) AS row_count,
+                   arg_max(valid, attempt_no) AS succeeded, arg_max(sql, attempt_no) AS sql,
+                   string_agg(reply, '|' ORDER BY attempt_no) AS replies FROM cleaned GROUP BY question_id, tier"""),
         "E17_failing_questions": tries("""
             SELECT question_id, attempt_no, tier FROM kept
             WHERE question_id IN (SELECT question_id FROM lasts WHERE NOT correct)"""),
@@ -726,13 +745,16 @@ def evaluation_oracles() -> dict[str, str]:
               COALESCE(LAG(COALESCE(error, reason)) OVER (PARTITION BY question_id ORDER BY attempt_no), '') AS feedback
             FROM attempts"""),
         "A4_kept_attempts": tries("SELECT question_id, attempt_no, valid FROM kept"),
-        "A5_answer_log": tries("""
-            SELECT CAST(question_id AS VARCHAR) AS query_id, l.valid AS succeeded,
+        "A5_answer_log": tries(f"""
+            SELECT CAST(question_id AS VARCHAR) AS query_id, {STAMP.format('l.ts')} AS timestamp, l.question, l.model,
+              l.row_count, round(t.seconds, 6) AS latency_seconds, l.valid AS succeeded,
+              CAST(t.prompt AS BIGINT) AS usage__prompt_tokens, CAST(t.completion AS BIGINT) AS usage__completion_tokens,
               CAST(l.attempt_no AS BIGINT) AS attempt_count,
               CASE WHEN l.valid THEN '' ELSE COALESCE(l.error, l.reason) END AS error, c.sql,
               CAST(t.total AS BIGINT) AS usage__total_tokens
             FROM lasts l JOIN cleaned c USING (question_id, attempt_no)
-            JOIN (SELECT question_id, SUM(total_tokens) AS total FROM kept GROUP BY question_id) t USING (question_id)"""),
+            JOIN (SELECT question_id, SUM(total_tokens) AS total, SUM(prompt_tokens) AS prompt,
+                         SUM(completion_tokens) AS completion, SUM(latency_seconds) AS seconds FROM kept GROUP BY question_id) t USING (question_id)"""),
     }
 
 

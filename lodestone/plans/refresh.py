@@ -11,8 +11,8 @@ from lodestone.operators.bm25 import build_index
 from lodestone.operators.quality import row_counts
 from lodestone.operators.star import LAYOUT_KEYS, STAR_TABLES, Warehouse
 from lodestone.plans.telemetry import run_telemetry
-from lodestone.session import build_session, size_shuffles, tune
-from lodestone.sources.base import read_table
+from lodestone.session import build_session, sized_shuffles, tune
+from lodestone.sources.base import RAW_TABLES, read_table
 from lodestone.sources.versions import drop_old_versions, mark_complete, next_version
 
 
@@ -41,13 +41,19 @@ def build_warehouse(spark: SparkSession, raw_dir: str, root: str) -> DataFrame:
 
 
 def nightly_refresh(
-    spark: SparkSession, raw_dir: str, documents: DataFrame, log_dir: str, root: str
+    spark: SparkSession, raw_dir: str, documents: DataFrame, log_dir: str, root: str, vectors: DataFrame | None = None
 ) -> DataFrame:
-    """Warehouse, then retrieval index, then telemetry tables; returns the warehouse report."""
-    size_shuffles(tune(spark), raw_dir, log_dir)
-    report = build_warehouse(spark, raw_dir, f"{root}/warehouse")
-    build_index(documents).write(f"{root}/index")
-    run_telemetry(spark, log_dir, f"{root}/telemetry")
+    """Warehouse, then retrieval index, then telemetry tables; returns the warehouse report.
+
+    ``vectors`` (doc_id, vector) go into the index beside the words; without them
+    hybrid search ranks by words alone.
+    """
+    with sized_shuffles(tune(spark), *(f"{raw_dir.rstrip('/')}/{name}.parquet" for name in RAW_TABLES)):
+        report = build_warehouse(spark, raw_dir, f"{root}/warehouse")
+    with sized_shuffles(spark, f"{raw_dir.rstrip('/')}/documents.parquet"):
+        build_index(documents, vectors).write(f"{root}/index")
+    with sized_shuffles(spark, log_dir):
+        run_telemetry(spark, log_dir, f"{root}/telemetry")
     for stage in ("warehouse", "index", "telemetry"):
         drop_old_versions(spark, f"{root}/{stage}")
     return report
@@ -57,12 +63,14 @@ def main() -> None:
     """``spark-submit`` entry: all stages in order, reporting the row counts."""
     parser = argparse.ArgumentParser(description=main.__doc__)
     parser.add_argument("--raw", required=True, help="folder of the raw tables, documents included")
+    parser.add_argument("--vectors", help="Parquet of (vec_id, embedding), one vector a document id")
     parser.add_argument("--log", required=True, help="folder of the query log")
     parser.add_argument("--out", required=True, help="folder for warehouse, index and telemetry")
     given = parser.parse_args()
     spark = build_session("nightly-refresh")
     documents = read_table(spark, given.raw, "documents").select("doc_id", "text")
-    nightly_refresh(spark, given.raw, documents, given.log, given.out).show()
+    vectors = given.vectors and spark.read.parquet(given.vectors).selectExpr("vec_id AS doc_id", "embedding AS vector")
+    nightly_refresh(spark, given.raw, documents, given.log, given.out, vectors or None).show()
     spark.stop()
 
 

@@ -26,7 +26,7 @@ from lodestone.session import scratch_path, settled, tune
 from lodestone.sources import eventlog
 from lodestone.sources.base import load_base
 from lodestone.sources.versions import latest_version, mark_complete, next_version
-from lodestone.streaming.ingest import daily_series_stream, ingest_new_files, read_ingested
+from lodestone.streaming.ingest import ingest_new_files, read_daily_series, read_ingested, write_daily_series
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -73,12 +73,13 @@ def warehouse_queries() -> dict[str, Query]:
 
     def nightly(spark, path):
         root = scratch_path(spark, f"nightly/{uuid.uuid4()}")
-        eventlog.append_events(eventlog.trace_events(derived.log_traces(spark, path)), f"{root}/log")
         documents = derived.corpus(spark, path).select("doc_id", "text")
-        report = nightly_refresh(spark, path, documents, f"{root}/log", root)
+        report = nightly_refresh(
+            spark, path, documents, written_log(spark, path), root, derived.vectors(spark, path, "doc_id"))
+        indexed = Index.open(spark, f"{root}/index").documents
         stages = {
-            "index": Index.open(spark, f"{root}/index").documents,
-            "traces": load_tables(spark, f"{root}/telemetry")["traces"],
+            "index": indexed, "vectors": indexed.where("vector IS NOT NULL"),
+            **load_tables(spark, f"{root}/telemetry"),
         }
         return reduce(DataFrame.unionByName, [report, *(
             df.agg(F.count("*").alias("row_count")).withColumn("table_name", F.lit(name))
@@ -223,14 +224,11 @@ def monitoring_queries() -> dict[str, Query]:
         return monitoring.summary(enriched(spark, path), votes)
 
     def streamed(spark, path):
-        """The daily series as a stream over the log; days still open are left out."""
+        """The daily series as a stream over the log, days still open included."""
         root = scratch_path(spark, f"daily/{uuid.uuid4()}")
-        log = spark.readStream.schema(eventlog.EVENT).json(written_log(spark, path))
-        days = daily_series_stream(monitoring.enriched_traces(eventlog.traces_of(log)))
-        days.writeStream.format("parquet").outputMode("append").option(
-            "checkpointLocation", f"{root}/progress").trigger(availableNow=True).start(
-            f"{root}/days").awaitTermination()
-        return spark.read.schema(days.schema).parquet(f"{root}/days")
+        log = spark.readStream.schema(eventlog.EVENT).option("mode", "FAILFAST").json(written_log(spark, path))
+        write_daily_series(monitoring.enriched_traces(eventlog.traces_of(log)), root).awaitTermination()
+        return read_daily_series(spark, root)
 
     plain = {
         "M6_daily_stream": streamed,
@@ -303,6 +301,17 @@ def guard_queries() -> dict[str, Query]:
     def plain_orders(raw):
         return raw["orders"].select("o_orderkey", "o_totalprice", "o_orderdate")
 
+    def nested(spark, path):
+        """Times with and without a fraction, and decimals and dates inside arrays and structs."""
+        amount = F.col("k").cast("decimal(15,2)")
+        rows = derived.events(spark, path).select(
+            "event_id", "ts", F.array(F.col("ts"), F.date_trunc("second", "ts")).alias("times"),
+            F.struct(amount.alias("amount"), F.array(F.to_date("ts")).alias("days")).alias("inner"),
+            F.create_map(F.lit("amount"), amount).alias("named"))
+        return json_safe(rows).select(
+            "event_id", "ts", F.element_at("times", 2).alias("whole_second"), "inner.amount",
+            F.element_at("inner.days", 1).alias("day"), F.element_at("named", "amount").alias("named_amount"))
+
     def usage(spark, path):
         attempts = derived.attempts(spark, path)
         query = F.col("question_id").alias("query_id")
@@ -327,6 +336,7 @@ def guard_queries() -> dict[str, Query]:
             "question_id", "attempt_no", sql_of_reply(F.col("reply")).alias("sql")),
         "G7_plausibility": on_star(plausible),
         "G8_json_safe": on_raw(plain_orders),
+        "G8_json_safe_nested": nested,
         "G12_usage_totals": usage,
         "G13_failure_text": failures,
     }
@@ -530,7 +540,8 @@ def evaluation_queries() -> dict[str, Query]:
     def assembled(spark, path):
         traces = evaluation.assemble_traces(derived.attempts(spark, path))
         return traces.select(
-            "question_id", "tier", F.size("attempts").alias("attempts"),
+            "question_id", "tier", F.size("attempts").alias("attempts"), "final.question", "final.row_count",
+            F.col("final.valid").alias("succeeded"), sql_of_reply(F.col("final.reply")).alias("sql"),
             F.array_join(F.transform("attempts", lambda a: a["reply"]), "|").alias("replies"))
 
     def failing(spark, path):
@@ -553,10 +564,11 @@ def evaluation_queries() -> dict[str, Query]:
         """Answered questions as trace rows, appended to a log and read back."""
         root = scratch_path(spark, f"answers/{uuid.uuid4()}")
         attempts = kept(spark, path).withColumn("query_id", F.col("question_id").cast("string"))
-        eventlog.append_events(eventlog.trace_events(answered(attempts)), root)
+        eventlog.append_events(eventlog.trace_events(evaluation.answered(attempts)), root)
         return eventlog.traces_of(eventlog.read_log(spark, root)).select(
-            "query_id", "succeeded", "attempt_count", F.coalesce("error", F.lit("")).alias("error"),
-            "sql", "usage__total_tokens")
+            "query_id", "timestamp", "question", "model", "succeeded", "attempt_count", "row_count",
+            F.coalesce("error", F.lit("")).alias("error"), "sql", F.round("latency_seconds", 6).alias("latency_seconds"),
+            "usage__prompt_tokens", "usage__completion_tokens", "usage__total_tokens")
 
     return {
         "E2_hits": hits,
@@ -580,28 +592,10 @@ def evaluation_queries() -> dict[str, Query]:
         "A2_verdicts": verdicts,
         "A3_feedback": told,
         "A4_kept_attempts": lambda spark, path: kept(spark, path).select("question_id", "attempt_no", "valid"),
-        "A5_answer_log": answer_log,
+        "A5_answer_log": lambda spark, path: json_safe(answer_log(spark, path)),
     }
 
 
-def answered(attempts: DataFrame) -> DataFrame:
-    """Trace rows of answered questions: last statement, outcome, attempts, tokens, error."""
-    requests = attempts.groupBy("query_id").agg(
-        F.max("valid_from").alias("timestamp") if "valid_from" in attempts.columns
-        else F.lit("1970-01-01").cast("timestamp").alias("timestamp"),
-        F.max_by(sql_of_reply(F.col("reply")), "attempt_no").alias("sql"),
-        F.max_by("valid", "attempt_no").alias("succeeded"),
-        F.count("*").alias("attempt_count"),
-    )
-    calls = attempts.select("query_id", F.lit(0).cast("bigint").alias("prompt_tokens"),
-                            F.lit(0).cast("bigint").alias("completion_tokens"), "total_tokens")
-    return (
-        requests.join(evaluation.failure_text(attempts, requests), "query_id")
-        .join(evaluation.usage_totals(requests, calls), "query_id")
-        .withColumn("usage", F.struct("prompt_tokens", "completion_tokens", "total_tokens"))
-    )
-
-
 def all_queries() -> dict[str, Query]:
     named = {
         **warehouse_queries(), **metric_queries(), **golden_queries(), **telemetry_queries(),

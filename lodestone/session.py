@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,9 +19,10 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
 }
 
-# Shuffled data one task should get, and how much larger rows are in a shuffle
-# than in compressed columnar files.
-TASK_BYTES = 200 * 1024 * 1024
+# Data one shuffle task should get before compression, and how much larger rows are
+# then than in columnar files. Larger tasks would spill, many more of them would weigh
+# on the bookkeeping of map outputs.
+TASK_BYTES = 1024 * 1024 * 1024
 EXPANSION = 3
 
 
@@ -39,15 +42,25 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def sized_shuffles(spark: SparkSession, *paths: str) -> Iterator[int]:
+    """Enough shuffle partitions for the largest of these inputs while the block runs, then the setting from before."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        yield size_shuffles(spark, *paths)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def size_shuffles(spark: SparkSession, *paths: str) -> int:
-    """Enough shuffle partitions for these inputs; adaptive plans merge what is too many."""
-    total = 0
+    """Enough shuffle partitions for the largest of these inputs; adaptive plans merge what is too many."""
+    largest = 0
     for path in paths:
         folder = spark._jvm.org.apache.hadoop.fs.Path(path)
         files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
         if files.exists(folder):
-            total += files.getContentSummary(folder).getLength()
-    wanted = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total * EXPANSION // TASK_BYTES))
+            largest = max(largest, files.getContentSummary(folder).getLength())
+    wanted = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-largest * EXPANSION // TASK_BYTES))
     spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
     return wanted
 

@@ -78,10 +78,14 @@ def append_events(events: DataFrame, log_dir: str) -> None:
 
 
 def append_feedback(events: DataFrame, log_dir: str, rejected_dir: str | None = None) -> None:
+    """Add votes to the log. Those outside the domain go to ``rejected_dir``; without it one of them fails the write."""
+    if rejected_dir is None:
+        wrong = F.raise_error(F.concat(F.lit("Not a vote: "), F.coalesce(F.col("vote"), F.lit("NULL"))))
+        append_events(events.withColumn("vote", F.when(F.col("vote").isin(*VOTES), F.col("vote")).otherwise(wrong)), log_dir)
+        return
     valid, rejected = split_votes(events)
     append_events(valid, log_dir)
-    if rejected_dir:
-        append_events(rejected, rejected_dir)
+    append_events(rejected, rejected_dir)
 
 
 def read_log(spark: SparkSession, log_dir: str, quarantine: bool = False) -> DataFrame:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
-MARKER = "_COMPLETE"
+MARKER, CLAIM = "_COMPLETE", "_CLAIMED"
 
 
 def _path(spark: SparkSession, path: str):
@@ -15,16 +16,18 @@ def _fs(spark: SparkSession, path: str):
     return _path(spark, path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    if not path_exists(spark, path):
+        return []
+    return [status.getPath().getName() for status in _fs(spark, path).listStatus(_path(spark, path))]
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     return _fs(spark, path).exists(_path(spark, path))
 
 
 def _versions(spark: SparkSession, root: str) -> list[int]:
-    fs = _fs(spark, root)
-    if not fs.exists(_path(spark, root)):
-        return []
-    names = [status.getPath().getName() for status in fs.listStatus(_path(spark, root))]
-    return sorted(int(n[1:]) for n in names if n[:1] == "v" and n[1:].isdigit())
+    return sorted(int(n[1:]) for n in child_names(spark, root) if n[:1] == "v" and n[1:].isdigit())
 
 
 def latest_version(spark: SparkSession, root: str) -> str | None:
@@ -36,8 +39,23 @@ def latest_version(spark: SparkSession, root: str) -> str | None:
 
 
 def next_version(spark: SparkSession, root: str) -> str:
-    """A fresh folder; the one a reader is using is never written to."""
-    return f"{root}/v{max(_versions(spark, root), default=0) + 1}"
+    """A fresh folder; the one a reader is using is never written to. It is claimed by a file
+    that only one of several runs can create, so two runs at once never share a folder."""
+    number = max(_versions(spark, root), default=0) + 1
+    while not _created(spark, f"{root}/v{number}/{CLAIM}"):
+        number += 1
+    return f"{root}/v{number}"
+
+
+def _created(spark: SparkSession, path: str) -> bool:
+    fs = _fs(spark, path)
+    try:
+        fs.create(_path(spark, path), False).close()
+    except Py4JJavaError:
+        if fs.exists(_path(spark, path)):
+            return False
+        raise
+    return True
 
 
 def mark_complete(spark: SparkSession, folder: str) -> None:

@@ -9,21 +9,31 @@ from pyspark.sql.streaming import StreamingQuery
 from lodestone.operators.monitoring import mean_cost
 from lodestone.operators.upsert import merge
 from lodestone.sources.eventlog import EVENT, feedback_of, traces_of
-from lodestone.sources.versions import path_exists
+from lodestone.sources.versions import MARKER, child_names, mark_complete, path_exists
+
+
+def _complete(spark: SparkSession, root: str, kind: str) -> list[int]:
+    """Numbers of the folders of one kind that were written to the end."""
+    numbers = [int(n.split("=")[1]) for n in child_names(spark, root) if n.startswith(f"{kind}=")]
+    return sorted(n for n in numbers if path_exists(spark, f"{root}/{kind}={n}/{MARKER}"))
 
 
 def ingest_new_files(spark: SparkSession, log_dir: str, root: str) -> StreamingQuery:
     """Load the log files that arrived since the last run, then stop.
 
     Each micro-batch is merged within itself and written to a folder of its own
-    number. A batch that is retried after a failure overwrites the same folder,
-    so no row is loaded twice, and the table loaded so far is never rewritten.
+    number, which readers open once both tables are in it. A batch that is
+    retried after a failure overwrites its unfinished folder, and one that had
+    been finished is left as it is, so no row is loaded twice.
     """
 
     def load(events: DataFrame, batch_id: int) -> None:
+        folder = f"{root}/load={batch_id}"
+        if path_exists(spark, f"{folder}/{MARKER}"):
+            return
         for name, batch in (("traces", traces_of(events)), ("feedback", feedback_of(events))):
-            rows = merge(None, batch.drop("event_type"), "query_id")
-            rows.write.mode("overwrite").parquet(f"{root}/{name}/load={batch_id}")
+            merge(None, batch.drop("event_type"), "query_id").write.mode("overwrite").parquet(f"{folder}/{name}")
+        mark_complete(spark, folder)
 
     return (
         spark.readStream.schema(EVENT).option("mode", "FAILFAST").json(log_dir)
@@ -34,17 +44,39 @@ def ingest_new_files(spark: SparkSession, log_dir: str, root: str) -> StreamingQ
     )
 
 
+def _sources(spark: SparkSession, root: str) -> list[str]:
+    """The newest compaction and the loads after it."""
+    newest = max(_complete(spark, root, "base"), default=None)
+    since = -1 if newest is None else newest
+    loads = [f"{root}/load={n}" for n in _complete(spark, root, "load") if n > since]
+    return loads if newest is None else [f"{root}/base={newest}", *loads]
+
+
 def read_ingested(spark: SparkSession, root: str, name: str) -> DataFrame | None:
-    """The table over all loads: per key the row with the latest timestamp."""
-    if not path_exists(spark, f"{root}/{name}"):
+    """The table over all finished loads: per key the row with the latest timestamp."""
+    folders = _sources(spark, root)
+    if not folders:
         return None
-    return merge(None, spark.read.parquet(f"{root}/{name}").drop("load"), "query_id")
+    return merge(None, spark.read.parquet(*(f"{f}/{name}" for f in folders)), "query_id")
+
+
+def compact(spark: SparkSession, root: str) -> None:
+    """Merge the finished loads into one folder, so that later reads do not merge all history again.
+    What it replaces stays for readers that are still in it."""
+    loads = _complete(spark, root, "load")
+    if not loads or loads[-1] in _complete(spark, root, "base"):
+        return
+    folder = f"{root}/base={loads[-1]}"
+    for name in ("traces", "feedback"):
+        read_ingested(spark, root, name).write.mode("overwrite").parquet(f"{folder}/{name}")
+    mark_complete(spark, folder)
 
 
 def daily_series_stream(traces: DataFrame, lateness: str = "1 day") -> DataFrame:
     """Daily query count, accuracy and mean cost over a stream of enriched traces.
 
-    A day is final once the watermark has passed its end.
+    A day is final once the watermark has passed its end; ``write_daily_series``
+    also shows the days before that.
     """
     return (
         traces.withWatermark("timestamp", lateness)
@@ -56,3 +88,27 @@ def daily_series_stream(traces: DataFrame, lateness: str = "1 day") -> DataFrame
         )
         .select(F.to_date("day.start").alias("date"), "query_count", "execution_accuracy", "avg_cost_usd")
     )
+
+
+def write_daily_series(traces: DataFrame, root: str, lateness: str = "1 day") -> StreamingQuery:
+    """Keep the daily series under ``root`` up to date with a stream of enriched traces.
+
+    Every micro-batch writes the days it changed, open ones included, in a folder of
+    its number; a retry overwrites it. Rows later than ``lateness`` change no day.
+    """
+
+    def revise(days: DataFrame, batch_id: int) -> None:
+        days.write.mode("overwrite").parquet(f"{root}/days/batch={batch_id}")
+
+    return (
+        daily_series_stream(traces, lateness).writeStream.outputMode("update").foreachBatch(revise)
+        .option("checkpointLocation", f"{root}/progress").trigger(availableNow=True).start()
+    )
+
+
+def read_daily_series(spark: SparkSession, root: str) -> DataFrame:
+    """Every day as it was last revised."""
+    days = spark.read.parquet(f"{root}/days")
+    rest = [c for c in days.columns if c not in ("date", "batch")]
+    last = days.groupBy("date").agg(F.max_by(F.struct(*rest), "batch").alias("last"))
+    return last.select("date", "last.*")

@@ -140,8 +140,11 @@ def test_feedback_is_the_error_or_the_reason_before(spark):
 
 
 def test_traces_nest_attempts_in_order(spark):
-    rows = {r.question_id: r.attempts for r in ev.assemble_traces(attempts(spark)).collect()}
-    assert [a.error for a in rows["failed"]] == ["bad", "worse"] and len(rows["once"]) == 1
+    made = attempts(spark)
+    rows = {r.question_id: r for r in ev.assemble_traces(made.unionByName(made)).collect()}
+    assert [a.error for a in rows["failed"].attempts] == ["bad", "worse", None]
+    assert rows["failed"].final.attempt_no == rows["failed"].attempts[-1].attempt_no == 3
+    assert sum(len(r.attempts) for r in rows.values()) == made.count()  # all that was recorded
 
 
 def test_failure_text_and_usage(spark):

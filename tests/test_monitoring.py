@@ -1,5 +1,6 @@
 import random
 from datetime import date
+from decimal import ROUND_HALF_EVEN, Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 from lodestone.functions.errors import error_category, retry_after_seconds, wait_seconds
 from lodestone.operators import monitoring
 from lodestone.operators.percentiles import nearest_rank
-from lodestone.streaming.ingest import daily_series_stream
+from lodestone.streaming.ingest import daily_series_stream, read_daily_series, write_daily_series
 
 TRACES = (
     "query_id string, timestamp timestamp, question string, model string, succeeded boolean, error string, "
@@ -55,8 +56,9 @@ def test_nearest_rank_equals_sorting(spark, seed):
     rng.shuffle(values)
     points = {"a": 0.0, "b": 0.25, "c": 0.5, "d": 0.9, "e": 0.999, "f": 1.0}
     df = spark.createDataFrame([(v,) for v in values], "v double").repartition(16)
-    ordered = sorted(values)
-    want = tuple(ordered[min(int(round(p * (len(ordered) - 1))), len(ordered) - 1)] for p in points.values())
+    last = len(values) - 1
+    ranks = [(Decimal(p) * last).to_integral_value(ROUND_HALF_EVEN) for p in points.values()]
+    want = tuple(sorted(values)[int(rank)] for rank in ranks)
     assert tuple(nearest_rank(df, "v", points).first()) == want
 
 
@@ -148,3 +150,10 @@ def test_daily_series_as_a_stream(spark, tmp_path):
         .trigger(availableNow=True).start())
     query.awaitTermination()
     assert [tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).collect()] == [(date(2026, 8, 1), 2, 0.5, 0.0)]
+    write_daily_series(stream, str(tmp_path / "kept")).awaitTermination()
+    shown = {tuple(r) for r in read_daily_series(spark, str(tmp_path / "kept")).collect()}
+    assert shown == {(date(2026, 8, 1), 2, 0.5, 0.0), (date(2026, 8, 5), 1, 1.0, 0.0)}
+    log.limit(1).withColumn("timestamp", F.lit("2026-08-05 01:00:00").cast("timestamp")).write.mode("append").parquet(
+        str(tmp_path / "in"))
+    write_daily_series(stream, str(tmp_path / "kept")).awaitTermination()
+    assert {r.date.day: r.query_count for r in read_daily_series(spark, str(tmp_path / "kept")).collect()} == {1: 2, 5: 2}

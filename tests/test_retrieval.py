@@ -135,8 +135,10 @@ def test_more_terms_than_one_pass_takes(setup, monkeypatch):
     assert len(search.query_blocks(queries)) > 1
     assert found(search.Retriever(index, queries, vectors).hybrid_search(5)) == whole
     monkeypatch.setattr(search, "TERMS_PER_PASS", 1)
-    with pytest.raises(ValueError, match="bm25_scores"):
-        search.Retriever(index, queries, vectors).keyword_search(5)
+    assert found(search.Retriever(index, queries, vectors).hybrid_search(5)) == whole  # one long query a block
+    monkeypatch.setattr(search, "QUERIES_PER_PASS", 2)
+    again = queries.unionByName(queries).unionByName(queries)
+    assert found(search.Retriever(index, again, vectors.unionByName(vectors)).hybrid_search(5)) == whole
 
 
 def test_small_batches_give_the_same(spark, setup):

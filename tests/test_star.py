@@ -149,9 +149,10 @@ def test_nightly_refresh_runs_all_stages_and_again(spark, data, tmp_path):
     eventlog.append_events(eventlog.trace_events(derived.log_traces(spark, data)), log)
     documents = derived.corpus(spark, data).select("doc_id", "text")
     for _ in range(2):
-        report = nightly_refresh(spark, data, documents, log, root)
+        report = nightly_refresh(spark, data, documents, log, root, derived.vectors(spark, data, "doc_id"))
     assert {r.table_name: r.row_count for r in report.collect()}["fact_orders"] == 6000
-    assert Index.open(spark, f"{root}/index").documents.count() == 200
+    indexed = Index.open(spark, f"{root}/index").documents
+    assert indexed.count() == 200 and indexed.where("vector IS NOT NULL").count() > 0
     assert open_table(spark, f"{root}/telemetry", "traces").count() == 1000
 
 
@@ -168,6 +169,17 @@ def test_shuffles_are_sized_by_the_input(spark, data):
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
+def test_runs_at_once_get_folders_of_their_own(spark, tmp_path):
+    from lodestone import session
+
+    root = str(tmp_path / "t")
+    assert next_version(spark, root) != next_version(spark, root)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    with session.sized_shuffles(spark, root):
+        spark.conf.set("spark.sql.shuffle.partitions", "77")
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
 def test_old_versions_go_and_the_newest_stay(spark, tmp_path):
     root = str(tmp_path / "t")
     for number in range(1, 6):
