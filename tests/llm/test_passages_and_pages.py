@@ -91,6 +91,26 @@ def test_whole_copies_are_one_passage(spark):
     assert {r["doc_id"] for r in got} == set(range(6)) and len(got) == 10
 
 
+@pytest.mark.parametrize("size", [60, 120])
+def test_two_passages_of_the_same_texts_are_both_found_over_any_gap(spark, size):
+    rng = random.Random(size)
+    word = lambda: f"{rng.choice('bcdfg')}{rng.randrange(10**6)}"
+    rows, spans = [], {}
+    for i, gap in enumerate([20, 25, 31, 40, 60, 100, 140, 149, 200, 300]):
+        one, two = ([word() for _ in range(size)] for _ in range(2))
+        for k in (0, 1):
+            head = [word() for _ in range(rng.randrange(90))]
+            rows.append((10 * i + k, " ".join([*head, *one, *(word() for _ in range(gap)), *two, *(word() for _ in range(30))])))
+            spans[10 * i + k] = [(len(head), len(head) + size), (len(head) + size + gap, len(head) + 2 * size + gap)]
+    got = passages.repeated_passages(docs_of(spark, rows)).collect()
+    assert all(r["doc_id"] // 10 == r["other_id"] // 10 for r in got)
+    for i, own in spans.items():
+        found = [(r["first_word"], r["last_word"]) for r in got if r["doc_id"] == i]
+        assert all(any(s <= a and b <= e for s, e in found) for a, b in own)
+        gap, whole = own[1][0] - own[0][1], own[1][1] - own[0][0]
+        assert sorted(found) == ([(own[0][0], own[1][1])] if 2 * size >= 0.8 * whole else own), gap
+
+
 def test_registered_passages(spark, data):
     got = llm_queries()["op4_substring_dedup"](spark, data).collect()
     words = {r["doc_id"]: r["text"].lower().split() for r in spark.read.parquet(f"{data}/documents.parquet").collect()}
