@@ -111,6 +111,28 @@ def test_two_passages_of_the_same_texts_are_both_found_over_any_gap(spark, size)
         assert sorted(found) == ([(own[0][0], own[1][1])] if 2 * size >= 0.8 * whole else own), gap
 
 
+def test_edited_passages_down_to_the_stated_share_are_found(spark):
+    rng = random.Random(5)
+    word = lambda: f"{rng.choice('bcdfg')}{rng.randrange(10**6)}"
+    rows, kind = [], {}
+    for n in (51, 60, 80, 100):
+        for edits in (0.1, 0.15, 0.19, 10, 8, 7, 5):
+            for _ in range(10):
+                p = [word() for _ in range(n)]
+                changed = range(edits - 1, n - 1, edits) if edits > 1 else rng.sample(range(1, n - 1), int(edits * n))
+                q = [word() if k in set(changed) else w for k, w in enumerate(p)]
+                for own in (p, q):
+                    rows.append((len(rows), " ".join([*(word() for _ in range(rng.randrange(40))), *own, *(word() for _ in range(rng.randrange(40)))])))
+                kind[len(rows) // 2 - 1] = (n, edits)
+    got = passages.repeated_passages(docs_of(spark, rows)).collect()
+    assert all(r["doc_id"] // 2 == r["other_id"] // 2 for r in got)
+    assert all(min(r["last_word"] - r["first_word"], r["other_last"] - r["other_first"]) >= 50 for r in got)
+    found = {r["doc_id"] // 2 for r in got}
+    for which in set(kind.values()):
+        assert sum(k in found for k, v in kind.items() if v == which) >= 9, which
+    assert len(found) >= 0.99 * len(kind)
+
+
 def test_registered_passages(spark, data):
     got = llm_queries()["op4_substring_dedup"](spark, data).collect()
     words = {r["doc_id"]: r["text"].lower().split() for r in spark.read.parquet(f"{data}/documents.parquet").collect()}
