@@ -133,6 +133,24 @@ def test_edited_passages_down_to_the_stated_share_are_found(spark):
     assert len(found) >= 0.99 * len(kind)
 
 
+@pytest.mark.parametrize("quoting", [1, 5])
+def test_a_passage_is_found_beside_partial_quotations(spark, quoting):
+    rng = random.Random(quoting)
+    word = lambda: f"{rng.choice('bcdfg')}{rng.randrange(10**6)}"
+    rows, want = [], set()
+    for held in (36, 40, 45, 49):
+        for _ in range(15):
+            p = [word() for _ in range(60)]
+            at = [rng.randrange(61 - held) for _ in range(quoting)]
+            for own in (p, p, *(p[k : k + held] for k in at)):
+                rows.append((len(rows), " ".join([*(word() for _ in range(rng.randrange(40))), *own, *(word() for _ in range(rng.randrange(40)))])))
+            whole = len(rows) - quoting - 2
+            want |= {(whole, whole + 1), (whole + 1, whole)}
+    got = passages.repeated_passages(docs_of(spark, rows)).collect()
+    assert {(r["doc_id"], r["other_id"]) for r in got} == want
+    assert all(r["last_word"] - r["first_word"] == r["n_equal"] == 60 for r in got)
+
+
 def test_registered_passages(spark, data):
     got = llm_queries()["op4_substring_dedup"](spark, data).collect()
     words = {r["doc_id"]: r["text"].lower().split() for r in spark.read.parquet(f"{data}/documents.parquet").collect()}
