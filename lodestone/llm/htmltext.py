@@ -29,6 +29,10 @@ CONTAINERS = frozenset("article body div html main section td".split())
 SKIPPED_TAGS = frozenset("nav footer aside form button select option dialog menu head header".split())
 SKIPPED_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 SKIPPED_WORDS = frozenset("ad ads advert advertisement adverts banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus dropdown footer gdpr header masthead menu modal nav navbar navigation newsletter notice notices notification pager pagination popup promo promoted promotion recommended related replies reply share sharing sidebar signup skip social sponsor sponsored subscribe tags toolbar widget".split())
+#: A class or id with one of these tells what an element has or lacks, not what it is.
+MODIFIERS = frozenset("has with no without".split())
+#: Never skipped for the words of class or id.
+NAMED = frozenset("html body main article".split())
 #: An open element is closed by the start of one of these.
 CLOSED_BY = {"p": BLOCKS, "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]), "tr": frozenset(["tr"]), "td": frozenset(["td", "th", "tr"]), "th": frozenset(["td", "th", "tr"]), "option": frozenset(["option"])}
 #: A block's score of an outer container, a level out.
@@ -47,18 +51,25 @@ def _attributes(text: str) -> dict[str, str]:
     return {m[1].lower(): entities.unescape((m[2] or "").strip("\"'")) for m in ATTRIBUTE.finditer(text)}
 
 
-def _element(tag: str, attributes: str, parent: Element | None) -> Element:
+def _element(tag: str, attributes: str, parent: Element | None, by_words: bool) -> Element:
     own = _attributes(attributes) if attributes.strip(" /\n\t") else {}
     classes = sorted({c for c in (re.sub(r"\d+", "", c).strip("-_").lower() for c in own.get("class", "").split()) if c})
-    words = set(re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", f"{own.get('class', '')} {own.get('id', '')}").lower()))
+    named = []
+    if by_words and tag not in NAMED:
+        for name in f"{own.get('class', '')} {own.get('id', '')}".split():
+            words = set(re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower()))
+            named += [] if words & MODIFIERS else words
     skipped = (parent.skipped if parent else False) or tag not in ("body", "html") and (
-        tag in SKIPPED_TAGS or own.get("role", "").lower() in SKIPPED_ROLES or bool(words & SKIPPED_WORDS)
+        tag in SKIPPED_TAGS or own.get("role", "").lower() in SKIPPED_ROLES or not SKIPPED_WORDS.isdisjoint(named)
         or "hidden" in own or own.get("aria-hidden") == "true")
     return Element(tag, ".".join([tag, *classes]), parent, skipped)
 
 
-def blocks(page: str | None) -> list[tuple[Element, str, int]]:
-    """(element, text, characters within links) of each block of text, in order, without what is no article."""
+def blocks(page: str | None, by_words: bool = True) -> list[tuple[Element, str, int]]:
+    """(element, text, characters within links) of each block of text, in order, without what is no article.
+
+    If the words of class and id would skip all text of a page, they don't count in it.
+    """
     out: list[tuple[Element, str, int]] = []
     if not page:
         return out
@@ -124,10 +135,10 @@ def blocks(page: str | None) -> list[tuple[Element, str, int]]:
         if tag == "html":
             continue
         if tag not in VOID:
-            stack.append(_element(tag, m[3], stack[-1]))
+            stack.append(_element(tag, m[3], stack[-1], by_words))
             link += tag == "a"
     close_block()
-    return out
+    return out if out or not by_words else blocks(page, False)
 
 
 def _containers(element: Element) -> list[Element]:

@@ -194,6 +194,13 @@ def test_pages_by_consensus(spark):
     assert htmltext.extract(pages.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("start", ["main class='has-sidebar'", "article class='post tag social'", "div id='content-with-sidebar'", "div class='no-comments'", "div class='page sidebar-right'"])
+def test_articles_in_elements_named_for_other_things_are_kept(start):
+    rest = "" if "right" in start else "<div class='sidebar'><p>Aside.</p></div>"
+    whole = page(f"<nav>menu</nav><{start}>{ARTICLE}</{start.split()[0]}>{rest}<footer>me</footer>")
+    assert htmltext.page_text(htmltext.blocks(whole), None) == WANT
+
+
 def test_registered_pages_hold_their_article(spark, data):
     import html
     import re
