@@ -7,11 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm import ann, decontaminate, htmltext, katz, langid, mixing, passages, simhash, tokens, toxicity
+from lodestone.llm import (
+    align, ann, decontaminate, htmltext, katz, langid, merkle, mixing, passages, simhash, tokens, topk, toxicity,
+)
 from lodestone.llm.blocks import crc_mod
 from lodestone.llm.oracle import ORACLES
 
 TOKENIZER = "word_bpe_49k.json"
+ALIGNED = ("byte_bpe_50k.json", "piece_bpe_32k.model")
 END_ID = 1
 TOXIC_FROM = 0.3
 
@@ -20,10 +23,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = TOKENIZER) -> str:
     import public_tokenizers
 
-    return str(public_tokenizers.path(TOKENIZER))
+    return str(public_tokenizers.path(name))
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,6 +86,20 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    return merkle.verified(merkle.document_leaves(docs, tampered)).drop("siblings")
+
+
+def op12_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.align(_table(spark, sf_dir, "documents"), *map(tokenizer_path, ALIGNED))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -101,6 +118,9 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_simhash_dedup": op8_simhash_dedup,
         "op9_lm_scoring": op9_lm_scoring,
         "op10_decontamination": op10_decontamination,
+        "op11_merkle_manifest": op11_merkle_manifest,
+        "op12_exact_topk": op12_exact_topk,
+        "op13_token_alignment": op13_token_alignment,
         "pipeline": pipeline,
     }
 
