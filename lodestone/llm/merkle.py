@@ -210,8 +210,9 @@ SELECT rid, step, digest, siblings FROM climb
 """
 
 
-def climb(manifest: Manifest) -> DataFrame:
-    """(rid, siblings, folded): each leaf's siblings from its own level to the root, and the root that its ``shown`` digest folds into."""
+def climb(manifest: Manifest, with_siblings: bool = False) -> DataFrame:
+    """(rid, proof, folded): the digest of each leaf's siblings from its own level to the root, and the root that its ``shown`` digest
+    folds into; also ``siblings``, 32 bytes each, if asked for, which are many times as large as the rest."""
     spark = manifest.leaves.sparkSession
     ups = _above(F.col("width"), F.col("place"), F.col("tree"), F.lit(0), F.col("rank"), manifest.n_groups)
     starts = manifest.leaves.select("rid", F.col("tree").alias("home"), "block", "shown", *ups)
@@ -227,14 +228,15 @@ def climb(manifest: Manifest) -> DataFrame:
                 F.aggregate("p", F.lit(b""), lambda a, s: F.concat(a, s["siblings"])).alias("siblings"),
                 F.element_at("p", -1)["digest"].alias("folded"),
             )
-            return written(paths, "merkle-paths")
+            paths = paths.withColumn("proof", digest(as_hex(F.col("siblings"))))
+            return written(paths if with_siblings else paths.drop("siblings"), "merkle-proofs")
     finally:
         for name in names.values():
             spark.catalog.dropTempView(name)
 
 
-def verified(rows: DataFrame, group: str = "lang", order: str = "doc_id") -> DataFrame:
-    """(doc_id, leaf, subroot, root, siblings, proof_sha256, folded_root, verified) for every row.
+def verified(rows: DataFrame, group: str = "lang", order: str = "doc_id", with_siblings: bool = False) -> DataFrame:
+    """(doc_id, leaf, subroot, root, proof_sha256, folded_root, verified) for every row, and ``siblings`` if asked for.
 
     ``rows`` has ``order``, ``group``, ``leaf`` and ``shown`` as for ``build``. ``siblings`` holds the
     sibling digests of a proof, 32 bytes each; digests in the other columns are hex. A row
@@ -242,13 +244,13 @@ def verified(rows: DataFrame, group: str = "lang", order: str = "doc_id") -> Dat
     digest folds into the root.
     """
     manifest = build(rows, group, order)
-    paths = climb(manifest)
+    paths = climb(manifest, with_siblings)
     root = F.lit(manifest.root).cast("string")
     found = manifest.leaves.join(paths, "rid").join(manifest.blocks.select("tree", "block", "subroot"), ["tree", "block"])
     return found.select(
-        "doc_id", as_hex(F.col("leaf")).alias("leaf"), as_hex(F.col("subroot")).alias("subroot"), root.alias("root"), "siblings",
-        F.sha2(as_hex(F.col("siblings")), 256).alias("proof_sha256"), as_hex(F.col("folded")).alias("folded_root"),
-        (as_hex(F.col("folded")) == root).alias("verified"),
+        "doc_id", as_hex(F.col("leaf")).alias("leaf"), as_hex(F.col("subroot")).alias("subroot"), root.alias("root"),
+        as_hex(F.col("proof")).alias("proof_sha256"), as_hex(F.col("folded")).alias("folded_root"),
+        (as_hex(F.col("folded")) == root).alias("verified"), *(["siblings"] if with_siblings else []),
     )
 
 

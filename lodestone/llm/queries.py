@@ -89,7 +89,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
-    return merkle.verified(merkle.document_leaves(docs, tampered)).drop("siblings")
+    return merkle.verified(merkle.document_leaves(docs, tampered))
 
 
 def op12_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -110,6 +110,13 @@ def test_manifest_join_keys_hold_a_block_at_most(spark):
     assert made.paths.count() == made.paths.select(*key).distinct().count()
 
 
+def test_siblings_fold_into_the_root(spark):
+    rows = [(i, f"Text {i}", "en" if i % 3 else None, "s", i) for i in range(20)]
+    found = merkle.verified(merkle.document_leaves(docs_of(spark, rows), F.lit(False)), with_siblings=True).collect()
+    for r in found:
+        assert h(bytes(r["siblings"]).hex()) == r["proof_sha256"] and len(r["siblings"]) % 32 == 0 and r["verified"]
+
+
 def test_manifest_of_nothing(spark):
     assert manifest_of(spark, []) == []
 
