@@ -111,6 +111,30 @@ def top_in_batches(block: QueryBlock, method: str, k: int, alpha: float, ranges)
     return run
 
 
+def cosines_in_batches(block: QueryBlock):
+    """Every document's vector score for every query."""
+    q = len(block.query_ids)
+
+    def run(batches):
+        for batch in batches:
+            n = batch.num_rows
+            yield pa.RecordBatch.from_arrays([
+                block.query_ids.take(pa.array(np.tile(np.arange(q), n))),
+                batch.column("doc_id").take(pa.array(np.repeat(np.arange(n), q))),
+                pa.array(block.cosine(batch).ravel()),
+            ], names=["query_id", "doc_id", "score"])
+
+    return run
+
+
+def cosines_of_cell(documents: pa.Table, questions: pa.Table, *model: float) -> pa.Table:
+    """Vector scores of a group's questions with all documents of a range."""
+    run = cosines_in_batches(block_of(questions, *model))
+    found = list(run(documents.combine_chunks().to_batches(max_chunksize=CELL_ROWS)))
+    return pa.Table.from_batches(found) if found else pa.table(
+        [questions["query_id"].slice(0, 0), documents["doc_id"].slice(0, 0), pa.array([], pa.float64())], names=["query_id", "doc_id", "score"])
+
+
 def ranges_in_batches(block: QueryBlock):
     """Per batch and query: how many documents, and the smallest and largest scores."""
 
@@ -127,5 +151,142 @@ def ranges_in_batches(block: QueryBlock):
     return run
 
 
+def _lists(column: pa.ChunkedArray) -> tuple[pa.Array, np.ndarray]:
+    """All values of a list column, and how many each row has."""
+    whole = pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], column.type)
+    return whole.flatten(), np.diff(whole.offsets.to_numpy())
+
+
+def _rows_of(lists: np.ndarray) -> np.ndarray:
+    return np.repeat(np.arange(len(lists)), lists)
+
+
+def range_blocks(documents: pa.Table, k1: float, b: float, mean_length: float, highs: int) -> pa.Table:
+    """The postings of a range of documents: (term, range, docs, tfs, lengths, peak, best), a row a term, documents in order."""
+    documents = documents.sort_by("doc_id")
+    terms, sizes = _lists(documents["terms"])
+    coded = terms.dictionary_encode()
+    doc = _rows_of(sizes)
+    tf = _lists(documents["counts"])[0].to_numpy()
+    length = documents["length"].to_numpy()[doc]
+    code = coded.indices.to_numpy()
+    order = np.argsort(code, kind="stable")
+    code, doc, tf, length = code[order], doc[order], tf[order], length[order]
+    weight = tf * (k1 + 1) / (tf + k1 * (1 - b + b * length / mean_length))
+    first = np.searchsorted(code, np.arange(len(coded.dictionary) + 1))
+    ranked = np.lexsort((-weight, code))
+    place = np.arange(len(code)) - np.repeat(first[:-1], np.diff(first))
+    top = place < highs
+    edges = pa.array(first.astype(np.int32))
+    high_edges = pa.array(np.append(0, np.cumsum(np.minimum(np.diff(first), highs))).astype(np.int32))
+    best = weight[ranked][top]
+    whole = documents["doc_id"].combine_chunks()
+    span = documents["range"][0].as_py() if documents.num_rows else 0
+    n = len(coded.dictionary)
+    return pa.table([
+        coded.dictionary, pa.array(np.full(n, span, np.int32)), pa.ListArray.from_arrays(edges, whole.take(pa.array(doc))),
+        pa.ListArray.from_arrays(edges, pa.array(tf.astype(np.int32))), pa.ListArray.from_arrays(edges, pa.array(length.astype(np.int32))),
+        pa.array(best[high_edges.to_numpy()[:-1]] if n else np.zeros(0)), pa.ListArray.from_arrays(high_edges, pa.array(best)),
+    ], names=["term", "range", "docs", "tfs", "lengths", "peak", "best"])
+
+
+def best_places(scores: np.ndarray, k: int | None) -> np.ndarray:
+    """Places of the ``k`` highest scores; of equal ones the first."""
+    if k is None or len(scores) <= k:
+        return np.arange(len(scores))
+    last = np.partition(scores, len(scores) - k)[len(scores) - k]
+    above = np.flatnonzero(scores > last)
+    return np.append(above, np.flatnonzero(scores == last)[: k - len(above)])
+
+
+def score_cell(blocks: pa.Table, asked: pa.Table, k: int | None, k1: float, b: float, mean_length: float) -> pa.Table:
+    """BM25 of a group's questions against the documents of a range, from the postings blocks of the asked terms.
+
+    ``blocks``: term, docs, tfs, lengths, one row a term; ``asked``: query_id, term, weight.
+    Rounded scores of the ``k`` best documents of each question, equal ones by id; all
+    matching documents, not rounded, if ``k`` is None.
+    """
+    terms = blocks["term"].combine_chunks()
+    docs, sizes = _lists(blocks["docs"])
+    tf, length = (_lists(blocks[c])[0].to_numpy().astype(float) for c in ("tfs", "lengths"))
+    part = tf * (k1 + 1) / (tf + k1 * (1 - b + b * length / mean_length))
+    ids = docs.unique()
+    ids = ids.take(pc.array_sort_indices(ids))
+    place = pc.index_in(docs, value_set=ids).to_numpy()
+    ends = np.cumsum(sizes)
+    asked = asked.append_column("slot", pc.index_in(asked["term"], value_set=terms)).filter(pc.is_valid(pc.field("slot")))
+    order = pc.sort_indices(asked, sort_keys=[("query_id", "ascending"), ("term", "ascending")])
+    asked = asked.take(order)
+    queries = asked["query_id"].combine_chunks()
+    names = queries.unique()
+    who = pc.index_in(queries, value_set=names).to_numpy()
+    slot, weight = asked["slot"].to_numpy(), asked["weight"].to_numpy()
+    first = np.searchsorted(who, np.arange(len(names) + 1))
+    asker, found, scores = [], [], []
+    total = np.zeros(len(ids))
+    for q in range(len(names)):
+        spans = [slice(ends[s] - sizes[s], ends[s]) for s in slot[first[q] : first[q + 1]]]
+        for span, w in zip(spans, weight[first[q] : first[q + 1]]):
+            total[place[span]] += part[span] * w  # a document comes once in a block
+        own = np.unique(np.concatenate([place[span] for span in spans]))
+        score = total[own]
+        total[own] = 0.0
+        if k is not None:
+            score = np.round(score, DIGITS) + 0.0
+            best = best_places(score, k)
+            own, score = own[best], score[best]
+        asker.append(np.full(len(own), q))
+        found.append(own)
+        scores.append(score)
+    empty = [np.zeros(0, np.int64)]
+    return pa.table([
+        names.take(pa.array(np.concatenate(asker or empty))), ids.take(pa.array(np.concatenate(found or empty))),
+        pa.array(np.concatenate(scores or [np.zeros(0)])),
+    ], names=["query_id", "doc_id", "score"])
+
+
+def block_of(rows: pa.Table, k1: float, b: float, mean_length: float) -> QueryBlock:
+    """A block of queries from rows of (query_id, terms, weights, unit, ...)."""
+    rows = rows.sort_by("query_id")
+    query_ids = rows["query_id"].combine_chunks()
+    units = rows["unit"].to_pylist()
+    dims = max((len(u) for u in units if u is not None), default=0)
+    matrix = np.array([u if u is not None else [0.0] * dims for u in units]).reshape(len(units), dims)
+    terms, sizes = _lists(rows["terms"])
+    weight = _lists(rows["weights"])[0].to_numpy()
+    asker = np.repeat(np.arange(len(query_ids)), sizes)
+    vocabulary = terms.unique()
+    slots = pc.index_in(terms, value_set=vocabulary).to_numpy()
+    order = np.argsort(slots, kind="stable")
+    return QueryBlock(
+        query_ids=query_ids, vocabulary=vocabulary, first=np.searchsorted(slots[order], np.arange(len(vocabulary) + 1)),
+        asker=asker[order], weight=weight[order], vectors=matrix, k1=k1, b=b, mean_length=mean_length,
+    )
+
+
+CELL_ROWS = 2048
+
+
+def ranges_of_cell(documents: pa.Table, questions: pa.Table, *model: float) -> pa.Table:
+    """Score ranges of a group's questions over the documents of a range."""
+    run = ranges_in_batches(block_of(questions, *model))
+    found = list(run(documents.combine_chunks().to_batches(max_chunksize=CELL_ROWS)))
+    none = pa.array([], pa.float64())
+    return pa.Table.from_batches(found) if found else pa.table(
+        [questions["query_id"].slice(0, 0), none, none, none, none], names=["query_id", "v_low", "v_high", "k_low", "k_high"])
+
+
+def best_of_cell(documents: pa.Table, questions: pa.Table, method: str, k: int, alpha: float, *model: float) -> pa.Table:
+    """The best ``k`` documents of a range for each of a group's questions; for hybrid these have their score ranges."""
+    spans = None
+    if method == "hybrid":
+        ordered = questions.sort_by("query_id")
+        spans = [ordered[c].to_numpy() for c in ("v_low", "v_high", "k_low", "k_high")]
+    run = top_in_batches(block_of(questions, *model), method, k, alpha, spans)
+    found = list(run(documents.combine_chunks().to_batches(max_chunksize=CELL_ROWS))) if questions.num_rows else []
+    return pa.Table.from_batches(found) if found else pa.table(
+        [questions["query_id"].slice(0, 0), documents["doc_id"].slice(0, 0), pa.array([], pa.float64())], names=["query_id", "doc_id", "score"])
+
+
 # Tasks get these functions by value, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -1,21 +1,26 @@
-"""Keyword, vector and hybrid search of a batch of queries over an index."""
+"""Keyword, vector and hybrid search of a batch of queries over an index.
+
+Keyword search reads the postings of its terms. Vector and hybrid search score every
+document: a small batch of questions goes to the tasks that scan the index, a larger one is a
+table that meets the documents by ranges of documents and groups of questions.
+"""
 
 from __future__ import annotations
 
-from functools import cached_property, reduce
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestone.functions.text import tokenize
 from lodestone.functions.vectors import as_double, dot, unit
 from lodestone.operators import scoring
-from lodestone.operators.bm25 import B, K1, Index, query_weights, rate
+from lodestone.operators.bm25 import B, K1, Index, query_weights, range_of, rate, scored_cells
+from lodestone.session import settled
 
-# A block of queries goes to the tasks whole. Each has at most this many queries and
-# query terms; more mean more blocks, each with its own pass over the index.
+# Questions that go to the tasks whole have at most this many rows and terms; more of them are
+# dealt into groups of about this size.
 QUERIES_PER_PASS = 256
 TERMS_PER_PASS = 500_000
 
@@ -29,54 +34,8 @@ SCORES = "query_id {query}, doc_id {doc}, score double"
 RANGES = "query_id {query}, v_low double, v_high double, k_low double, k_high double"
 
 
-def query_blocks(queries: DataFrame, depth: int = 0) -> list[DataFrame]:
-    """The queries in blocks within both bounds. A hash deals them out, aiming at half
-    of each bound; a block that is over all the same is dealt out again. Only a
-    single query can stay over; it is a block of its own. A query comes once."""
-    terms = F.size(F.array_distinct(tokenize(F.coalesce("text", F.lit("")))))
-    size = queries.agg(F.count("*").alias("n"), F.coalesce(F.sum(terms), F.lit(0)).alias("terms")).first()
-    if size.n <= 1 or (size.n <= QUERIES_PER_PASS and size.terms <= TERMS_PER_PASS):
-        return [queries] if size.n else []
-    blocks = max(2, -(-2 * size.n // QUERIES_PER_PASS), -(-2 * size.terms // TERMS_PER_PASS))
-    place = F.pmod(F.xxhash64("query_id", F.lit(depth)), F.lit(blocks))
-    return [b for i in range(blocks) for b in query_blocks(queries.where(place == i), depth + 1)]
-
-
-def load_block(index: Index, queries: DataFrame, vectors: DataFrame | None) -> scoring.QueryBlock:
-    """One bounded block of queries with its term weights and vectors, on the driver."""
-    found = queries.select("query_id")
-    if vectors is None:
-        found = found.withColumn("unit", F.lit(None).cast("array<double>"))
-    else:
-        given = vectors.groupBy("query_id").agg(F.max(as_double(F.col("vector"))).alias("v"))
-        found = found.join(given, "query_id", "left").select("query_id", unit(F.col("v")).alias("unit"))
-    asked = found.toArrow().sort_by("query_id")
-    query_ids = asked["query_id"].combine_chunks()
-    units = asked["unit"].to_pylist()
-    dims = max((len(u) for u in units if u is not None), default=0)
-    matrix = np.array([u if u is not None else [0.0] * dims for u in units]).reshape(len(units), dims)
-
-    totals = index.corpus.first()  # one row
-    rated = rate(index.terms, F.lit(totals.n), F.lit(totals.mean_idf).cast("double"))
-    weights = query_weights(queries, rated).toArrow().sort_by([("term", "ascending"), ("query_id", "ascending")])
-    terms = weights["term"].combine_chunks()
-    vocabulary = terms.unique()
-    slots = pa.compute.index_in(terms, value_set=vocabulary).to_numpy()
-    return scoring.QueryBlock(
-        query_ids=query_ids,
-        vocabulary=vocabulary,
-        first=np.searchsorted(slots, np.arange(len(vocabulary) + 1)),
-        asker=pa.compute.index_in(weights["query_id"].combine_chunks(), value_set=query_ids).to_numpy(),
-        weight=weights["weight"].combine_chunks().to_numpy(),
-        vectors=matrix,
-        k1=K1,
-        b=B,
-        mean_length=totals.mean_length or 1.0,
-    )
-
-
 class Retriever:
-    """A batch of queries over an index. Query blocks and score ranges are made
+    """A batch of queries over an index. Question weights and score ranges are made
     once and serve every search. A query id that comes in several rows is one
     query, with the greatest of its texts and vectors."""
 
@@ -84,9 +43,48 @@ class Retriever:
         self.index, self.queries, self.vectors = index, queries, vectors
 
     @cached_property
-    def _blocks(self) -> list[scoring.QueryBlock]:
-        once = self.queries.groupBy("query_id").agg(F.max("text").alias("text"))
-        return [load_block(self.index, part, self.vectors) for part in query_blocks(once)]
+    def _totals(self):
+        return self.index.corpus.first()  # one row
+
+    @cached_property
+    def _once(self) -> DataFrame:
+        return self.queries.groupBy("query_id").agg(F.max("text").alias("text"))
+
+    @cached_property
+    def asked(self) -> DataFrame:
+        """(query_id, terms, weights, unit), a row a question."""
+        totals = self._totals
+        rated = rate(self.index.terms.select("term", "df"), F.lit(totals.n), F.lit(totals.mean_idf).cast("double"))
+        weights = query_weights(self._once, rated).groupBy("query_id").agg(
+            F.sort_array(F.collect_list(F.struct("term", "weight"))).alias("own"))
+        found = self._once.select("query_id").join(weights, "query_id", "left")
+        if self.vectors is None:
+            found = found.withColumn("v", F.lit(None).cast("array<double>"))
+        else:
+            given = self.vectors.groupBy("query_id").agg(F.max(as_double(F.col("vector"))).alias("v"))
+            found = found.join(given, "query_id", "left")
+        none = F.array().cast("array<struct<term:string,weight:double>>")
+        own = F.coalesce("own", none)
+        return settled(found.select(
+            "query_id", F.transform(own, lambda t: t["term"]).alias("terms"),
+            F.transform(own, lambda t: t["weight"]).alias("weights"), unit(F.col("v")).alias("unit")))
+
+    @cached_property
+    def _size(self) -> tuple[int, int]:
+        """Questions, and the groups they are dealt into; one group goes to the tasks whole."""
+        size = self.asked.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.size("terms")), F.lit(0)).alias("terms")).first()
+        if size.n <= QUERIES_PER_PASS and size.terms <= TERMS_PER_PASS:
+            return size.n, 1
+        return size.n, max(2, -(-2 * size.n // QUERIES_PER_PASS), -(-2 * size.terms // TERMS_PER_PASS))
+
+    @property
+    def _model(self) -> tuple[float, float, float]:
+        return K1, B, self._totals.mean_length or 1.0
+
+    @cached_property
+    def _block(self) -> scoring.QueryBlock:
+        """The questions as arrays, where they are one group."""
+        return scoring.block_of(self.asked.toArrow(), *self._model)
 
     def _typed(self, schema: str) -> str:
         return schema.format(
@@ -94,32 +92,74 @@ class Retriever:
             doc=self.index.documents.schema["doc_id"].dataType.simpleString(),
         )
 
-    def _over_index(self, tasks: list, schema: str, method: str = "hybrid") -> DataFrame:
-        """Each task function over all documents, reading only the columns the method scores."""
-        documents = self.index.documents.select("doc_id", *SCORED_COLUMNS[method])
-        if not tasks:
-            return documents.sparkSession.createDataFrame([], self._typed(schema))
-        return reduce(DataFrame.unionByName, [
-            documents.mapInArrow(task, self._typed(schema)) for task in tasks])
+    def _cells(self, score, questions: DataFrame, schema: str, method: str) -> DataFrame:
+        """``score`` of each range of documents and group of questions, both as tables."""
+        ranges, groups = self.index.ranges, self._size[1]
+        group = F.pmod(F.xxhash64("query_id"), F.lit(groups)).cast("int")
+        documents = self.index.documents.select("doc_id", *SCORED_COLUMNS[method], range_of(ranges).alias("range"))
+        documents = documents.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+        asked = questions.withColumns({"q_group": group, "q_range": F.explode(F.sequence(F.lit(0), F.lit(ranges - 1)))})
+        return documents.groupBy("range", "group").cogroup(asked.groupBy("q_range", "q_group")).applyInArrow(score, self._typed(schema))
 
     def score_ranges(self) -> DataFrame:
         """Per query the smallest and largest vector and keyword score over all documents."""
-        rows = self._over_index([scoring.ranges_in_batches(b) for b in self._blocks], RANGES)
+        n, groups = self._size
+        if groups == 1:
+            documents = self.index.documents.select("doc_id", *SCORED_COLUMNS["hybrid"])
+            if not n:
+                return documents.sparkSession.createDataFrame([], self._typed(RANGES))
+            rows = documents.mapInArrow(scoring.ranges_in_batches(self._block), self._typed(RANGES))
+        else:
+            model = self._model
+            rows = self._cells(lambda d, q: scoring.ranges_of_cell(d, q, *model), self.asked, RANGES, "hybrid")
         return rows.groupBy("query_id").agg(
             F.min("v_low").alias("v_low"), F.max("v_high").alias("v_high"),
             F.min("k_low").alias("k_low"), F.max("k_high").alias("k_high"),
         )
 
+    def vector_scores(self) -> DataFrame:
+        """(query_id, doc_id, score): the dot product of unit vectors for every question and document, 0 where one has none."""
+        n, groups = self._size
+        documents = self.index.documents.select("doc_id", *SCORED_COLUMNS["vector"])
+        if not n:
+            return documents.sparkSession.createDataFrame([], self._typed(SCORES))
+        if groups == 1:
+            return documents.mapInArrow(scoring.cosines_in_batches(self._block), self._typed(SCORES))
+        model = self._model
+        return self._cells(lambda d, q: scoring.cosines_of_cell(d, q, *model), self.asked, SCORES, "vector")
+
     @cached_property
-    def _ranges(self) -> list[list[np.ndarray]]:
-        """The ranges of each block, in the order of its queries."""
-        rows = self.score_ranges().toArrow()
-        ordered = []
-        for block in self._blocks:
-            place = pa.compute.index_in(block.query_ids, value_set=rows["query_id"].combine_chunks())
-            mine = rows.take(place) if rows.num_rows else rows
-            ordered.append([mine[c].to_numpy() for c in ("v_low", "v_high", "k_low", "k_high")])
-        return ordered
+    def _ranges(self) -> DataFrame:
+        return settled(self.score_ranges())
+
+    def _dense(self, method: str, k: int, alpha: float) -> DataFrame:
+        """The best ``k`` of each task, every document scored."""
+        n, groups = self._size
+        documents = self.index.documents.select("doc_id", *SCORED_COLUMNS[method])
+        if not n:
+            return documents.sparkSession.createDataFrame([], self._typed(SCORES))
+        if groups == 1:
+            spans = None
+            if method == "hybrid":
+                rows = self._ranges.toArrow()
+                place = pa.compute.index_in(self._block.query_ids, value_set=rows["query_id"].combine_chunks())
+                mine = rows.take(place) if rows.num_rows else rows
+                spans = [mine[c].to_numpy() for c in ("v_low", "v_high", "k_low", "k_high")]
+            return documents.mapInArrow(scoring.top_in_batches(self._block, method, k, alpha, spans), self._typed(SCORES))
+        asked = self.asked.join(self._ranges, "query_id") if method == "hybrid" else self.asked
+        model = self._model
+        return self._cells(lambda d, q: scoring.best_of_cell(d, q, method, k, alpha, *model), asked, SCORES, method)
+
+    def _sparse(self, k: int) -> DataFrame:
+        """The best ``k`` of each range from the postings, filled up with documents that score 0."""
+        found = settled(top_k(scored_cells(self.index, self._once, k), k).drop("rank"))
+        good = found.where("score > 0").groupBy("query_id").agg(F.count("*").alias("n"))
+        short = self._once.select("query_id").join(good, "query_id", "left").where(F.coalesce("n", F.lit(0)) < k)
+        # fewer than k match, so k of the 2k smallest ids don't
+        smallest = self.index.documents.select("doc_id").orderBy("doc_id").limit(2 * k)
+        listed = smallest.agg(F.sort_array(F.collect_list("doc_id")).alias("ids"))
+        filling = short.select("query_id", F.explode(listed.scalar()).alias("doc_id")).join(found, ["query_id", "doc_id"], "left_anti")
+        return found.unionByName(filling.withColumn("score", F.lit(0.0)))
 
     def search(self, method: str, k: int = 5, alpha: float = 0.5) -> DataFrame:
         """(query_id, doc_id, score, rank): the ``k`` best of all documents per query.
@@ -131,12 +171,10 @@ class Retriever:
         at all, hybrid ranks by keyword alone. Scores are rounded, and equal
         scores rank by document id.
         """
-        ranges = self._ranges if method == "hybrid" else [None] * len(self._blocks)
-        tasks = [
-            scoring.top_in_batches(block, method, k, alpha, span)
-            for block, span in zip(self._blocks, ranges)
-        ]
-        return top_k(self._over_index(tasks, SCORES, method), k)
+        # a corpus most of whose terms are in most documents gives matches less than nothing: all documents are scored
+        if method == "keyword" and (self._totals.mean_idf or 0) >= 0:
+            return top_k(self._sparse(k), k)
+        return top_k(self._dense(method, k, alpha), k)
 
     def keyword_search(self, k: int = 5) -> DataFrame:
         return self.search("keyword", k)

@@ -137,7 +137,7 @@ def index(spark: SparkSession, path: str) -> Index:
     if stored is not None:
         return stored
     documents = corpus(spark, path).select("doc_id", "text")
-    return build_index(documents, vectors(spark, path, "doc_id")).write(root)
+    return build_index(documents, vectors(spark, path, "doc_id"), laid_out=False).write(root)
 
 
 def quoted_by(ranked: DataFrame, spark: SparkSession, path: str) -> DataFrame:

@@ -605,7 +605,13 @@ def retrieval_oracles() -> dict[str, str]:
             SELECT doc_id, CAST(len(w) AS INTEGER) AS tokens, md5(array_to_string(w, ' ')) AS digest FROM (
               SELECT doc_id, list_filter(string_split_regex(lower(replace(text, '_', ' ')), '\s+'),
                                          lambda x: x <> '') AS w FROM documents)""",
-        "R2_terms": counted("SELECT term, df, round(idf, 6) AS idf FROM terms"),
+        "R2_terms": r"""
+            SELECT term, df, round(CASE WHEN raw < 0 THEN 0.25::DOUBLE * AVG(raw) OVER () ELSE raw END, 6) AS idf FROM (
+              SELECT term, df, ln(n - df + 0.5::DOUBLE) - ln(df + 0.5::DOUBLE) AS raw FROM (
+                SELECT term, COUNT(*) AS df FROM (
+                  SELECT unnest(list_distinct(list_filter(
+                    string_split_regex(lower(replace(text, '_', ' ')), '\s+'), lambda x: x <> ''))) AS term FROM documents)
+                GROUP BY term), (SELECT COUNT(*) AS n FROM documents))""",
         "R2_corpus": counted("""
             SELECT n, round(mean_length, 6) AS mean_length,
                    (SELECT round(AVG(raw), 6) FROM rated) AS mean_idf FROM tot"""),
@@ -618,10 +624,9 @@ def retrieval_oracles() -> dict[str, str]:
         "R5_unit_vectors": found("""
             SELECT vec_id AS doc_id, round(list_dot_product(u, u), 6) AS length, round(list_sum(u), 6) AS total
             FROM uni"""),
-        "R6_vector_scores": found(
-            "SELECT query_id, doc_id, round(near, 6) AS vector_score "
-            "FROM words JOIN (SELECT query_id, doc_id, near FROM mixed) USING (query_id, doc_id)",
-            f"words AS ({best_of('worded', 8)})"),
+        "R6_vector_scores": found("""
+            SELECT query_id, COUNT(*) AS documents, round(SUM(near), 4) AS total, round(MIN(near), 6) AS lowest,
+                   round(MAX(near), 6) AS highest FROM dense GROUP BY query_id"""),
         "R7_score_ranges": found("""
             SELECT query_id, round(v_low, 6) AS v_low, round(v_high, 6) AS v_high, round(k_low, 6) AS k_low,
                    round(k_high, 6) AS k_high FROM ranges"""),

@@ -364,10 +364,11 @@ def retrieval_queries() -> dict[str, Query]:
             "n", F.round("mean_length", 6).alias("mean_length"), F.round("mean_idf", 6).alias("mean_idf"))
 
     def stored(spark, path):
-        index = derived.index(spark, path)
-        return index.postings.agg(
-            F.count("*").alias("postings"), F.sum("tf").alias("tokens"),
-            F.count_distinct("term").alias("terms"), F.max("tf").cast("bigint").alias("most"))
+        blocks = derived.index(spark, path).blocks
+        return blocks.agg(
+            F.sum(F.size("docs").cast("long")).alias("postings"),
+            F.sum(F.aggregate("tfs", F.lit(0).cast("long"), lambda a, x: a + x)).alias("tokens"),
+            F.count_distinct("term").alias("terms"), F.max(F.array_max("tfs")).cast("bigint").alias("most"))
 
     def score_totals(spark, path):
         scores = bm25_scores(derived.index(spark, path), derived.questions(spark, path))
@@ -400,11 +401,11 @@ def retrieval_queries() -> dict[str, Query]:
             "query_id", "doc_id", "score", "rank")
 
     def vector_scores(spark, path):
-        """Exact cosine of each question's keyword candidates, vector by vector."""
-        r = retriever(spark, path)
-        joined = search.with_vectors(r.keyword_search(8), r.index, r.vectors)
-        return joined.select(
-            "query_id", "doc_id", F.round(search.cosine_of_candidates(), 6).alias("vector_score"))
+        """Of each question its scores with all documents."""
+        scores = retriever(spark, path).vector_scores()
+        return scores.groupBy("query_id").agg(
+            F.count("*").alias("documents"), F.round(F.sum("score"), 4).alias("total"),
+            F.round(F.min("score"), 6).alias("lowest"), F.round(F.max("score"), 6).alias("highest"))
 
     def reordered(spark, path):
         r = retriever(spark, path)

@@ -5,8 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from lodestone.functions.text import tokenize
-from lodestone.operators import search
-from lodestone.operators.bm25 import Index, bm25_scores, build_index
+from lodestone.operators import bm25, search
+from lodestone.operators.bm25 import Index, bm25_scores, build_index, scored_cells
 
 WORDS = "order revenue region customer the discount date_key ship supplier rate".split()
 
@@ -120,25 +120,82 @@ def test_joined_scores_equal_brute_force(setup):
             assert got.get((q, d), 0.0) == pytest.approx(score, abs=1e-9)
 
 
-def test_more_queries_than_one_pass_takes(setup, monkeypatch):
+@pytest.mark.parametrize("method", ("keyword", "vector", "hybrid"))
+def test_more_questions_than_one_pass_takes(setup, monkeypatch, method):
     *_, index, queries, vectors = setup
-    whole = found(search.Retriever(index, queries, vectors).hybrid_search(5))
-    monkeypatch.setattr(search, "QUERIES_PER_PASS", 3)
-    assert len(search.query_blocks(queries)) > 1
-    assert found(search.Retriever(index, queries, vectors).hybrid_search(5)) == whole
+    whole = found(search.Retriever(index, queries, vectors).search(method, 5))
+    for name, bound in (("QUERIES_PER_PASS", 2), ("TERMS_PER_PASS", 1)):
+        monkeypatch.setattr(search, name, bound)
+        again = queries.unionByName(queries).unionByName(queries)
+        many = search.Retriever(index, again, vectors.unionByName(vectors))
+        assert many._size[1] > 1
+        assert found(many.search(method, 5)) == whole
+
+
+@pytest.mark.parametrize("bound", (256, 2))
+def test_vector_scores_of_all_documents(setup, monkeypatch, bound):
+    documents, vectors, queries, asked, index, table, given = setup
+    monkeypatch.setattr(search, "QUERIES_PER_PASS", bound)
+    got = {(r.query_id, r.doc_id): r.score for r in search.Retriever(index, table, given).vector_scores().collect()}
+    ids = [d for d, _ in documents]
+    assert len(got) == len(ids) * len(queries)
+    for q, _ in queries:
+        for d, score in zip(ids, brute_cosine(vectors, ids, asked.get(q))):
+            assert got[q, d] == pytest.approx(score, abs=1e-6)
 
 
-def test_more_terms_than_one_pass_takes(setup, monkeypatch):
-    *_, index, queries, vectors = setup
-    whole = found(search.Retriever(index, queries, vectors).hybrid_search(5))
-    monkeypatch.setattr(search, "TERMS_PER_PASS", 4)
-    assert len(search.query_blocks(queries)) > 1
-    assert found(search.Retriever(index, queries, vectors).hybrid_search(5)) == whole
-    monkeypatch.setattr(search, "TERMS_PER_PASS", 1)
-    assert found(search.Retriever(index, queries, vectors).hybrid_search(5)) == whole  # one long query a block
-    monkeypatch.setattr(search, "QUERIES_PER_PASS", 2)
-    again = queries.unionByName(queries).unionByName(queries)
-    assert found(search.Retriever(index, again, vectors.unionByName(vectors)).hybrid_search(5)) == whole
+def rare_words(rng, n):
+    """Words of which most are in few documents, so that all weights are positive."""
+    return " ".join(f"w{min(int(rng.expovariate(0.02)), 400)}" for _ in range(n))
+
+
+@pytest.fixture(scope="module")
+def stored(spark, tmp_path_factory):
+    rng = random.Random(11)
+    documents = [(i, rare_words(rng, rng.randint(0, 60))) for i in range(900)] + [(900, "w1 " * 50), (901, "unique")]
+    queries = [(q, rare_words(rng, rng.randint(1, 12))) for q in range(30)] + [(30, "unique"), (31, "none of these"), (32, None)]
+    index = build_index(spark.createDataFrame(documents, "doc_id bigint, text string"))
+    return documents, queries, index.write(str(tmp_path_factory.mktemp("i") / "index")), spark.createDataFrame(queries, "query_id bigint, text string")
+
+
+@pytest.mark.parametrize("k", (1, 5, 50))
+def test_keyword_search_from_postings_equals_brute_force(stored, k):
+    documents, queries, index, asked = stored
+    ids = [d for d, _ in documents]
+    want = {q: best(ids, brute_bm25(documents, text or ""), k) for q, text in queries}
+    assert index.corpus.first().mean_idf > 0
+    assert found(search.Retriever(index, asked).keyword_search(k)) == want
+
+
+def test_keyword_search_reads_the_buckets_of_its_terms(spark, stored):
+    index = stored[2]
+    plan = scored_cells(index, spark.createDataFrame([(1, "unique")], "query_id bigint, text string"), 5)._jdf.queryExecution().toString()
+    scans = [line for line in plan.splitlines() if "PartitionFilters: [" in line and "bucket" in line]
+    assert scans and all("IN (" in line or "bucket#" in line.split("PartitionFilters: [")[1].split("]")[0] for line in scans)
+    named = stored[2].blocks.where(F.col("term") == "unique").select("bucket").distinct().collect()
+    assert len(named) == 1
+
+
+def test_ranges_that_cannot_win_are_skipped(spark, stored):
+    documents, _, index, _ = stored
+    asked = spark.createDataFrame([(1, "w1 w2 unique")], "query_id bigint, text string")
+    few, all_pairs = scored_cells(index, asked, 1).count(), scored_cells(index, asked, None).count()
+    assert few == 1 < all_pairs  # only the range of the document that holds the rare word is scored
+
+
+def test_questions_in_groups_give_the_same_scores(stored, monkeypatch):
+    _, _, index, asked = stored
+    whole = {(r.query_id, r.doc_id): round(r.score, 9) for r in bm25_scores(index, asked).collect()}
+    monkeypatch.setattr(bm25, "GROUP_QUERIES", 4)
+    monkeypatch.setattr(bm25, "SENT_ROWS", 0)
+    assert {(r.query_id, r.doc_id): round(r.score, 9) for r in bm25_scores(index, asked).collect()} == whole
+
+
+def test_blocks_hold_each_posting_once(stored):
+    _, _, index, _ = stored
+    rows = index.blocks.select("bucket", "term", "range", F.explode(F.arrays_zip("docs", "tfs", "lengths")).alias("p")).select("term", "p.docs", "p.tfs", "p.lengths").collect()
+    want = sorted((r.term, r.doc_id, r.tf, r.length) for r in index.postings.collect())
+    assert sorted(map(tuple, rows)) == want
 
 
 def test_small_batches_give_the_same(spark, setup):
