@@ -11,18 +11,19 @@ Frames are rows of Parquet files, a file a range of ids, in ascending order of d
 
 from __future__ import annotations
 
-import os
+import json
 import struct
 import uuid
 import zlib
-from itertools import chain, repeat
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lodestone.llm.blocks import KEPT, U64, freed_shuffles, release
+from lodestone.llm.blocks import KEPT, U64, freed_shuffles, release, slices, utf8
+from lodestone.llm.pieces import JOINED, PieceEncoder, at_spaces, ids_of, no_cuts, tokenizers_file
 from lodestone.session import scratch_path
 
 #: Ids a word holds and bits of each, by selector. Fixed by the format; selector 1 is the escape.
@@ -32,8 +33,6 @@ ESCAPE = 1
 BLOCK = 1024
 FRAME_IDS = 1 << 18
 MAGIC = b"S8B1"
-#: Words whose ids a worker remembers.
-CACHE_WORDS = 900_000
 
 
 def pack(values: np.ndarray) -> bytes:
@@ -121,100 +120,62 @@ def unpack(frame: bytes) -> np.ndarray:
     return out
 
 
-class WordEncoder:
-    """A tokenizer that drops white space and never joins pieces across it, with the ids of words remembered.
-
-    Texts are cut at spaces and line ends, and letters from the ASCII punctuation that follows them,
-    where the tokenizer itself always cuts; each distinct piece is encoded by the library once.
+#: The normalizers that work on a character and what combines with it, and the pattern of words that leaves out white space.
+LOCAL_NORMALIZERS = ({"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"})
+WORD_PATTERN = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+#: Put between words that are encoded together: it is a word of its own, and text that has it is encoded by itself.
+MARK = "\x01"
+
+
+def drops_spaces(spec: dict) -> bool:
+    """Whether a tokenizer, by its own description, drops white space and never joins tokens across it."""
+    normalizer = spec.get("normalizer") or {"type": "Sequence", "normalizers": []}
+    steps = normalizer.get("normalizers", [normalizer])
+    before = spec.get("pre_tokenizer") or {}
+    first = before.get("pretokenizers", [before])[0]
+    split = first.get("type") == "Split" and first.get("behavior") == "Removed" and first.get("invert") is True
+    plain = all(t["content"].split() == [t["content"]] and not t["lstrip"] and not t["rstrip"] for t in spec.get("added_tokens", []))
+    return all(step in LOCAL_NORMALIZERS for step in steps) and split and first.get("pattern") == {"Regex": WORD_PATTERN} and plain
+
+
+class WordLibrary:
+    """The ids of words by the tokenizers library, many words a call: a mark between them tells where each one's ids end."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer = tokenizer
+        alone = ids_of(tokenizer, [MARK])[0]
+        self.mark = alone[0] if len(alone) == 1 else None
+
+    def __call__(self, words: list[str]) -> list:
+        out: list = [None] * len(words)
+        own = [i for i, w in enumerate(words) if MARK not in w] if self.mark is not None else []
+        chunks = [own[i : i + JOINED] for i in range(0, len(own), JOINED)]
+        for chunk, ids in zip(chunks, ids_of(self.tokenizer, [f" {MARK} ".join([words[i] for i in c]) for c in chunks]), strict=True):
+            ids = np.array(ids, np.int32)
+            ends = np.append(np.flatnonzero(ids == self.mark), len(ids))
+            if len(ends) == len(chunk):
+                for i, part in zip(chunk, np.split(ids, ends[:-1]), strict=True):
+                    out[i] = part[part != self.mark]
+        left = [i for i, ids in enumerate(out) if ids is None]
+        for i, ids in zip(left, ids_of(self.tokenizer, [words[i] for i in left]), strict=True):
+            out[i] = ids
+        return out
+
+
+def encoder(path: str) -> PieceEncoder:
+    """The worker's encoder, which lasts until a task of another kind comes.
+
+    Texts are cut at white space where the tokenizer itself always cuts; those of any other tokenizer are encoded whole.
     """
-
-    #: ASCII punctuation that may follow a word; without the apostrophe, which joins contractions, and the angle bracket of special tokens.
-    TAIL = ".,;:!?%*$&#)(|-+=/\"[]{}@^_~"
-
-    def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.library = Tokenizer.from_file(path)
-        self.clear()
-
-    def clear(self) -> None:
-        self.index: dict[str, int] = {}
-        self.pieces: dict[str, int] = {"": 0}
-        self.flat, self.used = np.zeros(1 << 20, np.uint32), 0
-        self.first, self.size = np.zeros(1 << 18, np.int64), np.zeros(1 << 18, np.int32)  # of pieces
-        self.parts = np.zeros((1 << 18, 2), np.int32)  # of words
-
-    def _encode_pieces(self, new: list[str]) -> None:
-        pieces = self.pieces
-        for i in range(0, len(new), 1 << 14):
-            some = new[i : i + (1 << 14)]
-            ids = [e.ids for e in self.library.encode_batch_fast(some, add_special_tokens=False)]
-            size = np.fromiter(map(len, ids), np.int64, len(ids))
-            total, known = int(size.sum()), len(pieces)
-            while self.used + total > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-            while known + len(some) > len(self.first):
-                self.first, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.first, self.size))
-            self.flat[self.used : self.used + total] = np.fromiter(chain.from_iterable(ids), np.uint32, total)
-            self.size[known : known + len(some)] = size
-            self.first[known : known + len(some)] = self.used + np.cumsum(size) - size
-            self.used += total
-            pieces.update(zip(some, range(known, known + len(some)), strict=True))
-
-    def _learn(self, words: list[str]) -> None:
-        heads, tails = [], []
-        for word in words:
-            head = word.rstrip(self.TAIL)
-            if head.isalpha():
-                heads.append(head.lower() if head.isascii() else head)
-                tails.append(word[len(head) :])
-            else:
-                heads.append(word)
-                tails.append("")
-        pieces = self.pieces
-        self._encode_pieces([p for p in dict.fromkeys([*heads, *tails]) if p not in pieces])
-        known = len(self.index)
-        while known + len(words) > len(self.parts):
-            self.parts = np.concatenate([self.parts, np.zeros_like(self.parts)])
-        own = self.parts[known : known + len(words)]
-        own[:, 0] = np.fromiter(map(pieces.__getitem__, heads), np.int32, len(words))
-        own[:, 1] = np.fromiter(map(pieces.__getitem__, tails), np.int32, len(words))
-        self.index.update(zip(words, range(known, known + len(words)), strict=True))
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts one after another, and how many each has."""
-        if len(self.index) > CACHE_WORDS:
-            self.clear()
-        words: list[str] = []
-        counts = np.zeros(len(texts), np.int64)
-        for i, text in enumerate(texts):
-            own = text.replace("\n", " ").split(" ")
-            counts[i] = len(own)
-            words += own
-        at = np.fromiter(map(self.index.get, words, repeat(-1)), np.int32, len(words))
-        new = np.flatnonzero(at < 0).tolist()
-        if new:
-            missing = [words[i] for i in new]
-            self._learn(list(dict.fromkeys(missing)))
-            at[new] = np.fromiter(map(self.index.__getitem__, missing), np.int32, len(new))
-        piece = self.parts[at].ravel()
-        size = self.size[piece]
-        ends = np.cumsum(size, dtype=np.int64)
-        ids = self.flat[np.repeat(self.first[piece] - (ends - size), size) + np.arange(int(ends[-1]) if len(ends) else 0)]
-        upto = np.append(0, ends)[2 * np.append(0, np.cumsum(counts))]
-        return ids, np.diff(upto)
-
-
-def encoder(path: str) -> WordEncoder:
-    """The worker's encoder, which lasts until a task of another kind comes."""
     release(but=path)
     if path not in KEPT:
-        KEPT[path] = WordEncoder(path)
+        tokenizer = tokenizers_file(path)
+        words = drops_spaces(json.loads(tokenizer.to_str()))
+        KEPT[path] = PieceEncoder(WordLibrary(tokenizer) if words else partial(ids_of, tokenizer), at_spaces if words else no_cuts)
     return KEPT[path]
 
 
-#: Characters encoded at a time.
+#: Bytes of text encoded at a time, but for a single longer one.
 TEXT_SLICE = 1 << 21
 
 
@@ -254,21 +215,15 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str | None = None, id_co
         own = encoder(tokenizer)
         for batch in batches:
             kind_of = batch.column(0).type
-            texts = batch.column(1).to_pylist()
             keys = batch.column(0).to_pylist()
-            first = 0
-            while first < len(texts):
-                last, chars = first, 0
-                while last < len(texts) and (last == first or chars + len(texts[last]) <= TEXT_SLICE):
-                    chars += len(texts[last])
-                    last += 1
-                values, size = own.encode(texts[first:last])
+            raw, offsets, _ = utf8(batch.column(1))
+            for first, last in slices(offsets, TEXT_SLICE):
+                values, size = own.encode(raw[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first])
                 values = np.insert(values, np.cumsum(size), end_id)
                 ids += keys[first:last]
                 parts.append(values)
                 sizes.append(size + 1)
                 held += len(values)
-                first = last
                 if held >= FRAME_IDS:
                     yield row()
                     frame, before = frame + 1, before + held

@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from lodestone.llm import langid, mixing, tokens
+from lodestone.llm import langid, mixing, pieces, tokens
 from lodestone.llm.blocks import utf8
 from lodestone.llm.queries import llm_queries, tokenizer_path
 
@@ -95,21 +95,44 @@ def test_pack_round_trip(seed):
         assert np.array_equal(tokens.unpack(tokens.pack(np.zeros(n, np.uint64))), np.zeros(n))
 
 
-def test_word_cache_equals_the_library():
+def encoded(own, texts):
+    raw, offsets, _ = utf8(pa.array(texts))
+    return own.encode(raw, offsets)
+
+
+def test_pieces_equal_the_library():
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_file(tokenizer_path())
     rng = random.Random(3)
-    parts = ["the", "Don't", "l'été", "école", "!!", "...", "'s", "end.'s", "<|endoftext|>", "<|endoftext|>.", "a<|startoftext|>b", "x\x1cy", " ", " z", "12,5", "(Wow)", "\n", "\t", "ΣΑΣ.", "İi!", "日本語。", "😀😀", "́", "≠", "≠", "KK", "__init__", "a|b|", "ﬁn.", ""]
-    texts = [rng.choice(["", " "]).join(rng.choice(parts) + rng.choice(["", " ", "  ", "\n"]) for _ in range(rng.randrange(40))) for _ in range(400)]
-    own = tokens.WordEncoder(tokenizer_path())
-    for i in range(0, len(texts), 50):
-        ids, size = own.encode(texts[i : i + 50])
-        want = [library.encode(t, add_special_tokens=False).ids for t in texts[i : i + 50]]
+    parts = ["the", "Don't", "l'été", "école", "!!", "...", "'s", "end.'s", "<|endoftext|>", "<|endoftext|>.", "a<|startoftext|>b", "x\x1cy", " ", " z", "12,5", "(Wow)", "\n", "\t", "ΣΑΣ.", "İi!", "日本語。", "😀😀", "́", "≠", "≠", "KK", "__init__", "a|b|", "ﬁn.", "", "İ.", "Wordİ", "i̇,", "\x01", "a\x01b", "\x85", "\u3000", "\u200b", "ı.", "ẞ!", "Å-", "\r\n", "\x0b"]
+    texts = [rng.choice(["", " "]).join(rng.choice(parts) + rng.choice(["", " ", "  ", "\n"]) for _ in range(rng.randrange(40))) for _ in range(20_000)]
+    own = tokens.encoder(tokenizer_path())
+    assert own.cuts is tokens.at_spaces
+    for i in range(0, len(texts), 4000):
+        ids, size = encoded(own, texts[i : i + 4000])
+        want = [library.encode(t, add_special_tokens=False).ids for t in texts[i : i + 4000]]
         assert size.tolist() == list(map(len, want))
         assert ids.tolist() == [x for w in want for x in w]
 
 
+def test_other_tokenizers_encode_whole_texts():
+    from tokenizers import Tokenizer
+
+    path = tokenizer_path("byte_bpe_50k.json")
+    own, library = tokens.encoder(path), Tokenizer.from_file(path)
+    texts = ["Some words  and\n\n more", "", " x ", "İ. <|endoftext|>"]
+    assert own.cuts is tokens.no_cuts
+    assert encoded(own, texts)[0].tolist() == [x for t in texts for x in library.encode(t, add_special_tokens=False).ids]
+
+
+def test_forgotten_pieces_are_learnt_anew(monkeypatch):
+    own, texts = tokens.encoder(tokenizer_path()), [" ".join(f"w{i}x{j}" for i in range(50)) for j in range(6)]
+    whole = [encoded(own, [t])[0].tolist() for t in texts]
+    monkeypatch.setattr(pieces, "CACHE_PIECES", 60)
+    assert [encoded(own, [t])[0].tolist() for t in texts] == whole
+
+
 def test_token_files_round_trip(spark, tmp_path):
     from tokenizers import Tokenizer
 
