@@ -19,7 +19,7 @@ import pyarrow as pa
 from lodestone.llm.blocks import SPACE
 
 #: Distinct pieces that are remembered, and their bytes; beyond either all are forgotten and learnt anew.
-CACHE_PIECES, CACHE_BYTES = 500_000, 1 << 25
+CACHE_PIECES, CACHE_BYTES = 700_000, 1 << 25
 #: Pieces that are learnt at a time, and those that go to a library joined in one text.
 LEARNT, JOINED = 1 << 14, 1 << 9
 
@@ -135,9 +135,9 @@ class PieceIndex:
 
 
 class PieceEncoder(PieceIndex):
-    """Ids of texts by a library's tokenizer that encodes some strings at a time."""
+    """Ids of texts by a library that gives the ids of some pieces, one after another, and how many each has."""
 
-    def __init__(self, library: Callable[[list[str]], Ids], cuts: Cuts):
+    def __init__(self, library: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], cuts: Cuts):
         self.library = library
         super().__init__(cuts)
 
@@ -146,9 +146,7 @@ class PieceEncoder(PieceIndex):
         self.ids = Ragged(np.int32)
 
     def learn(self, new: list[bytes]) -> None:
-        ids = self.library([piece.decode() for piece in new])
-        size = np.fromiter(map(len, ids), np.int64, len(ids))
-        self.ids.add(np.fromiter(chain.from_iterable(ids), np.int32, int(size.sum())), size)
+        self.ids.add(*self.library(new))
 
     def encode(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after another, and how many each has."""
@@ -167,5 +165,11 @@ def tokenizers_file(path: str, special_as_text: bool = False):
     return tokenizer
 
 
+def flat_ids(ids: Ids) -> tuple[np.ndarray, np.ndarray]:
+    """Lists of ids one after another, and how many each has."""
+    size = np.fromiter(map(len, ids), np.int64, len(ids))
+    return np.fromiter(chain.from_iterable(ids), np.int32, int(size.sum())), size
+
+
 def ids_of(tokenizer, texts: list[str]) -> Ids:
     return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]

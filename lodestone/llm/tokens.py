@@ -15,15 +15,14 @@ import json
 import struct
 import uuid
 import zlib
-from functools import partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lodestone.llm.blocks import KEPT, U64, freed_shuffles, release, slices, utf8
-from lodestone.llm.pieces import JOINED, PieceEncoder, at_spaces, ids_of, no_cuts, tokenizers_file
+from lodestone.llm.blocks import KEPT, LOWER, U64, freed_shuffles, release, slices, utf8
+from lodestone.llm.pieces import JOINED, PieceEncoder, at_spaces, flat_ids, ids_of, no_cuts, tokenizers_file
 from lodestone.session import scratch_path
 
 #: Ids a word holds and bits of each, by selector. Fixed by the format; selector 1 is the escape.
@@ -84,6 +83,8 @@ def _fitting(width: np.ndarray, stop: np.ndarray, selector: int) -> np.ndarray:
 
 def _widths(values: np.ndarray) -> np.ndarray:
     """Bits each value needs, 0 to 64."""
+    if not len(values) or values.max() < 1 << 53:  # exact as doubles
+        return np.frexp(values.astype(np.float64))[1].astype(np.int64)
     width = np.zeros(len(values), np.int64)
     left = values.copy()
     for step in (32, 16, 8, 4, 2, 1):
@@ -139,39 +140,77 @@ def drops_spaces(spec: dict) -> bool:
 
 
 class WordLibrary:
-    """The ids of words by the tokenizers library, many words a call: a mark between them tells where each one's ids end."""
+    """The ids of pieces by the tokenizers library, many a call: a mark between them tells where each one's ids end."""
 
     def __init__(self, tokenizer):
         self.tokenizer = tokenizer
         alone = ids_of(tokenizer, [MARK])[0]
         self.mark = alone[0] if len(alone) == 1 else None
 
-    def __call__(self, words: list[str]) -> list:
-        out: list = [None] * len(words)
-        own = [i for i, w in enumerate(words) if MARK not in w] if self.mark is not None else []
-        chunks = [own[i : i + JOINED] for i in range(0, len(own), JOINED)]
-        for chunk, ids in zip(chunks, ids_of(self.tokenizer, [f" {MARK} ".join([words[i] for i in c]) for c in chunks]), strict=True):
+    def __call__(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        between = f" {MARK} ".encode()
+        chunks = [pieces[i : i + JOINED] for i in range(0, len(pieces), JOINED)]
+        joined = ids_of(self.tokenizer, [between.join(c).decode() for c in chunks]) if self.mark is not None else [[]] * len(chunks)
+        flat, sizes = [], []
+        for chunk, ids in zip(chunks, joined, strict=True):
             ids = np.array(ids, np.int32)
-            ends = np.append(np.flatnonzero(ids == self.mark), len(ids))
-            if len(ends) == len(chunk):
-                for i, part in zip(chunk, np.split(ids, ends[:-1]), strict=True):
-                    out[i] = part[part != self.mark]
-        left = [i for i, ids in enumerate(out) if ids is None]
-        for i, ids in zip(left, ids_of(self.tokenizer, [words[i] for i in left]), strict=True):
-            out[i] = ids
-        return out
+            marks = np.flatnonzero(ids == self.mark)
+            if len(marks) == len(chunk) - 1 and self.mark is not None:
+                flat.append(np.delete(ids, marks))
+                sizes.append(np.diff(np.concatenate([[-1], marks, [len(ids)]])) - 1)
+            else:  # a piece has the mark itself
+                own, size = flat_ids(ids_of(self.tokenizer, [p.decode() for p in chunk]))
+                flat.append(own)
+                sizes.append(size)
+        return np.concatenate(flat), np.concatenate(sizes)
+
+
+LETTER, PUNCTUATION = np.zeros(256, bool), np.zeros(256, bool)
+LETTER[[*range(65, 91), *range(97, 123)]] = True
+PUNCTUATION[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
+
+
+class WordEncoder(PieceEncoder):
+    """The encoder of a tokenizer that ``drops_spaces``.
+
+    Texts are cut at white space and between a letter and punctuation, both ASCII, where words end too. If the tokenizer
+    lower-cases, so are ASCII letters before, but for those that something may combine with.
+    Special tokens are neither cut nor made by that.
+    """
+
+    def __init__(self, tokenizer, spec: dict):
+        special = [t["content"].encode() for t in spec.get("added_tokens", [])]
+        self.special = [s.lower() for s in special]
+        self.lowers = {"type": "Lowercase"} in (spec.get("normalizer") or {}).get("normalizers", [])
+        ends = PUNCTUATION.copy()
+        ends[[b for s in special for a, b in zip(s, s[1:], strict=False) if LETTER[a]]] = False
+
+        def cuts(raw):
+            out = at_spaces(raw)
+            out[1:] |= LETTER[raw[:-1]] & ends[raw[1:]]
+            return out
+
+        super().__init__(WordLibrary(tokenizer), cuts)
+
+    def encode(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if self.lowers and len(raw):
+            lowered = LOWER[raw]
+            if not any(s in lowered.tobytes() for s in self.special):
+                raw = np.where(np.append(raw[1:], 0) < 0x80, lowered, raw)
+        return super().encode(raw, offsets)
 
 
 def encoder(path: str) -> PieceEncoder:
     """The worker's encoder, which lasts until a task of another kind comes.
 
-    Texts are cut at white space where the tokenizer itself always cuts; those of any other tokenizer are encoded whole.
+    Texts are cut where the tokenizer itself always cuts, by its own description; those of any other tokenizer are encoded whole.
     """
     release(but=path)
     if path not in KEPT:
         tokenizer = tokenizers_file(path)
-        words = drops_spaces(json.loads(tokenizer.to_str()))
-        KEPT[path] = PieceEncoder(WordLibrary(tokenizer) if words else partial(ids_of, tokenizer), at_spaces if words else no_cuts)
+        spec = json.loads(tokenizer.to_str())
+        KEPT[path] = WordEncoder(tokenizer, spec) if drops_spaces(spec) else PieceEncoder(
+            lambda pieces: flat_ids(ids_of(tokenizer, [p.decode() for p in pieces])), no_cuts)
     return KEPT[path]
 
 
