@@ -63,7 +63,7 @@ def winner(results: DataFrame, *measures: str, name: str = "method") -> DataFram
 # --- results -----------------------------------------------------------------
 
 
-def _comparable(df: DataFrame, keys: list[str]) -> DataFrame:
+def comparable(df: DataFrame, keys: list[str]) -> DataFrame:
     """Values by position, with numbers of any type as doubles where they are not whole."""
     safe = json_safe(df)
     values = [f for f in safe.schema.fields if f.name not in keys]
@@ -79,8 +79,8 @@ def mismatched_rows(actual: DataFrame, expected: DataFrame, keys: list[str]) ->
     Both sides are counted together with opposite sign. Equal rows cancel before
     the shuffle, order plays no part, and NULLs equal each other.
     """
-    sides = _comparable(actual, keys).withColumn("side", F.lit(1)).unionByName(
-        _comparable(expected, keys).withColumn("side", F.lit(-1)))
+    sides = comparable(actual, keys).withColumn("side", F.lit(1)).unionByName(
+        comparable(expected, keys).withColumn("side", F.lit(-1)))
     columns = [c for c in sides.columns if c != "side"]
     return sides.groupBy(*columns).agg(F.sum("side").alias("surplus")).where(F.col("surplus") != 0)
 
@@ -89,7 +89,7 @@ def results_match(actual: DataFrame, expected: DataFrame, digits: int | None = N
     """Same rows the same number of times, in any order. Exact unless ``digits`` rounds."""
     if len(actual.columns) != len(expected.columns):
         return actual.isEmpty() and expected.isEmpty()
-    a, b = (_comparable(df, []) for df in (actual, expected))
+    a, b = (comparable(df, []) for df in (actual, expected))
     if [f.dataType for f in a.schema] != [f.dataType for f in b.schema]:
         return a.isEmpty() and b.isEmpty()
     if digits is not None:

@@ -5,11 +5,12 @@ from __future__ import annotations
 import re
 import threading
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from typing import Any
 
 from pyspark import InheritableThread
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lodestone.functions.portable import json_safe
@@ -19,6 +20,9 @@ from lodestone.session import tune
 
 MAX_ROWS = 1000
 TIMEOUT_SECONDS = 10.0
+# Bytes of a result as JSON, and the largest number that a function may make a long value from.
+MAX_BYTES = 16 * 1024 * 1024
+MAX_GROWTH = 10_000
 
 # Functions a statement may read from besides tables: they make rows out of their arguments.
 GENERATORS = {
@@ -33,6 +37,8 @@ FUNCTION_GROUPS = {
     )
 }
 OTHER_FUNCTIONS = {"typeof"}
+# Functions that make one long value from a number, and which argument that is.
+GROWING = {"repeat": 1, "space": 0, "lpad": 1, "rpad": 1, "array_repeat": 1, "sequence": 1}
 # Nodes of a parsed SELECT. Any other, such as a name made from a string or a command, is refused.
 PLAN_NODES = {
     "Aggregate", "Distinct", "Except", "Filter", "Generate", "GlobalLimit", "Intersect", "Join", "LateralJoin",
@@ -110,6 +116,25 @@ def _expressions(plan) -> Iterator:
         todo += _each(node.children())
 
 
+def _check_growth(node, name: str) -> None:
+    """A function that makes a long value from a number: the number is a literal and small, and no other such function is inside."""
+    arguments = list(_each(node.children()))
+    count = arguments[GROWING[name]] if len(arguments) > GROWING[name] else None
+    value = str(count.value()) if count is not None and _kind(count) == "Literal" else ""
+    small = value.isdigit() and int(value) <= MAX_GROWTH
+    inside = [n for a in arguments for n in _below(a) if _kind(n) == "UnresolvedFunction" and ".".join(_each(n.nameParts())).lower() in GROWING]
+    if not small or inside:
+        raise GuardrailViolation(f"May make too large a value: {name}")
+
+
+def _below(node) -> Iterator:
+    todo = [node]
+    while todo:
+        node = todo.pop()
+        yield node
+        todo += _each(node.children())
+
+
 def _check_expression(spark: SparkSession, node) -> None:
     """Only syntax, names of columns, and Spark's own functions of the allowed groups."""
     kind = _kind(node)
@@ -121,6 +146,8 @@ def _check_expression(spark: SparkSession, node) -> None:
         name = node.name().unquotedString().lower()
     else:
         return
+    if name in GROWING:
+        _check_growth(node, name)
     catalyst = spark._jvm.org.apache.spark.sql.catalyst
     found = catalyst.analysis.FunctionRegistry.builtin().lookupFunction(catalyst.FunctionIdentifier(name))
     group = found.get().getGroup() if found.isDefined() else ""
@@ -177,6 +204,25 @@ def capped(df: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
     return df.limit(max_rows + 1)
 
 
+def positional(df: DataFrame) -> DataFrame:
+    """The columns under names of their positions."""
+    return df.toDF(*(f"c{i}" for i in range(len(df.columns))))
+
+
+def within_bytes(df: DataFrame, max_bytes: int = MAX_BYTES) -> DataFrame:
+    """A capped result that fails instead of returning more than ``max_bytes``, counted as JSON over its rows so far."""
+    if not df.columns:
+        return df
+    named = positional(df)
+    row = F.struct(*named.columns)
+    sized = named.select(
+        row.alias("r"), F.octet_length(F.to_json(row)).cast("long").alias("size"), F.monotonically_increasing_id().alias("at"))
+    upto = F.sum("size").over(Window.orderBy("at").rowsBetween(Window.unboundedPreceding, 0))  # no more rows than the cap
+    checked = F.when(upto <= max_bytes, F.lit(True)).otherwise(
+        F.raise_error(F.lit(f"Result exceeded {max_bytes} bytes.")).cast("boolean"))
+    return sized.withColumn("fits", checked).where("fits").select("r.*").toDF(*df.columns)
+
+
 def plan_guarded(spark: SparkSession, sql: str, max_rows: int = MAX_ROWS) -> DataFrame:
     """The checked and capped statement as a DataFrame."""
     body = re.sub(";+$", "", sql.strip())
@@ -195,34 +241,41 @@ def run_guarded(
     caller gets control back at once; the session stays usable. Engine errors
     reach the caller unchanged. Values come as JSON takes them, or with
     ``portable`` off as they are, for checks that depend on their types."""
+    def work(stopped: threading.Event) -> tuple[list[str], list[tuple]]:
+        planned = plan_guarded(spark, sql, max_rows)
+        df = positional(within_bytes(planned))  # names may repeat
+        df = json_safe(df) if portable else df
+        return planned.columns, [] if stopped.is_set() else [tuple(r) for r in df.collect()]
+
+    columns, rows = with_timeout(spark, work, timeout_seconds)
+    return QueryResult(columns, rows[:max_rows], min(len(rows), max_rows), len(rows) > max_rows)
+
+
+def with_timeout(spark: SparkSession, work: Callable[[threading.Event], Any], timeout_seconds: float) -> Any:
+    """What ``work`` returns or raises. After the timeout its jobs are cancelled, also those that planning has yet to
+    start, and the event it was given is set."""
     context = spark.sparkContext
     group = f"guarded-{uuid.uuid4()}"
     outcome: dict = {}
     done, stopped = threading.Event(), threading.Event()
 
-    def work() -> None:
+    def run() -> None:
         try:
             context.setJobGroup(group, "guarded query", interruptOnCancel=True)
-            df = plan_guarded(spark, sql, max_rows)
-            df = json_safe(df) if portable else df
-            if stopped.is_set():
-                return
-            outcome["rows"] = [tuple(r) for r in df.collect()]
-            outcome["columns"] = df.columns
+            outcome["result"] = work(stopped)
         except Exception as error:  # handed to the caller below
             outcome["error"] = error
         finally:
             done.set()
 
-    InheritableThread(target=work, daemon=True).start()
+    InheritableThread(target=run, daemon=True).start()
     if not done.wait(timeout_seconds):
         stopped.set()
-        context._jsc.sc().cancelJobGroupAndFutureJobs(group)  # also those that planning has yet to start
+        context._jsc.sc().cancelJobGroupAndFutureJobs(group)
         raise QueryTimeout(f"Query exceeded {timeout_seconds}s and was cancelled.")
     if "error" in outcome:
         raise outcome["error"]
-    rows = outcome["rows"]
-    return QueryResult(outcome["columns"], rows[:max_rows], min(len(rows), max_rows), len(rows) > max_rows)
+    return outcome["result"]
 
 
 def guarded_session(spark: SparkSession) -> SparkSession:

@@ -696,6 +696,17 @@ def evaluation_oracles() -> dict[str, str]:
             SELECT o_custkey AS question_id,
               bool_and(CAST(o_totalprice AS DECIMAL(15,2)) >= 20000) AS correct FROM orders GROUP BY o_custkey""",
         "E8_outcomes": tries("SELECT question_id, attempt_no, sql, correct, error FROM scored"),
+        "E8_executed": tries(f"""
+            SELECT question_id, attempt_no,
+              failure IS NULL AND CASE question_id % 3 WHEN 0 THEN sql LIKE 'SELECT COUNT%' WHEN 1 THEN sql LIKE 'WITH%'
+                                                       ELSE sql LIKE 'select region%' END AS correct,
+              CASE WHEN failure IS NOT NULL THEN 0 WHEN sql LIKE 'select region%' THEN nations ELSE 1 END AS n_rows,
+              CASE WHEN failure IS NOT NULL OR sql LIKE 'select region%' THEN -1
+                   WHEN sql LIKE 'WITH%' THEN 1 ELSE lines END::DOUBLE AS answer,
+              COALESCE(failure, '') AS error
+            FROM (SELECT *, NULLIF({refusal('sql')}, '') AS failure FROM cleaned),
+                 (SELECT COUNT(*) AS lines FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+                 (SELECT COUNT(*) AS nations FROM nation JOIN region ON n_regionkey = r_regionkey)"""),
         "E9_summary": tries(f"""
             SELECT model, condition, COUNT(*) AS questions, {accuracy.format('correct')} AS accuracy,
               {by_tier('correct', 'tier_{}_accuracy')}, CAST(SUM(total_tokens) AS BIGINT) AS total_tokens,

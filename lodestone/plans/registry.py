@@ -14,7 +14,7 @@ from lodestone.functions.portable import json_safe
 from lodestone.functions.statements import rejection, sql_of_reply
 from lodestone.functions.text import tokenize
 from lodestone.functions.vectors import as_double, dot, unit
-from lodestone.operators import answers, evaluation, guard, metrics, monitoring, quality, search, star
+from lodestone.operators import answers, evaluation, execution, guard, metrics, monitoring, quality, search, star
 from lodestone.operators.bm25 import Index, bm25_scores
 from lodestone.operators.percentiles import nearest_rank
 from lodestone.operators.star import Warehouse
@@ -289,7 +289,8 @@ def guard_queries() -> dict[str, Query]:
     def guarded(spark, path):
         own = guard.guarded_session(spark)
         Warehouse.derive(own, path).register_views(own)
-        return guard.plan_guarded(own, GUARDED_SQL)
+        schema = json_safe(guard.plan_guarded(own, GUARDED_SQL)).schema
+        return spark.createDataFrame(guard.run_guarded(own, GUARDED_SQL).rows, schema)
 
     def plausible(w):
         checks = [
@@ -331,7 +332,7 @@ def guard_queries() -> dict[str, Query]:
     return {
         "G1_classify": lambda spark, path: json_safe(classified(spark, path)),
         "G2_row_cap": on_star(row_cap),
-        "G5_guarded_query": lambda spark, path: json_safe(guarded(spark, path)),
+        "G5_guarded_query": lambda spark, path: guarded(spark, path),
         "G6_sql_of_reply": lambda spark, path: derived.attempts(spark, path).select(
             "question_id", "attempt_no", sql_of_reply(F.col("reply")).alias("sql")),
         "G7_plausibility": on_star(plausible),
@@ -342,6 +343,12 @@ def guard_queries() -> dict[str, Query]:
     }
 
 
+# What a question's statement should return, by question.
+REFERENCES = (
+    "SELECT COUNT(*) AS lines FROM fact_orders",
+    "SELECT 1 AS one",
+    "SELECT region_name FROM dim_region ORDER BY region_name",
+)
 REPLY_ORDERS = ("3, 1, 2", "no idea", "9, 1, 1, 2", "Best: 8 then 4 then 12345678901234567890")
 
 
@@ -500,6 +507,24 @@ def evaluation_queries() -> dict[str, Query]:
         return evaluation.outcomes(executed(spark, path)).select(
             "question_id", "attempt_no", "sql", "correct", F.coalesce("error", F.lit("")).alias("error"))
 
+    def run_and_matched(spark, path):
+        """The distinct statements of all replies, run over the star and compared with a reference a question."""
+        own = guard.guarded_session(spark)
+        Warehouse.derive(own, path).register_views(own)
+        tries = derived.attempts(own, path).select(
+            "question_id", "attempt_no", sql_of_reply(F.col("reply")).alias("sql"),
+            derived.one_of(REFERENCES, F.col("question_id")).alias("reference_sql"))
+        tries = tries.withColumn("refused", rejection(F.col("sql")))
+        statements = tries.where("refused IS NULL").select("sql").unionByName(tries.select(F.col("reference_sql").alias("sql")))
+        runs = execution.run_table(own, statements, scratch_path(spark, f"runs/{uuid.uuid4()}"), timeout_seconds=120)
+        found = execution.matched(tries, runs)
+        answers = runs.rows.where("position = 0").select("statement", F.get_json_object("answer", "$.c0").alias("first"))
+        named = found.join(answers, execution.statement_key(F.col("sql")) == F.col("statement"), "left")
+        return named.select(
+            "question_id", "attempt_no", "correct", F.coalesce("n_rows", F.lit(0)).cast("bigint").alias("n_rows"),
+            F.when(F.col("n_rows") == 1, F.col("first").cast("double")).otherwise(-1.0).alias("answer"),
+            F.coalesce("refused", "error", F.lit("")).alias("error"))
+
     def summary(spark, path):
         return evaluation.outcome_summary(evaluation.outcomes(executed(spark, path)), "model", "condition")
 
@@ -578,6 +603,7 @@ def evaluation_queries() -> dict[str, Query]:
         "E5_winner": best,
         "E6_match_per_question": on_raw(matches),
         "E8_outcomes": scored,
+        "E8_executed": run_and_matched,
         "E9_summary": summary,
         "E10_waits": waits,
         "E11_final_attempts": finals,

@@ -1,10 +1,12 @@
+import hashlib
 import json
 
 import pytest
 from pyspark.sql import functions as F
 
 from lodestone.operators import evaluation as ev
-from lodestone.operators import guard
+from lodestone.operators import execution, guard
+from lodestone.operators.star import Warehouse
 from lodestone.sources import golden
 
 
@@ -222,3 +224,56 @@ def test_report_tables_are_written(spark, tmp_path):
     assert [tuple(r) for r in back.collect()] == [("a", "0.5")]
     write_report(tables, str(tmp_path / "p"), "parquet")
     assert spark.read.parquet(str(tmp_path / "p" / "tiers")).first().tier == 1
+
+
+@pytest.fixture(scope="module")
+def runs(spark, data, tmp_path_factory):
+    own = guard.guarded_session(spark)
+    Warehouse.derive(own, data).register_views(own)
+    statements = [
+        "SELECT region_name FROM dim_region ORDER BY region_name", "SELECT region_name FROM dim_region ORDER BY region_name DESC",
+        "SELECT region_name FROM dim_region WHERE false", "SELECT nation_name FROM dim_region WHERE false", "SELECT 1 AS a, 1 AS a",
+        "SELECT order_key FROM fact_orders", "SELECT missing FROM dim_region", "SELECT * FROM parquet.`/x`", "SELECT repeat('x', 2000000000)",
+        "SELECT CAST(2 AS DECIMAL(9,2)) AS n", "SELECT 2 AS other", "SELECT NULL AS n", "DROP TABLE x", None,
+    ]
+    table = own.createDataFrame([(s,) for s in statements * 2], "sql string")
+    made = execution.run_table(own, table, str(tmp_path_factory.mktemp("runs") / "out"), max_rows=30, timeout_seconds=300)
+    return own, made, {r.statement: r for r in made.outcomes.collect()}
+
+
+def key(sql):
+    return hashlib.sha256(sql.encode()).hexdigest()
+
+
+def test_statements_of_a_table_run_once_each(runs):
+    _, made, outcomes = runs
+    assert len(outcomes) == 13 == made.outcomes.count()
+    assert outcomes[key("SELECT region_name FROM dim_region ORDER BY region_name")][1:] == (None, 25, False)
+    assert outcomes[key("SELECT region_name FROM dim_region WHERE false")][1:] == (None, 0, False)
+    assert outcomes[key("SELECT order_key FROM fact_orders")][1:] == (None, 30, True)
+    for sql, said in (("SELECT missing FROM dim_region", "missing"), ("SELECT * FROM parquet.`/x`", "Not a governed table"),
+                      ("SELECT repeat('x', 2000000000)", "too large"), ("DROP TABLE x", "DROP")):
+        assert said in outcomes[key(sql)].error and outcomes[key(sql)].n_rows is None
+
+
+@pytest.mark.parametrize("sql, reference, bag, sequence", (
+    ("SELECT region_name FROM dim_region ORDER BY region_name", "SELECT region_name FROM dim_region ORDER BY region_name DESC", True, False),
+    ("SELECT region_name FROM dim_region ORDER BY region_name", "SELECT region_name FROM dim_region ORDER BY region_name", True, True),
+    ("SELECT CAST(2 AS DECIMAL(9,2)) AS n", "SELECT 2 AS other", True, True),
+    ("SELECT NULL AS n", "SELECT 2 AS other", False, False),
+    ("SELECT region_name FROM dim_region WHERE false", "SELECT nation_name FROM dim_region WHERE false", True, True),
+    ("SELECT order_key FROM fact_orders", "SELECT order_key FROM fact_orders", False, False),
+    ("SELECT missing FROM dim_region", "SELECT missing FROM dim_region", False, False),
+    ("never run", "SELECT 2 AS other", False, False),
+))
+def test_results_are_compared_as_rows(runs, sql, reference, bag, sequence):
+    own, made, _ = runs
+    attempts = own.createDataFrame([(1, sql, reference)], "question_id int, sql string, reference_sql string")
+    assert execution.matched(attempts, made).first().correct is bag
+    assert execution.matched(attempts, made, ordered=True).first().correct is sequence
+
+
+def test_no_statements_no_outcomes(spark, runs, tmp_path):
+    own = runs[0]
+    made = execution.run_table(own, own.createDataFrame([(None,)], "sql string"), str(tmp_path / "none"))
+    assert made.outcomes.count() == 0 and made.digests().count() == 0

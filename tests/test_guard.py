@@ -168,3 +168,21 @@ def test_timeout_while_planning_leaves_no_job(own):
         guard.run_guarded(own, slow, timeout_seconds=0.05)
     time.sleep(4)
     assert not own.sparkContext.statusTracker().getActiveJobsIds()
+
+
+@pytest.mark.parametrize("sql", (
+    "SELECT repeat('x', 2000000000)", "SELECT space(20000000)", "SELECT repeat(repeat('x', 9000), 9000)", "SELECT lpad('x', 1000000000, 'y')",
+    "SELECT array_repeat('x', size(sequence(1, 9)))", "SELECT explode(sequence(1, 1000000000))", "SELECT rpad('x', 10 * 1000000, 'y')",
+))
+def test_values_that_grow_without_bound_are_refused(own, sql):
+    with pytest.raises(guard.GuardrailViolation, match="too large"):
+        guard.run_guarded(own, sql)
+
+
+def test_results_have_a_byte_budget(own):
+    small = guard.run_guarded(own, "SELECT repeat('x', 9000) AS x FROM range(100)", timeout_seconds=120)
+    assert small.row_count == 100 and len(small.rows[0][0]) == 9000
+    doubled = "SELECT concat(x, x, x, x) AS x FROM (SELECT repeat('x', 10000) AS x FROM range(600))"
+    with pytest.raises(Exception, match="exceeded 16777216 bytes"):
+        guard.run_guarded(own, doubled, timeout_seconds=120)
+    assert guard.run_guarded(own, "SELECT 1 AS a, 2 AS a", timeout_seconds=120).rows == [(1, 2)]
