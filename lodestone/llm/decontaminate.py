@@ -19,12 +19,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.blocks import NOT_WORD, U64, Words, release, shingle_hashes, slices, utf8, written
+from lodestone.llm.blocks import NOT_WORD, U64, Words, mixed, release, shingle_hashes, slices, utf8, written
 
 WINDOW = 10
 GRAM = 5
 #: Bytes of benchmark text in a block, unless one item alone has more.
 BLOCK_BYTES = 16 << 20
+#: Matches of fingerprints that are extended at a time, but for those of one place in a document.
+MATCHES = 1 << 20
 
 
 def winnow(hashes: np.ndarray, rows: np.ndarray, gram: int, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -69,7 +71,13 @@ class Block:
         w = Words(raw, at, NOT_WORD)
         rows = w.rows()
         position, prints = winnow(w.hashes, rows, gram, window)
-        order = np.argsort(prints, kind="stable")
+        # places of one item with the same words as far as a hit is extended find the same: one of them is kept
+        around = _context(w, rows, position, gram, window - gram)
+        order = np.lexsort((around, rows[position], prints))
+        alike = [x[order] for x in (prints, rows[position], around)]
+        first = np.ones(len(order), bool)
+        first[1:] = np.any([x[1:] != x[:-1] for x in alike], axis=0)
+        order = order[first]
         short = {}
         for n in np.unique(w.counts[(w.counts > 0) & (w.counts < window)]).tolist():
             items = np.flatnonzero(w.counts == n)
@@ -79,10 +87,23 @@ class Block:
         return cls(ids, w.hashes, w.starts, prints[order], position[order], rows[position][order], short)
 
     def hits(self, w: Words, gram: int, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Spans [from, to) of words of ``w``, and the item that each comes from."""
+        """Spans [from, to) of words of ``w``, and the item that each comes from, some matches at a time."""
         rows = w.rows()
         position, prints = winnow(w.hashes, rows, gram, window)
-        which, entry = _spread(np.searchsorted(self.prints, prints, "left"), np.searchsorted(self.prints, prints, "right"))
+        low, high = np.searchsorted(self.prints, prints, "left"), np.searchsorted(self.prints, prints, "right")
+        upto = np.cumsum(high - low)
+        spans, first = [np.zeros((3, 0), np.int64)], 0
+        while first < len(position):
+            done = upto[first - 1] if first else 0
+            last = max(first + 1, int(np.searchsorted(upto, done + MATCHES, "right")))
+            some = self._extended(w, rows, position[first:last], low[first:last], high[first:last], gram, window)
+            spans.append(np.unique(some, axis=1) if some.shape[1] else some)
+            first = last
+        return tuple(np.concatenate([np.concatenate(spans, axis=1), *self._whole_short(w, rows)], axis=1))
+
+    def _extended(self, w: Words, rows, position, low, high, gram: int, window: int) -> np.ndarray:
+        """(from, to, item) of the matches of fingerprints that extend to a window."""
+        which, entry = _spread(low, high)
         d, b, item = position[which], self.print_at[entry], self.print_item[entry]
         row = rows[d]
         reach = window - gram
@@ -99,7 +120,11 @@ class Block:
                 going[ok] = w.hashes[x[ok]] == self.words[y[ok]]
                 grown += going
         found = same & (left + gram + right >= window)
-        spans = [(d - left)[found], (d + gram + right)[found], item[found]]
+        return np.stack([(d - left)[found], (d + gram + right)[found], item[found]])
+
+    def _whole_short(self, w: Words, rows) -> list[np.ndarray]:
+        """(from, to, item) of whole items shorter than a window."""
+        out = []
         for n, (whole, items) in self.short.items():
             last = len(w.hashes) - n + 1
             if last <= 0:
@@ -108,8 +133,21 @@ class Block:
             inside = np.flatnonzero(rows[:last] == rows[n - 1 :])
             which, entry = _spread(np.searchsorted(whole, grams[inside], "left"), np.searchsorted(whole, grams[inside], "right"))
             at = inside[which]
-            spans = [np.concatenate(x) for x in zip(spans, (at, at + n, items[entry]), strict=True)]
-        return tuple(spans)
+            out.append(np.stack([at, at + n, items[entry]]))
+        return out
+
+
+def _context(w: Words, rows: np.ndarray, position: np.ndarray, gram: int, reach: int) -> np.ndarray:
+    """A hash of the words from ``reach`` before a gram to ``reach`` after it, within its text."""
+    out = np.zeros(len(position), U64)
+    row = rows[position]
+    for j in range(-reach, gram + reach):
+        at = position + j
+        inside = (at >= w.starts[row]) & (at < w.starts[row + 1])
+        word = np.zeros(len(position), U64)
+        word[inside] = w.hashes[at[inside]]
+        out = mixed(out * U64(0xD6E8FEB86659FD93) + word)
+    return out
 
 
 def _blocks(benchmark: DataFrame, id_col: str, text_col: str, block_bytes: int):
@@ -142,7 +180,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     whole item of fewer. ``spans`` are joined and in order; ``items`` are the ids found,
     as text, sorted by code point, each once; an item without id hits but isn't listed.
     Null and empty texts have no words and no hits; items without words find nothing;
-    repeated rows get a row each. Other columns are not looked at.
+    repeated rows get a row each. Other columns are not looked at. However often a word or
+    passage repeats within a text, work grows with the text: equal places of an item are one.
     """
     kept = [F.col(c) for c in keep]
     table = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("_text"), *kept,

@@ -3,11 +3,13 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
 from lodestone.llm import decontaminate, graph, simhash
+from lodestone.llm.blocks import NOT_WORD, Words, utf8
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 BENCH_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -201,3 +203,30 @@ def test_registered_rows(spark, data):
     assert [r["fingerprint"] for r in rows] == [f"{f:016x}" for f in fps]
     assert [r["component_id"] for r in rows] == slow_components([r["doc_id"] for r in rows], fps)
     assert F is not None
+
+
+@pytest.mark.parametrize("matches", (1 << 20, 3))
+def test_repeated_words_in_documents_and_items(monkeypatch, matches):
+    monkeypatch.setattr(decontaminate, "MATCHES", matches)
+    rng = random.Random(matches)
+    unit = ["a b", "a", "x y z", "a a b"]
+    items = [(i, " ".join([rng.choice(unit)] * rng.randrange(1, 30) + [rng.choice("cab")] * rng.randrange(4))) for i in range(12)]
+    docs = [" ".join([rng.choice(unit)] * rng.randrange(0, 30) + ["c"] * rng.randrange(3) + [rng.choice(unit)] * rng.randrange(12)) for _ in range(60)]
+    block = decontaminate.Block.of([str(i) for i, _ in items], [t for _, t in items], decontaminate.GRAM, decontaminate.WINDOW)
+    raw, at, _ = utf8(pa.array(docs))
+    w = Words(raw, at, NOT_WORD)
+    row = w.rows()
+    low, high, item = block.hits(w, decontaminate.GRAM, decontaminate.WINDOW)
+    for i, text in enumerate(docs):
+        own = [(s, e, x) for s, e, x in zip(low.tolist(), high.tolist(), item.tolist(), strict=True) if row[s] == i]
+        hit = {p for s, e, _ in own for p in range(s, e)}
+        assert (len(hit), sorted({str(x) for _, _, x in own})) == slow_decontaminate(text, items)[1:]
+
+
+def test_matches_of_one_word_repeated_stay_few():
+    text = "word " * 20_000
+    block = decontaminate.Block.of(["1"], [text], decontaminate.GRAM, decontaminate.WINDOW)
+    assert len(block.prints) <= 2 * decontaminate.WINDOW
+    raw, at, _ = utf8(pa.array([text]))
+    low, high, item = block.hits(Words(raw, at, NOT_WORD), decontaminate.GRAM, decontaminate.WINDOW)
+    assert low.min() == 0 and high.max() == 20_000 and set(item.tolist()) == {0} and len(low) <= 40 * 20_000
