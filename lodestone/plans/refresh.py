@@ -51,7 +51,7 @@ def nightly_refresh(
     with sized_shuffles(tune(spark), *(f"{raw_dir.rstrip('/')}/{name}.parquet" for name in RAW_TABLES)):
         report = build_warehouse(spark, raw_dir, f"{root}/warehouse")
     with sized_shuffles(spark, f"{raw_dir.rstrip('/')}/documents.parquet"):
-        build_index(documents, vectors).write(f"{root}/index")
+        build_index(documents, vectors, laid_out=False).write(f"{root}/index")
     with sized_shuffles(spark, log_dir):
         run_telemetry(spark, log_dir, f"{root}/telemetry")
     for stage in ("warehouse", "index", "telemetry"):
