@@ -100,6 +100,26 @@ def daily_series(enriched: DataFrame) -> DataFrame:
     )
 
 
+def daily_partials(enriched: DataFrame) -> DataFrame:
+    """What a part of the traces adds to each day; the parts of a day add up to its place in the series."""
+    return enriched.groupBy(F.to_date("timestamp").alias("date")).agg(
+        F.count("*").alias("query_count"), F.count("succeeded").alias("judged"),
+        F.count_if("succeeded").alias("succeeded"), F.sum(F.col("cost_usd").cast(EXACT_COST)).alias("cost"),
+        F.count("cost_usd").alias("priced"))
+
+
+def add_partials(partials: DataFrame) -> DataFrame:
+    sums = (F.sum(c).cast(partials.schema[c].dataType).alias(c) for c in partials.columns if c != "date")
+    return partials.groupBy("date").agg(*sums)
+
+
+def series_of_partials(partials: DataFrame) -> DataFrame:
+    """``daily_series`` from partials of any number of parts."""
+    return add_partials(partials).select(
+        "date", "query_count", (F.col("succeeded").cast("double") / F.nullif(F.col("judged"), F.lit(0))).alias("execution_accuracy"),
+        (F.col("cost").cast("double") / F.nullif(F.col("priced"), F.lit(0))).alias("avg_cost_usd"))
+
+
 def failure_categories(enriched: DataFrame) -> DataFrame:
     return (
         enriched.where(~F.col("succeeded")).groupBy("category").agg(F.count("*").alias("count"))
@@ -113,10 +133,51 @@ PAGE_COLUMNS = (
 )
 
 
-def trace_page(enriched: DataFrame, limit: int = 100, offset: int = 0) -> DataFrame:
-    """One page of traces, newest first; the query id decides between equal times."""
-    newest = enriched.orderBy(F.desc("timestamp"), "query_id")
-    return newest.offset(offset).limit(limit).select(*PAGE_COLUMNS)
+# A page that starts within so many rows is found by keeping that many a task.
+SHALLOW = 10_000
+# Rows without a time come last.
+NO_TIME = "0001-01-01 00:00:00"
+
+
+def trace_page(enriched: DataFrame, limit: int = 100, offset: int = 0, shallow: int = SHALLOW) -> DataFrame:
+    """One page of traces, newest first; the query id decides between equal times.
+
+    For a deep page the traces are counted by day, then within the day of the page's first row by
+    minute, and so on down to characters of the query id, until ``shallow`` rows at most lie between the
+    start of a range and the page. The page is then read from the start of that range, so no task keeps
+    more than ``shallow`` rows and the page.
+    """
+    stamp, name = F.coalesce("timestamp", F.lit(NO_TIME).cast("timestamp")), F.coalesce("query_id", F.lit(""))
+    rest = enriched
+    if offset > shallow:
+        rest, offset = _from_near(enriched, stamp, name, offset, shallow)
+    return rest.orderBy(stamp.desc(), name).offset(offset).limit(limit).select(*PAGE_COLUMNS)
+
+
+def _from_near(df: DataFrame, stamp: Column, name: Column, offset: int, shallow: int) -> tuple[DataFrame, int]:
+    """The rows from some place at or before the ``offset``-th on, and how far the latter is from there."""
+    units = ("DAY", "HOUR", "MINUTE", "SECOND", "MILLISECOND", "MICROSECOND")
+    inside, later, level, longest = F.lit(True), F.lit(False), 0, 0
+    while offset > shallow:
+        length = level - len(units) + 1
+        if length == 1:  # one time is left; its ids are told apart by ever longer starts
+            longest = df.where(inside).agg(F.max(F.char_length(name))).first()[0]
+        if length > longest:
+            break
+        newest_first = length < 1
+        key = F.unix_micros(F.date_trunc(units[level], stamp)) if newest_first else F.left(name, F.lit(length))
+        counts = df.where(inside).groupBy(key.alias("key")).agg(F.count("*").alias("n"))
+        passed = 0
+        for at, n in counts.orderBy(F.desc("key") if newest_first else "key").collect():
+            if passed + n > offset:
+                break
+            passed += n
+        else:
+            return df.where(F.lit(False)), 0
+        offset -= passed
+        after = key < F.lit(at) if newest_first else key > F.lit(at)
+        inside, later, level = inside & (key == F.lit(at)), later | (inside & after), level + 1
+    return df.where(inside | later), offset
 
 
 def trace_total(enriched: DataFrame) -> DataFrame:

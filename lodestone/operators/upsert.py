@@ -6,16 +6,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def latest_per_key(df: DataFrame, key: str, *order: str) -> DataFrame:
+def latest_per_key(df: DataFrame, key: str | tuple[str, ...], *order: str) -> DataFrame:
     """One row per key, the one with the greatest ``order`` columns; full ties fall
-    to the greatest row content.
+    to the greatest row content. A key may have several columns.
 
     An aggregate instead of a window: copies of a key collapse before the
     shuffle, so a key that holds a third of the rows is no hot partition.
     """
-    rest = [c for c in df.columns if c not in order and c != key]
+    keys = (key,) if isinstance(key, str) else key
+    rest = [c for c in df.columns if c not in order and c not in keys]
     row = F.max(F.struct(*order, *rest)).alias("row")
-    return df.groupBy(key).agg(row).select(*(c if c == key else f"row.{c}" for c in df.columns))
+    return df.groupBy(*keys).agg(row).select(*(c if c in keys else f"row.{c}" for c in df.columns))
 
 
 def merge(target: DataFrame | None, batch: DataFrame, key: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lodestone.operators.bm25 import build_index
 from lodestone.operators.quality import row_counts
 from lodestone.operators.star import LAYOUT_KEYS, STAR_TABLES, Warehouse
-from lodestone.plans.telemetry import run_telemetry
+from lodestone.plans.telemetry import drop_old_loads, run_telemetry
 from lodestone.session import build_session, sized_shuffles, tune
 from lodestone.sources.base import RAW_TABLES, read_table
 from lodestone.sources.versions import drop_old_versions, mark_complete, next_version
@@ -54,8 +54,9 @@ def nightly_refresh(
         build_index(documents, vectors, laid_out=False).write(f"{root}/index")
     with sized_shuffles(spark, log_dir):
         run_telemetry(spark, log_dir, f"{root}/telemetry")
-    for stage in ("warehouse", "index", "telemetry"):
+    for stage in ("warehouse", "index"):
         drop_old_versions(spark, f"{root}/{stage}")
+    drop_old_loads(spark, f"{root}/telemetry")
     return report
 
 

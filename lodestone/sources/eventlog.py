@@ -88,10 +88,10 @@ def append_feedback(events: DataFrame, log_dir: str, rejected_dir: str | None =
     append_events(rejected, rejected_dir)
 
 
-def read_log(spark: SparkSession, log_dir: str, quarantine: bool = False) -> DataFrame:
-    """All events. A malformed line fails the read, or with ``quarantine`` is kept
-    as text in its own column; blank lines are skipped; no folder means no events."""
-    if not path_exists(spark, log_dir):
+def read_log(spark: SparkSession, log_dir: str | list[str], quarantine: bool = False) -> DataFrame:
+    """All events of a folder, or of the files named. A malformed line fails the read, or with ``quarantine``
+    is kept as text in its own column; blank lines are skipped; no folder means no events."""
+    if isinstance(log_dir, str) and not path_exists(spark, log_dir):
         return spark.createDataFrame([], EVENT)
     if not quarantine:
         return spark.read.schema(EVENT).option("mode", "FAILFAST").json(log_dir)

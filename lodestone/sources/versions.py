@@ -22,6 +22,37 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in _fs(spark, path).listStatus(_path(spark, path))]
 
 
+def file_sizes(spark: SparkSession, path: str) -> dict[str, int]:
+    """Bytes of each file under a folder, by its path from there."""
+    fs, sizes = _fs(spark, path), {}
+    start = fs.makeQualified(_path(spark, path)).toString().rstrip("/") + "/"
+    found = fs.listFiles(_path(spark, path), True)
+    while found.hasNext():
+        status = found.next()
+        sizes[status.getPath().toString().removeprefix(start)] = status.getLen()
+    return sizes
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    stream = _fs(spark, path).open(_path(spark, path))
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    stream = _fs(spark, path).create(_path(spark, path), True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def drop(spark: SparkSession, path: str) -> None:
+    _fs(spark, path).delete(_path(spark, path), True)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     return _fs(spark, path).exists(_path(spark, path))
 
@@ -38,6 +69,17 @@ def latest_version(spark: SparkSession, root: str) -> str | None:
     return None
 
 
+def complete_versions(spark: SparkSession, root: str) -> list[str]:
+    """All that were written to the end, oldest first."""
+    folders = (f"{root}/v{n}" for n in _versions(spark, root))
+    return [folder for folder in folders if path_exists(spark, f"{folder}/{MARKER}")]
+
+
+def older_versions(spark: SparkSession, root: str, folder: str) -> list[str]:
+    """The versions before this one, unfinished ones included."""
+    return [f"{root}/v{n}" for n in _versions(spark, root) if n < int(folder.rsplit("/v", 1)[1])]
+
+
 def next_version(spark: SparkSession, root: str) -> str:
     """A fresh folder; the one a reader is using is never written to. It is claimed by a file
     that only one of several runs can create, so two runs at once never share a folder."""

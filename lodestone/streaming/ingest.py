@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from lodestone.operators.monitoring import mean_cost
+from lodestone.operators.monitoring import add_partials, daily_partials, mean_cost, series_of_partials
 from lodestone.operators.upsert import merge
 from lodestone.sources.eventlog import EVENT, feedback_of, traces_of
 from lodestone.sources.versions import MARKER, child_names, mark_complete, path_exists
@@ -75,8 +75,8 @@ def compact(spark: SparkSession, root: str) -> None:
 def daily_series_stream(traces: DataFrame, lateness: str = "1 day") -> DataFrame:
     """Daily query count, accuracy and mean cost over a stream of enriched traces.
 
-    A day is final once the watermark has passed its end; ``write_daily_series``
-    also shows the days before that.
+    A day is final once the watermark has passed its end, and later rows are dropped;
+    ``write_daily_series`` shows every day and takes rows however late.
     """
     return (
         traces.withWatermark("timestamp", lateness)
@@ -90,25 +90,35 @@ def daily_series_stream(traces: DataFrame, lateness: str = "1 day") -> DataFrame
     )
 
 
-def write_daily_series(traces: DataFrame, root: str, lateness: str = "1 day") -> StreamingQuery:
+def write_daily_series(traces: DataFrame, root: str) -> StreamingQuery:
     """Keep the daily series under ``root`` up to date with a stream of enriched traces.
 
-    Every micro-batch writes the days it changed, open ones included, in a folder of
-    its number; a retry overwrites it. Rows later than ``lateness`` change no day.
+    Every micro-batch writes what it adds to each day, in a folder of its number that
+    counts once it is finished; a retry overwrites an unfinished one. The parts of a day are
+    added up when read, so a row may come any time later and no state is kept.
     """
 
-    def revise(days: DataFrame, batch_id: int) -> None:
-        days.write.mode("overwrite").parquet(f"{root}/days/batch={batch_id}")
+    def add(batch: DataFrame, batch_id: int) -> None:
+        folder = f"{root}/load={batch_id}"
+        if not path_exists(batch.sparkSession, f"{folder}/{MARKER}"):
+            daily_partials(batch).write.mode("overwrite").parquet(f"{folder}/days")
+            mark_complete(batch.sparkSession, folder)
 
     return (
-        daily_series_stream(traces, lateness).writeStream.outputMode("update").foreachBatch(revise)
-        .option("checkpointLocation", f"{root}/progress").trigger(availableNow=True).start()
+        traces.writeStream.foreachBatch(add)
+        .option("checkpointLocation", f"{root}/_progress").trigger(availableNow=True).start()
     )
 
 
 def read_daily_series(spark: SparkSession, root: str) -> DataFrame:
-    """Every day as it was last revised."""
-    days = spark.read.parquet(f"{root}/days")
-    rest = [c for c in days.columns if c not in ("date", "batch")]
-    last = days.groupBy("date").agg(F.max_by(F.struct(*rest), "batch").alias("last"))
-    return last.select("date", "last.*")
+    """Every day, over all finished parts."""
+    return series_of_partials(spark.read.parquet(*(f"{f}/days" for f in _sources(spark, root))))
+
+
+def compact_daily_series(spark: SparkSession, root: str) -> None:
+    """Add the finished parts up in one folder, so that later reads need not list all of them."""
+    loads = _complete(spark, root, "load")
+    if loads and loads[-1] not in _complete(spark, root, "base"):
+        folder = f"{root}/base={loads[-1]}"
+        add_partials(spark.read.parquet(*(f"{f}/days" for f in _sources(spark, root)))).write.mode("overwrite").parquet(f"{folder}/days")
+        mark_complete(spark, folder)

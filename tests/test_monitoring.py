@@ -1,4 +1,5 @@
 import random
+import re
 from datetime import date
 from decimal import ROUND_HALF_EVEN, Decimal
 
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from lodestone.functions.errors import error_category, retry_after_seconds, wait_seconds
 from lodestone.operators import monitoring
 from lodestone.operators.percentiles import nearest_rank
-from lodestone.streaming.ingest import daily_series_stream, read_daily_series, write_daily_series
+from lodestone.streaming.ingest import compact_daily_series, daily_series_stream, read_daily_series, write_daily_series
 
 TRACES = (
     "query_id string, timestamp timestamp, question string, model string, succeeded boolean, error string, "
@@ -157,3 +158,38 @@ def test_daily_series_as_a_stream(spark, tmp_path):
         str(tmp_path / "in"))
     write_daily_series(stream, str(tmp_path / "kept")).awaitTermination()
     assert {r.date.day: r.query_count for r in read_daily_series(spark, str(tmp_path / "kept")).collect()} == {1: 2, 5: 2}
+
+
+def test_rows_of_any_lateness_are_in_the_streamed_series(spark, tmp_path):
+    log = traces(
+        spark, ("q1", "2026-08-20 10:00:00", "gpt-4o-mini", None, 1.0, 10, 10), ("q2", "2026-08-21 11:00:00", "llama3", "x", 1.0, 0, 0))
+    late = traces(
+        spark, ("q3", "2026-08-10 10:00:00", "gpt-4o-mini", "x", 1.0, 7, 3), ("q4", "2026-08-20 12:00:00", "gpt-4o-mini", "x", 1.0, 5, 1))
+    root, parts = str(tmp_path / "kept"), str(tmp_path / "in")
+    seen = None
+    for part in (log, late, late):
+        part.write.mode("append").parquet(parts)
+        write_daily_series(spark.readStream.schema(log.schema).parquet(parts), root).awaitTermination()
+        seen = part if seen is None else seen.unionByName(part)
+        assert sorted(read_daily_series(spark, root).collect()) == sorted(monitoring.daily_series(seen).collect())
+        compact_daily_series(spark, root)
+    log.write.parquet(f"{root}/load=9/days")
+    assert sorted(read_daily_series(spark, root).collect()) == sorted(monitoring.daily_series(seen).collect())
+
+
+@pytest.mark.parametrize("shallow", [0, 40])
+def test_deep_pages(spark, shallow):
+    random.seed(shallow)
+    stamps = ["2026-08-01 10:00:00", "2026-08-01 10:00:00.5", "2026-08-01 10:07:00", "2026-08-03 23:00:00", "2026-07-01 00:00:00", None]
+    rows = [(random.choice(["", "a", "ä", "ab"]) + f"q{i}", random.choice(stamps), "m", None, 1.0, 0, 0) for i in range(200)]
+    rows += [("same", stamps[0], "m", None, 1.0, 0, 0)] * 30 + [(None, stamps[0], "m", None, 1.0, 0, 0)] * 2
+    log = traces(spark, *rows).cache()
+    want = [r.query_id for r in log.orderBy(F.desc("timestamp"), "query_id").collect()]
+    for offset in (41, 133, 225, 500):
+        assert [r.query_id for r in monitoring.trace_page(log, 7, offset, shallow).collect()] == want[offset : offset + 7]
+
+
+def test_a_deep_page_keeps_few_rows(spark):
+    log = traces(spark, *((f"q{i}", "2026-08-01 10:00:00", "m", None, 1.0, 0, 0) for i in range(300)))
+    plan = monitoring.trace_page(log, 5, 250, 20)._jdf.queryExecution().executedPlan().toString()
+    assert max(int(n) for n in re.findall(r"TakeOrderedAndProject\(limit=(\d+)", plan)) <= 25

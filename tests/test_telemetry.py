@@ -1,10 +1,11 @@
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from lodestone.operators.upsert import merge
-from lodestone.plans.telemetry import load_tables, refresh_views, run_telemetry
+from lodestone.plans.telemetry import bucket_paths, drop_old_loads, load_tables, refresh_views, run_telemetry
 from lodestone.sources import eventlog
 from lodestone.streaming.ingest import compact, ingest_new_files, read_ingested
 
@@ -172,3 +173,65 @@ def test_refresh_points_views_at_the_new_load(spark, tmp_path):
     log(folder, "b.json", trace("q2"), vote("q2", "up", "00:01"))
     refresh_views(own, path, root)
     assert own.table("traces").count() == 2 and own.table("feedback").count() == 1
+
+
+def shown(tables):
+    return {name: sorted(map(str, table.collect())) for name, table in tables.items()}
+
+
+def test_a_small_load_writes_only_its_buckets(spark, tmp_path):
+    folder, root = tmp_path / "log", str(tmp_path / "t")
+    path = log(folder, "a.json", *(trace(f"q{i}") for i in range(300)), *(vote(f"q{i}", "up", "00:05") for i in range(300)))
+    run_telemetry(spark, path, root)
+    first = {name: bucket_paths(spark, root, name) for name in ("traces", "feedback")}
+    assert len(first["traces"]) == len(first["feedback"]) == 16
+    run_telemetry(spark, path, root)
+    assert os.listdir(root) == ["v1"]
+    log(folder, "b.json", trace("q7", attempt_count=5, timestamp="2026-08-01T12:00:00+00:00"), trace("q8", attempt_count=6, timestamp="2026-08-01T09:00:00+00:00"), trace("q900"))
+    tables = run_telemetry(spark, path, root)
+    second = {name: bucket_paths(spark, root, name) for name in ("traces", "feedback")}
+    moved = {b for b in second["traces"] if second["traces"][b] != first["traces"][b]}
+    assert 1 <= len(moved) <= 3 and second["feedback"] == first["feedback"]
+    written = {os.path.relpath(d, f"{root}/v2/rows") for d, _, files in os.walk(f"{root}/v2/rows") if any(f.endswith(".parquet") for f in files)}
+    assert written == {f"table_name=traces/bucket={b}" for b in moved} and not os.path.exists(f"{root}/v2/batch")
+    counts = {r.query_id: r.attempt_count for r in tables["traces"].collect()}
+    assert len(counts) == 301 and (counts["q7"], counts["q8"], counts["q900"]) == (5, 1, 1)
+    assert shown(tables) == shown(run_telemetry(spark, path, str(tmp_path / "anew")))
+
+
+def test_old_loads_keep_the_buckets_still_named(spark, tmp_path):
+    folder, root = tmp_path / "log", str(tmp_path / "t")
+    for i in range(4):
+        path = log(folder, f"{i}.json", *(trace(f"q{i}-{j}") for j in range(100 if i == 0 else 1)))
+        run_telemetry(spark, path, root)
+    before = shown(load_tables(spark, root))
+    assert drop_old_loads(spark, root, keep=1)
+    assert shown(load_tables(spark, root)) == before and len(before["traces"]) == 103
+    log(folder, "9.json", *(trace(f"z{j}") for j in range(200)))
+    run_telemetry(spark, path, root)
+    drop_old_loads(spark, root, keep=1)
+    assert os.listdir(root) == ["v5"] and load_tables(spark, root)["traces"].count() == 303
+
+
+def test_buckets_are_halved_as_a_table_grows(spark, tmp_path, monkeypatch):
+    from lodestone.plans import telemetry
+
+    folder, root = tmp_path / "log", str(tmp_path / "t")
+    path = log(folder, "a.json", *(trace(f"q{i}") for i in range(300)), vote("q1", "up", "00:05"))
+    run_telemetry(spark, path, root)
+    monkeypatch.setattr(telemetry, "BUCKET_BYTES", 2500)
+    log(folder, "b.json", trace("q1", model="other"), trace("p1"))
+    tables = run_telemetry(spark, path, root)
+    assert len(bucket_paths(spark, root, "traces")) > 16
+    assert shown(tables) == shown(run_telemetry(spark, path, str(tmp_path / "anew")))
+
+
+def test_rows_of_changed_files_win(spark, tmp_path):
+    folder, root = tmp_path / "log", str(tmp_path / "t")
+    path = log(folder, "a.json", vote("q1", "down", "00:10"), vote("q2", "up", "00:10"))
+    run_telemetry(spark, path, root)
+    log(folder, "a.json", vote("q1", "up", "00:01"), vote("q3", "up", "00:01"))
+    log(folder, "b.json", vote("q2", "down", "00:01"))
+    for _ in range(2):
+        found = {r.query_id: r.vote for r in run_telemetry(spark, path, root)["feedback"].collect()}
+        assert found == {"q1": "up", "q2": "down", "q3": "up"}
