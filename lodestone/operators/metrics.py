@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -80,12 +79,16 @@ def metric_by(w: Warehouse, name: str, *dims: str, role: str = "order") -> DataF
     return metrics()[name].aggregate(fact, dims)
 
 
+def metric_values(w: Warehouse) -> DataFrame:
+    """One row with every metric: those that are plain aggregates in one pass over the fact, and a pass for each other."""
+    plain = {name: m for name, m in metrics().items() if m.value is not None}
+    others = {name: m.aggregate(w.fact).scalar() for name, m in metrics().items() if name not in plain}
+    row = w.fact.agg(*(m.value.alias(name) for name, m in plain.items()))
+    return row.withColumns(others).select(*metrics())
+
+
 def metric_health(w: Warehouse) -> DataFrame:
     """Every metric with its value; a metric without a value shows as not healthy."""
-    rows = [
-        m.aggregate(w.fact).select(
-            F.lit(name).alias("metric"), F.col(name).cast("double").alias("value")
-        )
-        for name, m in metrics().items()
-    ]
-    return reduce(DataFrame.unionByName, rows).withColumn("healthy", F.col("value").isNotNull())
+    rows = F.array(*(F.struct(F.lit(n).alias("metric"), F.col(n).cast("double").alias("value")) for n in metrics()))
+    return metric_values(w).select(F.explode(rows).alias("row")).select(
+        "row.*", F.col("row.value").isNotNull().alias("healthy"))

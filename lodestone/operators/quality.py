@@ -74,11 +74,31 @@ def orphans(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str
 
 
 def fact_orphans(w: Warehouse) -> DataFrame:
-    return _union([
-        orphans(w.fact, column, w[table], key).select(
-            F.lit("fact_orders").alias("table_name"), F.lit(column).alias("column_name"), "orphan_rows")
-        for column, table, key in FACT_REFERENCES
+    """Fact rows without a parent, for each reference, in one pass over the fact.
+
+    Its keys and those of the parents meet in one aggregate by (reference, key), which combines
+    before it shuffles. A NULL key has no parent.
+    """
+    at = [F.struct(F.lit(i).alias("at"), F.col(column).cast("bigint").alias("key"))
+          for i, (column, _, _) in enumerate(FACT_REFERENCES)]
+    children = w.fact.select(F.explode(F.array(*at)).alias("child")).select("child.*", F.lit(1).alias("n"), F.lit(False).alias("known"))
+    uses = {}
+    for i, (_, table, key) in enumerate(FACT_REFERENCES):
+        uses.setdefault((table, key), []).append(F.lit(i))
+    parents = _union([
+        w[table].where(F.col(key).isNotNull()).select(
+            F.explode(F.array(*by)).alias("at"), F.col(key).cast("bigint").alias("key"), F.lit(0).alias("n"), F.lit(True).alias("known"))
+        for (table, key), by in uses.items()
     ])
+    met = children.unionByName(parents).groupBy("at", "key").agg(F.sum("n").alias("n"), F.bool_or("known").alias("known"))
+    found = met.agg(*(
+        F.coalesce(F.sum(F.when((F.col("at") == i) & ~F.col("known"), F.col("n"))), F.lit(0)).alias(column)
+        for i, (column, _, _) in enumerate(FACT_REFERENCES)
+    ))
+    return found.select(F.explode(F.array(*(
+        F.struct(F.lit("fact_orders").alias("table_name"), F.lit(column).alias("column_name"), F.col(column).alias("orphan_rows"))
+        for column, _, _ in FACT_REFERENCES
+    ))).alias("row")).select("row.*")
 
 
 def nation_orphans(w: Warehouse) -> DataFrame:

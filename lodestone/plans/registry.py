@@ -293,8 +293,9 @@ def guard_queries() -> dict[str, Query]:
         return spark.createDataFrame(guard.run_guarded(own, GUARDED_SQL).rows, schema)
 
     def plausible(w):
+        values = settled(metrics.metric_values(w))
         checks = [
-            answers.plausibility(F.lit(question), metrics.metric(w, name))
+            answers.plausibility(F.lit(question), values.select(name))
             for name, question in METRIC_QUESTIONS.items()
         ]
         return reduce(DataFrame.unionByName, checks)

@@ -1,3 +1,4 @@
+import re
 from datetime import date
 from decimal import Decimal
 
@@ -215,3 +216,11 @@ def test_a_hot_order_is_split_in_the_build(spark, tmp_path):
     plan = fact._jdf.queryExecution().executedPlan().toString()
     assert "skew=true" in plan
     assert "REPARTITION_BY_NUM" not in plan
+
+
+def test_checks_pass_over_the_fact_once(warehouse):
+    from lodestone.operators import metrics
+
+    for check, scans in ((quality.fact_orphans, 2), (metrics.metric_health, 2)):  # the calendar's span is the orphans' second
+        plan = check(warehouse)._jdf.queryExecution().optimizedPlan().toString()
+        assert len(re.findall(r"Relation \[l_orderkey", plan)) == scans
