@@ -213,3 +213,38 @@ def test_registered_pages_hold_their_article(spark, data):
         parts = [" ".join(html.unescape(re.sub(r"<[^>]+>", " " if p.startswith("<br") else "", p)).split()) for p in re.split(r"(?=<p>|<h1>)|</p>|</h1>", body.replace("<br>", " "))]
         parts = [p for p in parts if p]
         assert r["text"] == "\n\n".join(parts)
+
+
+@pytest.mark.parametrize("body, want", [
+    ("<article><h1>The title</h1><p>A lead that says what comes.</p><div class='body'>{A}</div><p>The closing words.</p></article>", "The title|A lead that says what comes.|{W}|The closing words."),
+    ("<div class='post'><h2>The title</h2><p>A lead that says what comes.</p><div class='body'>{A}</div></div><div class='teasers'><p>Other text of the site.</p></div>", "The title|A lead that says what comes.|{W}"),
+    ("<div class='body'>{A}</div><p>Our site.</p>", "{W}"),
+    ("<article><section>{A}</section><section><p>More of it.</p></section></article>", "{W}|More of it."),
+    ("<div class='post notice-board'>{A}</div><p>A side text</p>", "{W}"),
+    ("<div class='post notice-board'>{A}<div class='comments'><p>I say so too.</p></div></div><p>A side text</p>", "{W}"),
+    ("<div class='post'><p>Short but whole.</p></div><div class='comments'><p>A comment that is far longer than what it speaks of.</p><p>And one more.</p></div>", "Short but whole."),
+    ("<form action='/'><input type=hidden name=state><div id=top><a href=/>Home</a></div><div class=post>{A}</div></form>", "{W}"),
+    ("<div>{A}<form><input><p>Sign up for news</p></form></div>", "{W}"),
+    ("<div>{A}<p title=it's>One of two.</p><p>It's two of two.</p></div>", "{W}|One of two.|It's two of two."),
+    ("<div>{A}<p title=\"5\" tall\">Three feet.</p><p class='a'b'>Four.</p></div>", "{W}|Three feet.|Four."),
+    ("<div>{A}<p title=\"open>One.</p></div>", "{W}|One."),
+])
+def test_whole_articles_of_odd_pages(body, want):
+    whole = page(f"<nav>menu</nav>{body.replace('{A}', ARTICLE)}<footer>me</footer>")
+    assert htmltext.page_text(htmltext.blocks(whole), None) == want.replace("{W}", WANT).replace("|", "\n\n")
+
+
+@pytest.mark.parametrize("body, n_words", [
+    ("<div>" * 30_000 + "word " + "</div>" * 30_000, 1), ("<b>" * 30_000 + "<h2>one</h2>" * 30_000, 30_000),
+    ("<div class='comment'>" * 30_000 + "word", 1), ("<p title='" + "<a title=" * 30_000 + " word", 0), ("<a " * 100_000 + "word", 0),
+    ("<div>" + "</p></i>text <i>" * 50_000, 50_000), ("<div>" * 20_000 + "<p>word</p></div>" * 20_000, 20_000), ("w " * 2_000_000, 2_000_000),
+    ("<p x=\"'" * 50_000 + "'\">" * 50_000, 0), ("<!" * 200_000, 200_000),
+])
+def test_deep_long_and_broken_pages_take_linear_time(body, n_words):
+    import time
+
+    started = time.perf_counter()
+    found = htmltext.blocks(body)
+    path, _ = htmltext._scored(found)
+    text = htmltext.page_text(htmltext.blocks(body), path)
+    assert time.perf_counter() - started < 20 and (not n_words or len(text.split()) >= min(n_words, 1))
