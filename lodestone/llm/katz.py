@@ -30,8 +30,6 @@ from lodestone.llm.blocks import SPACE, U64, Words, bucket_count, discard, mixed
 
 #: Counts up to this are discounted.
 DISCOUNTED = 5
-#: Bigrams seen less often leave their whole share to backoff.
-LEAST_COUNT = 2
 #: Tokens a task combines before it sends.
 FLUSH_TOKENS = 1_200_000
 #: Blocks that go to Python at a time when scoring: they have some hundred kilobytes each.
@@ -114,8 +112,8 @@ def _cuts(sorted_keys: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def count_ngrams(texts: DataFrame, buckets: int) -> DataFrame:
-    """(kind, h, w, n) from a column ``text``: kind 1 words, kind 2 bigrams seen at least
-    LEAST_COUNT times, kind 3 in w how many bigrams there are of each small count n."""
+    """(kind, h, w, n) from a column ``text``: kind 1 words, kind 2 bigrams,
+    kind 3 in w how many bigrams there are of each small count n."""
 
     def deal(batches):
         for seq, row, _ in _flushes(batches):
@@ -156,8 +154,7 @@ def count_ngrams(texts: DataFrame, buckets: int) -> DataFrame:
         keys = [k[order[first]].view(np.int64) for k in keys]
         if kind == 1:
             return pd.DataFrame({"kind": 1, "h": np.zeros(len(total), np.int64), "w": keys[0], "n": total})
-        kept = total >= LEAST_COUNT
-        rows = pd.DataFrame({"kind": 2, "h": keys[0][kept], "w": keys[1][kept], "n": total[kept]})
+        rows = pd.DataFrame({"kind": 2, "h": keys[0], "w": keys[1], "n": total})
         small = np.bincount(total[total <= DISCOUNTED + 1], minlength=DISCOUNTED + 2)
         return pd.concat([rows, pd.DataFrame({"kind": 3, "h": 0, "w": small, "n": np.arange(len(small))})])
 
@@ -165,7 +162,7 @@ def count_ngrams(texts: DataFrame, buckets: int) -> DataFrame:
     return dealt.groupBy("bucket", "kind").applyInPandas(add, "kind int, h long, w long, n long")
 
 
-def good_turing(of_count: dict[int, int], least: int = 1) -> list[float]:
+def good_turing(of_count: dict[int, int]) -> list[float]:
     """Discounts of counts 0 to DISCOUNTED; larger counts keep all.
 
     Katz's formula where it gives shares between 0 and 1, and else three quarters less a count.
@@ -177,7 +174,7 @@ def good_turing(of_count: dict[int, int], least: int = 1) -> list[float]:
         found = [0.0] + [((r + 1) * n[r + 1] / (r * n[r]) - tail) / (1 - tail) if tail < 1 else 0.0 for r in range(1, DISCOUNTED + 1)]
         if all(0 < d < 1 for d in found[1:]):
             plain = found
-    return [d if r >= least else 0.0 for r, d in enumerate(plain)]
+    return plain
 
 
 def _discounted(n: Column, shares: list[float]) -> Column:
@@ -206,7 +203,7 @@ def fit(docs: DataFrame, train: Column | None = None, text_col: str = "text") ->
     tokens, types = events.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     of_one = {r["n"]: r["types"] for r in events.where(F.col("n") <= DISCOUNTED + 1).groupBy("n").agg(F.count("*").alias("types")).collect()}
     of_two = {r["n"]: r["types"] for r in counts.where("kind = 3").groupBy("n").agg(F.sum("w").alias("types")).collect()}
-    one, two = good_turing(of_one), good_turing(of_two, LEAST_COUNT)
+    one, two = good_turing(of_one), good_turing(of_two)
     lost = sum((1 - one[r]) * r * of_one.get(r, 0) for r in range(1, DISCOUNTED + 1))
     if not lost:  # no small counts: the unknown word is one more event
         lost, scale = 1.0, tokens + 1.0

@@ -28,7 +28,7 @@ class SlowKatz:
         self.two = Counter(p for s in seqs for p in zip(s, s[1:], strict=False))
         self.n = sum(self.uni.values())
         self.d1 = katz.good_turing(Counter(self.uni.values()))
-        self.d2 = katz.good_turing(Counter(self.two.values()), katz.LEAST_COUNT)
+        self.d2 = katz.good_turing(Counter(self.two.values()))
         lost = sum((1 - self.d1[c]) * c for c in self.uni.values() if c <= katz.DISCOUNTED)
         self.scale = self.n if lost else self.n + 1
         self.unknown = (lost or 1) / self.scale
@@ -38,7 +38,7 @@ class SlowKatz:
         return self.unknown if not c else (self.d1[c] if c <= katz.DISCOUNTED else 1) * c / self.scale
 
     def p(self, h, w):
-        kept = {b: (self.d2[c] if c <= katz.DISCOUNTED else 1) * c for (a, b), c in self.two.items() if a == h and c >= katz.LEAST_COUNT}
+        kept = {b: (self.d2[c] if c <= katz.DISCOUNTED else 1) * c for (a, b), c in self.two.items() if a == h}
         if not kept:
             return self.prior(w)
         whole = self.hist[h] if sum(kept.values()) < self.hist[h] else self.hist[h] + 1
