@@ -22,23 +22,25 @@ SEED = 20
 FILL_WORDS = 4096
 
 
-def fill(lengths: np.ndarray, spare: np.ndarray, budget: int) -> np.ndarray:
-    """How many of each length to take, at most ``spare``, so that the sum is the largest up to ``budget``.
+def fill(lengths: np.ndarray, spare: np.ndarray, budget: int, over: int = 0) -> np.ndarray:
+    """How many of each length to take, at most ``spare``, so that the sum is nearest to ``budget`` among
+    those that go over it by ``over`` at most; the smaller of equally near ones.
 
     Bounded knapsack: counts are split into powers of two, and each sum remembers the
     piece that first reached it, so a piece is used once when the sum is traced back.
     """
     took = np.zeros(len(lengths), np.int64)
-    reached = np.zeros(budget + 1, bool)
+    most = budget + over
+    reached = np.zeros(most + 1, bool)
     reached[0] = True
-    by = np.zeros(budget + 1, np.int32)
+    by = np.zeros(most + 1, np.int32)
     pieces: list[tuple[int, int]] = []
     for i in np.argsort(lengths, kind="stable").tolist():
         length, left, step = int(lengths[i]), int(spare[i]), 1
-        while left > 0 and length > 0 and length <= budget and not reached[budget]:
-            n = min(step, left, budget // length)
+        while left > 0 and length > 0 and length <= most and not reached[budget]:
+            n = min(step, left, most // length)
             size = n * length
-            new = reached[: budget + 1 - size] & ~reached[size:]
+            new = reached[: most + 1 - size] & ~reached[size:]
             by[size:][new] = len(pieces)
             reached[size:] |= new
             pieces.append((i, n))
@@ -47,7 +49,8 @@ def fill(lengths: np.ndarray, spare: np.ndarray, budget: int) -> np.ndarray:
             left, step = left - n, step * 2
         if reached[budget]:
             break
-    at = int(np.flatnonzero(reached)[-1])
+    sums = np.flatnonzero(reached)
+    at = int(sums[np.argmin(np.abs(sums - budget))])
     while at:
         i, n = pieces[by[at]]
         took[i] += n
@@ -60,7 +63,8 @@ def fit(lengths: np.ndarray, counts: np.ndarray, target: int, cap: int = MAX_REP
 
     All lengths are taken in proportion as far as that goes without going over; single
     documents of seeded lengths bring the gap down to what the dynamic programme fills. If
-    no sum fills it, some of the short ones are given back and the larger gap is filled.
+    no sum fills it, some of the short ones are given back and the larger gap is filled. If that fails too, a sum over
+    the target is taken where it is nearer.
     """
     lengths, counts = lengths.astype(np.int64), counts.astype(np.int64)
     total = int((lengths * counts).sum())
@@ -81,6 +85,9 @@ def fit(lengths: np.ndarray, counts: np.ndarray, target: int, cap: int = MAX_REP
             if lengths[i] > 0 and gap < 2 * FILL_WORDS:
                 took[i], spare[i], gap = took[i] - back, spare[i] + back, gap + back * int(lengths[i])
         filled = fill(lengths, spare, gap)
+        short = gap - int((lengths * filled).sum())
+        if short > 1:
+            filled = fill(lengths, spare, gap, short - 1)
     return took + filled
 
 
@@ -122,7 +129,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     """(doc_id, kept columns, size, source_size, target, repeats) for every row of ``docs``.
 
     ``repeats`` is how often the mix takes the row, 0 to ``cap``; the words taken from a
-    source come as near below its target as its lengths allow. A null source is a source
+    source come as near to its target as its lengths allow. A null source is a source
     of its own, the last; null and empty texts have size 0 and cost nothing. Of rows of
     one length those with the smallest hash of id and text are taken; rows equal in both
     are equal in all that counts. Reruns agree. An empty table gives no rows.

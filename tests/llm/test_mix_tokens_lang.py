@@ -221,3 +221,21 @@ def test_held_out_accuracy(spark):
     own = [r["lang_pred"] == lang[r["doc_id"]] for r in got if r["held_out"] and lang[r["doc_id"]]]
     assert len(own) > 200 and sum(own) / len(own) > 0.95
     assert all(0 <= r["score"] <= 1 for r in got)
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_sums_over_the_budget_against_all_sums(seed):
+    rng = np.random.default_rng(seed)
+    lengths = np.sort(rng.choice(np.arange(1, 40), 4, replace=False))
+    spare = rng.integers(0, 4, 4)
+    budget, over = int(rng.integers(0, 120)), int(rng.integers(0, 40))
+    sums = {int(np.dot(lengths, t)) for t in np.ndindex(*(spare + 1))}
+    took = mixing.fill(lengths, spare, budget, over)
+    assert (took <= spare).all()
+    assert int((took * lengths).sum()) == min((s for s in sums if s <= budget + over), key=lambda s: (abs(s - budget), s))
+
+
+def test_one_long_text_is_taken_where_that_is_nearer():
+    lengths, counts = np.array([2, 25, 400_000]), np.array([1, 1, 1])
+    assert (mixing.fit(lengths, counts, 278_403) * lengths).sum() == 400_000
+    assert (mixing.fit(lengths, counts, 150_000) * lengths).sum() == 81
