@@ -20,6 +20,8 @@ from lodestone.session import tune
 
 MAX_ROWS = 1000
 TIMEOUT_SECONDS = 10.0
+# Stored bytes of the governed tables for which a statement has that time; over more it has as many times more.
+TIMEOUT_BYTES = 32 * 1024 * 1024
 # Bytes of a result as JSON, and the largest number that a function may make a long value from.
 MAX_BYTES = 16 * 1024 * 1024
 MAX_GROWTH = 10_000
@@ -251,6 +253,11 @@ def run_guarded(
     return QueryResult(columns, rows[:max_rows], min(len(rows), max_rows), len(rows) > max_rows)
 
 
+def allowed_seconds(governed_bytes: int) -> float:
+    """How long a statement may run over governed tables of this size."""
+    return TIMEOUT_SECONDS * max(1.0, governed_bytes / TIMEOUT_BYTES)
+
+
 def with_timeout(spark: SparkSession, work: Callable[[threading.Event], Any], timeout_seconds: float) -> Any:
     """What ``work`` returns or raises. After the timeout its jobs are cancelled, also those that planning has yet to
     start, and the event it was given is set."""

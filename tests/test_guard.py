@@ -186,3 +186,16 @@ def test_results_have_a_byte_budget(own):
     with pytest.raises(Exception, match="exceeded 16777216 bytes"):
         guard.run_guarded(own, doubled, timeout_seconds=120)
     assert guard.run_guarded(own, "SELECT 1 AS a, 2 AS a", timeout_seconds=120).rows == [(1, 2)]
+
+
+def test_time_limit_grows_with_the_governed_tables(spark, data, monkeypatch):
+    """A statement over all lines takes longer over more of them; a limit that stays stops it."""
+    from lodestone.plans.registry import all_queries
+
+    assert guard.allowed_seconds(0) == guard.allowed_seconds(guard.TIMEOUT_BYTES) == guard.TIMEOUT_SECONDS
+    assert guard.allowed_seconds(60 * guard.TIMEOUT_BYTES) == 60 * guard.TIMEOUT_SECONDS
+    given, run = [], guard.run_guarded
+    monkeypatch.setattr(guard, "TIMEOUT_BYTES", 1000)
+    monkeypatch.setattr(guard, "run_guarded", lambda *a, **k: given.append(k) or run(*a, **k))
+    assert all_queries()["G5_guarded_query"](spark, data).count() > 0
+    assert given[0]["timeout_seconds"] > 10 * guard.TIMEOUT_SECONDS
