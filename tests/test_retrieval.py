@@ -1,11 +1,12 @@
 import math
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from lodestone.functions.text import tokenize
-from lodestone.operators import bm25, search
+from lodestone.operators import bm25, scoring, search
 from lodestone.operators.bm25 import Index, bm25_scores, build_index, scored_cells
 
 WORDS = "order revenue region customer the discount date_key ship supplier rate".split()
@@ -208,6 +209,76 @@ def test_small_batches_give_the_same(spark, setup):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
+def block_and_batch(documents=5000, queries=7):
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(40)]
+    texts = [sorted(rng.sample(words, rng.randint(0, 20))) for _ in range(documents)]
+    batch = pa.record_batch({
+        "doc_id": pa.array(rng.sample(range(10**6), documents)), "length": pa.array([len(t) for t in texts], pa.int32()),
+        "terms": pa.array(texts, pa.list_(pa.string())), "counts": pa.array([[1] * len(t) for t in texts], pa.list_(pa.int32())),
+        "vector": pa.array([None if rng.random() < 0.2 else [rng.uniform(-1, 1) for _ in range(4)] for _ in texts], pa.list_(pa.float64())),
+    })
+    asked = pa.table({
+        "query_id": list(range(queries)), "terms": [sorted(rng.sample(words, 5)) for _ in range(queries)],
+        "weights": [[rng.random() for _ in range(5)] for _ in range(queries)],
+        "unit": [[rng.uniform(-1, 1) for _ in range(4)] for _ in range(queries)],
+    })
+    return scoring.block_of(asked, 1.5, 0.75, 10.0), batch
+
+
+def test_large_batches_are_scored_a_slice_at_a_time(monkeypatch):
+    """What a task makes of its documents is bounded in rows, whatever the batch; the results are those of the whole batch."""
+    block, batch = block_and_batch()
+    whole = [block.cosine(batch), block.keyword(batch)]
+    sizes, keyword, cosine = [], scoring.QueryBlock.keyword, scoring.QueryBlock.cosine
+    monkeypatch.setattr(scoring.QueryBlock, "keyword", lambda self, b: sizes.append(b.num_rows) or keyword(self, b))
+    monkeypatch.setattr(scoring.QueryBlock, "cosine", lambda self, b: sizes.append(b.num_rows) or cosine(self, b))
+    near, worded = whole
+    spans = [near.min(0), near.max(0), worded.min(0), worded.max(0)]
+    rows = next(scoring.ranges_in_batches(block)([batch])).to_pydict()
+    assert [rows[c] for c in ("v_low", "v_high", "k_low", "k_high")] == [pytest.approx(list(s)) for s in spans]
+    mixed = 0.5 * scoring.stretch(near, *spans[:2]) + 0.5 * scoring.stretch(worded, *spans[2:])
+    for method, scores in (("vector", near), ("keyword", worded), ("hybrid", mixed)):
+        want = scoring.top_rows(block, batch.column("doc_id"), scores, 6).to_pylist()
+        got = [r for b in scoring.top_in_batches(block, method, 6, 0.5, spans)([batch]) for r in b.to_pylist()]
+        key = lambda r: (r["query_id"], -r["score"], r["doc_id"])
+        assert sorted(got, key=key) == sorted(want, key=key)
+    parts = list(scoring.cosines_in_batches(block)([batch]))
+    assert sum(p.num_rows for p in parts) == near.size
+    assert max(sizes) <= scoring.SLICE_ROWS < batch.num_rows
+
+
+def test_highs_are_brought_together_before_the_shuffle():
+    """A batch of blocks gives a row a term, not one a term and range."""
+    rng = random.Random(4)
+    rows = [(f"w{i % 5}", [rng.randint(1, 9) for _ in range(n)], [rng.randint(9, 99) for _ in range(n)]) for i, n in enumerate([3, 50, 1] * 20)]
+    batch = pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.string(), pa.list_(pa.int32()), pa.list_(pa.int32())), strict=True)], names=["term", "tfs", "lengths"])
+    got = [r for b in scoring.term_highs([batch], 1.5, 0.75, 30.0, 32) for r in b.to_pylist()]
+    want = {}
+    for term, tfs, lengths in rows:
+        want.setdefault(term, []).extend(tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * n / 30.0)) for tf, n in zip(tfs, lengths, strict=True))
+    assert len(got) == 5 and {r["term"]: r["n"] for r in got} == {t: len(w) for t, w in want.items()}
+    assert {r["term"]: r["best"] for r in got} == {t: pytest.approx(sorted(w, reverse=True)[:32]) for t, w in want.items()}
+
+
+def test_texts_are_shuffled_once_to_meet_their_vectors(spark, setup):
+    texts = spark.createDataFrame(setup[0], "doc_id bigint, text string")
+    vectors = spark.createDataFrame(list(setup[1].items()), "doc_id bigint, vector array<float>")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        index = build_index(texts, vectors, laid_out=False)
+        plan = index.documents._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert sum("Exchange " in line for line in plan.splitlines()) == 2  # texts and vectors
+    assert plan.index("MapInArrow") < plan.index("Exchange ")  # counted after the join
+    got = {r.doc_id: (r.length, dict(zip(r.terms, r.counts, strict=True)), r.vector is not None) for r in index.documents.collect()}
+    for i, text in setup[0]:
+        words = text.lower().replace("_", " ").split()
+        assert got[i] == (len(words), {w: words.count(w) for w in words}, i in setup[1])
+
+
 def test_without_vectors_hybrid_ranks_by_keyword(setup):
     *_, index, queries, _ = setup
     by_word = found(search.Retriever(index, queries).keyword_search(5))
