@@ -18,7 +18,9 @@ from __future__ import annotations
 
 import math
 import struct
+import zlib
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -36,6 +38,8 @@ FLUSH_TOKENS = 1_200_000
 BATCH_BLOCKS = 32
 #: Buckets of bigrams and of words when scoring; a bucket's part of the model is held by a task.
 PAIR_BUCKETS, WORD_BUCKETS = 64, 16
+#: Parts that the bigrams are joined and looked up in, one after the other, so that the disk holds one part's shuffle.
+PARTS = 2
 
 BEGIN, END = (int(x) for x in mixed(np.array([11, 12], U64)))
 
@@ -82,6 +86,15 @@ def pair_hash(h: np.ndarray, w: np.ndarray) -> np.ndarray:
     return mixed(h * U64(0x9FB21C651E98DF25) + w)
 
 
+def pair_part(h: np.ndarray, w: np.ndarray) -> np.ndarray:
+    return (h ^ w).view(np.int64) % PARTS
+
+
+def _of_part(pairs: DataFrame, part: int) -> DataFrame:
+    """The rows (h, w, ...) whose ``pair_part`` is this."""
+    return pairs.where(F.pmod(F.col("h").bitwiseXOR(F.col("w")), F.lit(PARTS)) == part)
+
+
 def _flushes(batches):
     """(begin/end sequence, row of each, batches) of some FLUSH_TOKENS tokens each; rows count through."""
     seqs, rows, held, n, parts = [], [], 0, 0, []
@@ -183,14 +196,18 @@ def _discounted(n: Column, shares: list[float]) -> Column:
 
 @dataclass
 class Katz:
-    """The written tables: of words (w, n, log_p, log_weight) and of bigrams (h, w, n, gain): what the bigram's log P has above that of backing off."""
+    """The written tables: of words (w, n, log_p, log_weight) and, a table a part, of bigrams (h, w, n, gain): what the bigram's log P has above that of backing off."""
 
     words: DataFrame
-    bigrams: DataFrame
+    parts: list[DataFrame]
     tokens: int
     types: int
     unknown: float
 
+    @property
+    def bigrams(self) -> DataFrame:
+        return reduce(DataFrame.unionAll, self.parts)
+
 
 def fit(docs: DataFrame, train: Column | None = None, text_col: str = "text") -> Katz:
     """Learn from all rows that ``train`` admits; a null text has no words, only an end."""
@@ -212,10 +229,11 @@ def fit(docs: DataFrame, train: Column | None = None, text_col: str = "text") ->
     unknown = lost / scale
     p = F.when(F.col("w") == begin, F.lit(0.0)).otherwise(_discounted(F.col("n"), one) / scale)
     priors = written(unigrams.select("w", "n", p.alias("p")), "katz-unigrams")
-    pairs = counts.where("kind = 2").select("h", "w", F.col("n").alias("pair_n")).join(priors.select("w", "p"), "w")
-    pairs = written(pairs.select("h", "w", "pair_n", "p", _discounted(F.col("pair_n"), two).alias("kept")), "katz-pairs")
+    kept = _discounted(F.col("pair_n"), two)
+    counted = counts.where("kind = 2").select("h", "w", F.col("n").alias("pair_n"))
+    pairs = [written(_of_part(counted, part).join(priors.select("w", "p"), "w").select("h", "w", "pair_n", "p"), "katz-pairs") for part in range(PARTS)]
     discard(counts)
-    history = pairs.groupBy("h").agg(F.sum("kept").alias("kept_sum"), F.sum("p").alias("p_sum"))
+    history = reduce(DataFrame.unionAll, pairs).groupBy("h").agg(F.sum(kept).alias("kept_sum"), F.sum("p").alias("p_sum"))
     history = history.join(priors.select(F.col("w").alias("h"), F.col("n").alias("h_n")), "h")
     whole = F.when(F.col("kept_sum") < F.col("h_n"), F.col("h_n").cast("double")).otherwise(F.col("h_n") + 1.0)
     history = history.withColumn("whole", whole)
@@ -223,12 +241,15 @@ def fit(docs: DataFrame, train: Column | None = None, text_col: str = "text") ->
     history = written(history.select("h", "whole", weight.alias("log_weight")), "katz-histories")
     words = priors.join(history.select(F.col("h").alias("w"), "log_weight"), "w", "left").select(
         "w", "n", F.when(F.col("p") > 0, F.log10("p")).otherwise(0.0).alias("log_p"), F.coalesce("log_weight", F.lit(0.0)).alias("log_weight"))
-    log_p = F.log10(F.col("kept") / F.col("whole"))
-    bigrams = pairs.join(history, "h").select(
-        "h", "w", F.col("pair_n").alias("n"), (log_p - F.log10("p") - F.col("log_weight")).alias("gain"))
-    model = Katz(written(words, "katz-words"), written(bigrams, "katz-bigrams"), tokens, types, math.log10(unknown))
-    discard(priors, pairs, history)
-    return model
+    words = written(words, "katz-words")
+    discard(priors)
+    gain = F.log10(kept / F.col("whole")) - F.log10("p") - F.col("log_weight")
+    bigrams = []
+    for own in pairs:
+        bigrams.append(written(own.join(history, "h").select("h", "w", F.col("pair_n").alias("n"), gain.alias("gain")), "katz-bigrams"))
+        discard(own)
+    discard(history)
+    return Katz(words, bigrams, tokens, types, math.log10(unknown))
 
 
 def _model_blocks(table: DataFrame, kind: int, buckets: int) -> DataFrame:
@@ -246,7 +267,7 @@ def _model_blocks(table: DataFrame, kind: int, buckets: int) -> DataFrame:
             for b in range(buckets):
                 s, e = cut[b], cut[b + 1]
                 if e > s:
-                    yield [b + (kind - 1) * WORD_BUCKETS, 0, 0, joined(key[s:e], *(v[s:e] for v in values))]
+                    yield [b, 0, 0, joined(spaced(key[s:e]), *(v[s:e] for v in values))]
 
         for batch in batches:
             held.append([c.to_numpy(zero_copy_only=False) for c in batch.columns])
@@ -268,7 +289,7 @@ def _block(row: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, _BLOCK, strict=True)], schema=_BLOCK)
 
 
-def _entries(key: np.ndarray, row: np.ndarray, rows: int, buckets: int, ahead: int, flush: int):
+def _entries(key: np.ndarray, row: np.ndarray, rows: int, buckets: int, flush: int):
     """Blocks of one flush: its distinct keys in order, how often each comes, and in which rows."""
     order = np.argsort(key)
     key, row = key[order], row[order]
@@ -281,7 +302,7 @@ def _entries(key: np.ndarray, row: np.ndarray, rows: int, buckets: int, ahead: i
     for b in range(buckets):
         s, e = cut[b], cut[b + 1]
         if e > s:
-            yield _block([b + ahead, 1, flush, joined(spaced(names[s:e]), _small(n[s:e]), row[end[s] : end[e]])])
+            yield _block([b, 1, flush, joined(spaced(names[s:e]), _small(n[s:e]), row[end[s] : end[e]])])
 
 
 def score(docs: DataFrame, model: Katz, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -291,33 +312,43 @@ def score(docs: DataFrame, model: Katz, id_col: str = "doc_id", text_col: str =
     has the end alone. Repeated rows get a row each. A model of no text knows no token:
     its base gives each one the same share, and the model all of it to the unknown word.
     ``base_score`` adds a half to each count of a word and of one unknown word.
+
+    The documents are read once for the words and once for each part of the bigrams, and must come in the same order
+    each time, as they do from files: sums are kept by place. If their texts come in another order, that is an error.
     """
     table = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"), F.col(id_col).alias("doc_id"), *keep)
     rest = table.drop("_text").schema
     space = model.tokens + 0.5 * (model.types + 1)
     unknown, train_tokens = (math.log10(0.5 / space), model.unknown), model.tokens
 
-    def deal(batches):
+    def deal(batches, part):
+        """Of the words, with the other columns, or of a part of the bigrams; each flush with a digest of its texts."""
         from pyspark import TaskContext
 
         flush = TaskContext.get().partitionId() << 32
         for seq, row, parts in _flushes(batches):
             n = int(row[-1]) + 1
-            info = pa.Table.from_batches(parts).combine_chunks()
-            info = info.append_column("n_tokens", pa.array(np.bincount(row, minlength=n) - 1))
-            sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, info.schema) as out:
-                out.write_table(info)
-            yield _block([-1, 1, flush, sink.getvalue().to_pybytes()])
-            del info, sink, parts
-            yield from _entries(seq, row, n, WORD_BUCKETS, 0, flush)
-            follows = row[1:] == row[:-1]
-            key, row = pair_hash(seq[:-1][follows], seq[1:][follows]), row[1:][follows]
-            del seq, follows
-            yield from _entries(key, row, n, PAIR_BUCKETS, WORD_BUCKETS, flush)
+            digest = struct.pack("<I", zlib.crc32(seq))
+            if part is None:
+                info = pa.Table.from_batches(parts).combine_chunks()
+                info = info.append_column("n_tokens", pa.array(np.bincount(row, minlength=n) - 1))
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, info.schema) as out:
+                    out.write_table(info)
+                yield _block([-1, 1, flush, digest + sink.getvalue().to_pybytes()])
+                del info, sink, parts
+                yield from _entries(seq, row, n, WORD_BUCKETS, flush)
+            else:
+                yield _block([-1, 1, flush, digest])
+                del parts
+                at = np.flatnonzero(row[1:] == row[:-1])
+                at = at[pair_part(seq[at], seq[at + 1]) == part]
+                key, row = pair_hash(seq[at], seq[at + 1]), row[at]
+                del seq, at
+                yield from _entries(key, row, n, PAIR_BUCKETS // PARTS, flush)
             flush += 1
 
-    def look_up(batches):
+    def look_up(batches, of_words):
         bucket, held, keys, values = None, [], None, []
         for batch in batches:
             for i in range(len(batch)):
@@ -328,7 +359,8 @@ def score(docs: DataFrame, model: Katz, id_col: str = "doc_id", text_col: str =
                     yield _block([0, -1, flush, data])
                     continue
                 if part == 0:
-                    held.append(parted(data))
+                    key, *rest_of = parted(data)
+                    held.append([placed(key), *rest_of])
                     continue
                 if keys is None:
                     columns = [np.concatenate(x) for x in zip(*held, strict=True)] if held else [np.zeros(0, U64), np.zeros(0), np.zeros(0)]
@@ -339,7 +371,7 @@ def score(docs: DataFrame, model: Katz, id_col: str = "doc_id", text_col: str =
                 at = np.searchsorted(keys, names)
                 at[at == len(keys)] = 0
                 known = keys[at] == names if len(keys) else np.zeros(len(names), bool)
-                if bucket < WORD_BUCKETS:
+                if of_words:
                     event = names != U64(BEGIN)
                     base = np.where(event, unknown[0], 0.0)
                     full = np.where(event, unknown[1], 0.0)
@@ -354,7 +386,10 @@ def score(docs: DataFrame, model: Katz, id_col: str = "doc_id", text_col: str =
                 yield _block([0, len(out), flush, joined(*out)])
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        info = pa.ipc.open_stream(next(d for d, p in zip(pdf["data"], pdf["part"], strict=True) if p < 0)).read_pandas()
+        marks = [d for d, p in zip(pdf["data"], pdf["part"], strict=True) if p < 0]
+        if len(marks) != 1 + PARTS or len({m[:4] for m in marks}) > 1:
+            raise ValueError("the documents came in another order when they were read again")
+        info = pa.ipc.open_stream(max(marks, key=len)[4:]).read_pandas()
         total = np.zeros((3, len(info)))
         for data, part in zip(pdf["data"], pdf["part"], strict=True):
             if part > 0:
@@ -363,9 +398,14 @@ def score(docs: DataFrame, model: Katz, id_col: str = "doc_id", text_col: str =
         return info.assign(n_known=total[2].round().astype(np.int64), train_tokens=train_tokens, base_score=total[1], score=total[0])
 
     words = model.words.select("w", F.col("n").cast("double"), F.col("log_p") + F.col("log_weight"))
-    blocks = table.mapInArrow(deal, BLOCK).unionAll(_model_blocks(words, 1, WORD_BUCKETS)).unionAll(
-        _model_blocks(model.bigrams.select("h", "w", "gain"), 2, PAIR_BUCKETS))
-    looked = blocks.repartition(PAIR_BUCKETS + WORD_BUCKETS, "bucket").sortWithinPartitions("bucket", "part", "flush").mapInArrow(look_up, BLOCK)
-    looked = written(looked, "katz-sums", BATCH_BLOCKS)
+
+    def looked_up(part: int | None, known: DataFrame, buckets: int) -> DataFrame:
+        blocks = table.mapInArrow(lambda batches: deal(batches, part), BLOCK).unionAll(known)
+        dealt = blocks.repartition(buckets, "bucket").sortWithinPartitions("bucket", "part", "flush")
+        return written(dealt.mapInArrow(lambda batches: look_up(batches, part is None), BLOCK), "katz-sums", BATCH_BLOCKS)
+
+    looked = [looked_up(None, _model_blocks(words, 1, WORD_BUCKETS), WORD_BUCKETS)]
+    for part, bigrams in enumerate(model.parts):
+        looked.append(looked_up(part, _model_blocks(bigrams.select("h", "w", "gain"), 2, PAIR_BUCKETS // PARTS), PAIR_BUCKETS // PARTS))
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rest), "n_tokens long, n_known long, train_tokens long, base_score double, score double"])
-    return looked.groupBy("flush").applyInPandas(add, schema)
+    return reduce(DataFrame.unionAll, looked).groupBy("flush").applyInPandas(add, schema)

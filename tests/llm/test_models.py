@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lodestone.llm import ann, katz, toxicity
-from lodestone.llm.blocks import utf8
+from lodestone.llm.blocks import utf8, written
 from lodestone.llm.queries import llm_queries
 
 DOCS = "doc_id long, text string, h string, w string, kind string, flush string, n_tokens string"
@@ -81,6 +81,28 @@ def test_katz_against_slow_model(spark, seed):
         assert sum(slow.p(h, w) for w in slow.uni) + slow.p(h, "unknown") == pytest.approx(1)
 
 
+def test_katz_goes_by_parts_of_the_bigrams(spark, monkeypatch):
+    docs = docs_of(spark, list(enumerate(lm_texts(5))))
+    names = []
+    monkeypatch.setattr(katz, "written", lambda df, name, *rest: names.append(name) or written(df, name, *rest))
+    model = katz.fit(docs)
+    pairs = {(a, b) for t in lm_texts(5) for s in [["<s>", *t.split(), "</s>"]] for a, b in zip(s, s[1:], strict=False)}
+    own = [p.select("h", "w").toPandas().to_numpy(np.int64).view(np.uint64) for p in model.parts]
+    assert len(own) == katz.PARTS > 1 and model.bigrams.count() == sum(map(len, own)) == len(pairs)
+    assert all(len(p) and (katz.pair_part(p[:, 0].copy(), p[:, 1].copy()) == i).all() for i, p in enumerate(own))
+    assert katz.score(docs, model).count() == 60
+    assert names.count("katz-pairs") == names.count("katz-bigrams") == katz.PARTS and names.count("katz-sums") == 1 + katz.PARTS
+
+
+def test_katz_notices_documents_in_another_order(spark):
+    docs = docs_of(spark, list(enumerate(lm_texts(6))))
+    model = katz.fit(docs)
+    new = F.udf(lambda: str(random.SystemRandom().random())).asNondeterministic()
+    other = docs.withColumn("text", F.concat_ws(" ", "text", new()))
+    with pytest.raises(Exception, match="in another order"):
+        katz.score(other, model).collect()
+
+
 def test_katz_of_nothing(spark):
     docs = docs_of(spark, [(1, "a b"), (2, None)])
     model = katz.fit(docs, F.lit(False))
