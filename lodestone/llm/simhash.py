@@ -30,7 +30,9 @@ MAX_DISTANCE = 4
 #: Buckets that words are dealt to, a power of two. Memory of a task: the fingerprints that have a word in its bucket.
 BUCKETS = 64
 #: Words that a bucket holds at a time.
-SLICE_WORDS = 2_000_000
+SLICE_WORDS = 1_000_000
+#: Texts that go to Python at a time.
+BATCH_TEXTS = 1024
 CODE_BITS = 24
 
 
@@ -73,6 +75,8 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             data = raw.tobytes()
             fps = np.fromiter((fingerprint(data[s:e], width) for s, e in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)), U64, len(at) - 1)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(fps.view(np.int64))], names=["doc_id", "key", "fp"])
+            del raw, at, data, fps
+        release()
 
     return tables.mapInArrow(run, f"doc_id {kind}, key long, fp long")
 
@@ -160,6 +164,8 @@ def near_links(distinct: DataFrame, distance: int = MAX_DISTANCE, buckets: int =
         release()
         fps = np.unique(np.frombuffer(b"".join(pdf["fps"]), U64))
         a, b = meet(fps, int(pdf["bucket"].iloc[0]), buckets, distance)
+        del fps
+        release()  # the worker waits beside the stages that follow
         return pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
 
     dealt = distinct.select("fp").mapInArrow(deal, "bucket int, fps binary")
@@ -168,7 +174,7 @@ def near_links(distinct: DataFrame, distance: int = MAX_DISTANCE, buckets: int =
 
 def _grouped(docs: DataFrame, id_col: str, text_col: str, width: int, distance: int, buckets: int) -> tuple[DataFrame, DataFrame]:
     """(doc_id, key, fp) of all rows; (fp, component, least) of all fingerprints, the first id and key of each."""
-    fps = written(fingerprints(docs, id_col, text_col, width), "simhash")
+    fps = written(fingerprints(docs, id_col, text_col, width), "simhash", BATCH_TEXTS)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("key").alias("key")))
     distinct = written(fps.groupBy("fp").agg(first.alias("least")), "simhash-distinct")
     parts = connected_components(near_links(distinct, distance, buckets))

@@ -9,7 +9,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from lodestone.llm import decontaminate, graph, simhash
-from lodestone.llm.blocks import NOT_WORD, Words, utf8
+from lodestone.llm.blocks import NOT_WORD, Words, utf8, written
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 BENCH_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -118,6 +118,13 @@ def test_first_of_groups_keeps_one_each(spark):
     assert sorted(((r["doc_id"], r["text"]) for r in got.collect()), key=str) == sorted([(2, "a b c d e f g"), (9, "other words stand here alone"), (None, "q r s t u"), (1, None)], key=str)
 
 
+def test_texts_go_to_python_some_at_a_time(spark, monkeypatch):
+    rows = {}
+    monkeypatch.setattr(simhash, "written", lambda df, name, batch_rows=None: rows.update({name: batch_rows}) or written(df, name, batch_rows))
+    assert simhash.first_of_groups(docs_of(spark, [(1, "a b"), (2, "a b"), (3, "c")])).count() == 2
+    assert rows["simhash"] <= 1024
+
+
 def test_empty_tables(spark):
     none = docs_of(spark, [])
     assert simhash.simhash_components(none).count() == 0
