@@ -40,12 +40,14 @@ def pack(values: np.ndarray) -> bytes:
     n = len(values)
     blocks = -(-n // BLOCK)
     stop = np.minimum((np.arange(n) // BLOCK + 1) * BLOCK, n)  # where each id's block ends
-    width = _widths(values)
-    choice = np.full(n, -1, np.int8)
-    for selector in range(15, 1, -1):  # the last that fits holds the most ids
-        choice[_fitting(width, stop, selector)] = selector
-    choice[_fitting(width, stop, 0)] = 0
-    choice[choice < 0] = ESCAPE
+    width = np.zeros((blocks, BLOCK), np.int8)  # whatever is past the end fits
+    width.ravel()[:n] = _widths(values)
+    low, high = int(width.ravel()[:n].min(initial=64)), int(width.max(initial=0))
+    choice = np.full(width.shape, ESCAPE, np.int8)
+    for selector in [*range(min(15, int(np.searchsorted(BITS[2:], high)) + 2), 1, -1), 0]:  # the last that fits holds the most ids
+        if low <= BITS[selector]:
+            choice[_fitting(width, selector)] = selector
+    choice = choice.ravel()[:n]
     step = np.minimum(COUNTS[choice], stop - np.arange(n))
     at = np.arange(blocks) * BLOCK
     block = np.arange(blocks)
@@ -71,14 +73,16 @@ def pack(values: np.ndarray) -> bytes:
     return MAGIC + struct.pack("<III", n, len(words), len(escaped)) + offsets.tobytes() + words.astype("<u8").tobytes() + values[escaped].astype("<u8").tobytes()
 
 
-def _fitting(width: np.ndarray, stop: np.ndarray, selector: int) -> np.ndarray:
-    """Where a word of this selector can start: its ids fit, or all to the block's end do."""
-    small = np.flatnonzero(width <= BITS[selector])
-    if not len(small):
-        return small
-    last = np.flatnonzero(np.append(np.diff(small) > 1, True))  # of each run of ids that fit
-    end = np.repeat(small[last] + 1, np.diff(np.append(-1, last)))
-    return small[(end - small >= COUNTS[selector]) | (end >= stop[small])]
+def _fitting(width: np.ndarray, selector: int) -> np.ndarray:
+    """Where in blocks a word of this selector can start: its ids fit, or all to the block's end do."""
+    fits = width <= BITS[selector]
+    ahead = 1  # ids that are known to fit from a place on
+    while ahead < COUNTS[selector]:
+        step = min(ahead, int(COUNTS[selector]) - ahead)
+        more = fits.copy()
+        more[:, :-step] &= fits[:, step:]
+        fits, ahead = more, ahead + step
+    return fits
 
 
 def _widths(values: np.ndarray) -> np.ndarray:
@@ -148,9 +152,9 @@ class WordLibrary:
         self.mark = alone[0] if len(alone) == 1 else None
 
     def __call__(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        between = f" {MARK} ".encode()
+        between = f" {MARK}".encode()
         chunks = [pieces[i : i + JOINED] for i in range(0, len(pieces), JOINED)]
-        joined = ids_of(self.tokenizer, [between.join(c).decode() for c in chunks]) if self.mark is not None else [[]] * len(chunks)
+        joined = ids_of(self.tokenizer, [between.join(p if p[:1].isspace() else b" " + p for p in c).decode() for c in chunks]) if self.mark is not None else [[]] * len(chunks)
         flat, sizes = [], []
         for chunk, ids in zip(chunks, joined, strict=True):
             ids = np.array(ids, np.int32)
@@ -215,7 +219,7 @@ def encoder(path: str) -> PieceEncoder:
 
 
 #: Bytes of text encoded at a time, but for a single longer one.
-TEXT_SLICE = 1 << 21
+TEXT_SLICE = 1 << 22
 
 
 def write_tokens(docs: DataFrame, tokenizer: str, path: str | None = None, id_col: str = "doc_id",

@@ -95,6 +95,34 @@ def test_pack_round_trip(seed):
         assert np.array_equal(tokens.unpack(tokens.pack(np.zeros(n, np.uint64))), np.zeros(n))
 
 
+@pytest.mark.parametrize("selector", [0, 2, 9, 12, 15])
+def test_words_start_where_all_their_ids_fit(selector):
+    rng = np.random.default_rng(selector)
+    bits, count = int(tokens.BITS[selector]), int(tokens.COUNTS[selector])
+    width = np.where(rng.random((3, tokens.BLOCK)) < 1 / count, bits + 1, bits).astype(np.int8)
+    want = [[bool((row[i : i + count] <= bits).all()) for i in range(len(row))] for row in width]
+    assert tokens._fitting(width, selector).tolist() == want
+
+
+def test_joined_pieces_have_no_more_space_than_they_need():
+    library = tokens.encoder(tokenizer_path()).library
+    seen = []
+
+    class Heard:
+        def encode_batch_fast(self, texts, add_special_tokens):
+            seen.extend(texts)
+            return library.tokenizer.encode_batch_fast(texts, add_special_tokens=add_special_tokens)
+
+    own = tokens.WordLibrary(Heard())
+    seen.clear()
+    some = [b" the", b"Don't", b"\nend", b".'s", b"\x0b", b" x \x01", b" last"]
+    flat, sizes = own([p for p in some if b"\x01" not in p])
+    assert seen == [" the \x01 Don't \x01\nend \x01 .'s \x01\x0b \x01 last"]
+    alone = [library.tokenizer.encode(p.decode(), add_special_tokens=False).ids for p in some]
+    assert sizes.tolist() == [len(a) for p, a in zip(some, alone, strict=True) if b"\x01" not in p]
+    assert own(some)[0].tolist() == sum(alone, []) and len(flat) < len(own(some)[0])
+
+
 def encoded(own, texts):
     raw, offsets, _ = utf8(pa.array(texts))
     return own.encode(raw, offsets)
