@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lodestone.llm.blocks import KEPT, LOWER, U64, freed_shuffles, release, slices, utf8
+from lodestone.llm.blocks import KEPT, LOWER, SPACE, U64, freed_shuffles, release, slices, utf8
 from lodestone.llm.pieces import JOINED, PieceEncoder, at_spaces, flat_ids, ids_of, no_cuts, tokenizers_file
 from lodestone.session import scratch_path
 
@@ -144,31 +144,51 @@ def drops_spaces(spec: dict) -> bool:
 
 
 class WordLibrary:
-    """The ids of pieces by the tokenizers library, many a call: a mark between them tells where each one's ids end."""
+    """The ids of pieces by the tokenizers library, many a call.
 
-    def __init__(self, tokenizer):
+    Pieces of letters alone are words: where the tokenizer ends a word's last token with a suffix, that tells where
+    each one's ids end. Between others a mark tells it.
+    """
+
+    def __init__(self, tokenizer, suffix: str | None = None):
         self.tokenizer = tokenizer
         alone = ids_of(tokenizer, [MARK])[0]
         self.mark = alone[0] if len(alone) == 1 else None
+        vocab = tokenizer.get_vocab() if suffix else {}
+        self.ends = np.zeros(max(vocab.values(), default=0) + 1, bool)
+        self.ends[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
 
     def __call__(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        between = f" {MARK}".encode()
-        chunks = [pieces[i : i + JOINED] for i in range(0, len(pieces), JOINED)]
-        joined = ids_of(self.tokenizer, [between.join(p if p[:1].isspace() else b" " + p for p in c).decode() for c in chunks]) if self.mark is not None else [[]] * len(chunks)
+        texts = [p.decode() for p in pieces]
+        other = np.fromiter((not t.strip(" \t\n\v\f\r").isalpha() for t in texts), bool, len(texts)) if self.ends.any() else np.ones(len(texts), bool)
+        order = np.argsort(other, kind="stable")
+        texts, words = [texts[i] for i in order.tolist()], len(texts) - int(other.sum())
         flat, sizes = [], []
-        for chunk, ids in zip(chunks, joined, strict=True):
-            ids = np.array(ids, np.int32)
-            marks = np.flatnonzero(ids == self.mark)
-            if len(marks) == len(chunk) - 1 and self.mark is not None:
-                flat.append(np.delete(ids, marks))
-                sizes.append(np.diff(np.concatenate([[-1], marks, [len(ids)]])) - 1)
-            else:  # a piece has the mark itself
-                own, size = flat_ids(ids_of(self.tokenizer, [p.decode() for p in chunk]))
+        for first, last, between in ((0, words, ""), (words, len(texts), f" {MARK}")):
+            chunks = [texts[i : min(i + JOINED, last)] for i in range(first, last, JOINED)]
+            spaced = [between.join(t if t[:1].isspace() else f" {t}" for t in c) for c in chunks] if not between or self.mark is not None else []
+            for chunk, ids in zip(chunks, ids_of(self.tokenizer, spaced) if spaced else [[]] * len(chunks), strict=True):
+                own, size = self._parted(chunk, np.array(ids, np.int32), between)
                 flat.append(own)
                 sizes.append(size)
-        return np.concatenate(flat), np.concatenate(sizes)
+        size, back = np.concatenate(sizes), np.argsort(order)
+        start, size = (np.cumsum(size) - size)[back], size[back]
+        return np.concatenate(flat)[np.repeat(start - (np.cumsum(size) - size), size) + np.arange(size.sum())], size
+
+    def _parted(self, chunk: list[str], ids: np.ndarray, between: str) -> tuple[np.ndarray, np.ndarray]:
+        if not between:
+            last = np.flatnonzero(self.ends[ids])
+            if len(last) == len(chunk) and last[-1] == len(ids) - 1:  # a piece of letters is one word at least, so each is one
+                return ids, np.diff(np.append(-1, last))
+        elif self.mark is not None:
+            marks = np.flatnonzero(ids == self.mark)
+            if len(marks) == len(chunk) - 1:
+                return np.delete(ids, marks), np.diff(np.concatenate([[-1], marks, [len(ids)]])) - 1
+        return flat_ids(ids_of(self.tokenizer, chunk))  # a piece has the mark itself, or letters that become more than one word
 
 
+#: Letters lowered, and all white space, which such a tokenizer drops, as a space: fewer distinct pieces.
+LOWER_SPACED = np.where(SPACE, 0x20, LOWER).astype(np.uint8)
 LETTER, PUNCTUATION = np.zeros(256, bool), np.zeros(256, bool)
 LETTER[[*range(65, 91), *range(97, 123)]] = True
 PUNCTUATION[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
@@ -194,11 +214,12 @@ class WordEncoder(PieceEncoder):
             out[1:] |= LETTER[raw[:-1]] & ends[raw[1:]]
             return out
 
-        super().__init__(WordLibrary(tokenizer), cuts)
+        whole = any(t["content"].isalpha() for t in spec.get("added_tokens", []))  # such a token has no suffix
+        super().__init__(WordLibrary(tokenizer, None if whole else spec["model"].get("end_of_word_suffix")), cuts)
 
     def encode(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if self.lowers and len(raw):
-            lowered = LOWER[raw]
+            lowered = LOWER_SPACED[raw]
             if not any(s in lowered.tobytes() for s in self.special):
                 raw = np.where(np.append(raw[1:], 0) < 0x80, lowered, raw)
         return super().encode(raw, offsets)

@@ -123,6 +123,28 @@ def test_joined_pieces_have_no_more_space_than_they_need():
     assert own(some)[0].tolist() == sum(alone, []) and len(flat) < len(own(some)[0])
 
 
+def test_words_of_letters_are_joined_without_marks():
+    library = tokens.encoder(tokenizer_path()).library
+    seen = []
+
+    class Heard:
+        def get_vocab(self):
+            return library.tokenizer.get_vocab()
+
+        def encode_batch_fast(self, texts, add_special_tokens):
+            seen.extend(texts)
+            return library.tokenizer.encode_batch_fast(texts, add_special_tokens=add_special_tokens)
+
+    own = tokens.WordLibrary(Heard(), "</w>")
+    for some in ([b" the", b"\nend", b"Word", " \u00e9cole".encode()], [b" the", b"don't", b"x", b"  ", b" 12"], [" \u0130i".encode(), b"x"], ["\u0958".encode()], [b"!"]):
+        seen.clear()
+        flat, sizes = own(some)
+        alone = [library.tokenizer.encode(p.decode(), add_special_tokens=False).ids for p in some]
+        assert sizes.tolist() == list(map(len, alone)) and flat.tolist() == sum(alone, [])
+        if some[0] == b" the":
+            assert seen == ([" the\nend Word \u00e9cole"] if len(some) == 4 else [" the x", " don't \x01   \x01 12"])
+
+
 def encoded(own, texts):
     raw, offsets, _ = utf8(pa.array(texts))
     return own.encode(raw, offsets)
