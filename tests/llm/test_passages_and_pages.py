@@ -133,6 +133,44 @@ def test_edited_passages_down_to_the_stated_share_are_found(spark):
     assert len(found) >= 0.99 * len(kind)
 
 
+@pytest.mark.parametrize("held", [None, 1, 3])
+def test_occurrences_are_matched_all_with_all_or_with_the_first(held):
+    n = np.array([1, 2, 3, 4, 9])
+    first = np.repeat(np.cumsum(n) - n, n)
+    got = sorted((int(i), int(j)) for a, b in passages._pairs(first, np.repeat(n, n), held) for i, j in zip(a, b, strict=True))
+    want = [(f + i, f + j) for f, size in zip(np.cumsum(n) - n, n, strict=True) for i in range(size if held is None or size <= held else 1) for j in range(i + 1, size)]
+    assert got == sorted(want)
+
+
+def test_matches_are_linked_in_few_batches_as_pair_by_pair(spark):
+    rng = random.Random(7)
+    rows, want = [], []
+    for a in range(40):
+        own = sorted({(x, x + rng.choice([3, 40])) for x in rng.sample(range(200), rng.randrange(1, 30))})
+        rows += [(a, a + 100, *m) for m in own] * (1 + a % 2)
+        own = np.array(own)
+        want += [(a, a + 100, [v for r in c for v in r]) for c in passages.chains(own[:, 0], own[:, 1], 4) if len(c) > 1 or c[0][2] > 4]
+    table = passages._rows(passages.MATCH, *np.array(rows).T)
+    parts = [bytearray(passages._blobs(table[i::3], passages._pair_hash(table[i::3]) % np.uint64(5)).column(1)[k].as_py()) for i in range(3) for k in range(5)]
+    blobs = [(k % 5, p) for k, p in enumerate(parts)]
+    got = passages._chained(spark.createDataFrame(blobs, "bucket int, rows binary"), 4, 4)
+    assert sorted((r["a"], r["b"], list(r["chain"])) for r in got.collect()) == sorted(want)
+
+
+def test_without_a_limit_passages_are_found_beside_many_partial_quotations(spark):
+    rng = random.Random(11)
+    word = lambda: f"{rng.choice('bcdfg')}{rng.randrange(10**6)}"
+    rows, want = [], set()
+    for held in (40, 45, 49):
+        for _ in range(4):
+            p = [word() for _ in range(60)]
+            for own in (p, p, *(p[k : k + held] for k in (rng.randrange(61 - held) for _ in range(20)))):
+                rows.append((len(rows), " ".join([*(word() for _ in range(rng.randrange(40))), *own, *(word() for _ in range(rng.randrange(40)))])))
+            want |= {(len(rows) - 22, len(rows) - 21), (len(rows) - 21, len(rows) - 22)}
+    got = passages.repeated_passages(docs_of(spark, rows), held=None).collect()
+    assert {(r["doc_id"], r["other_id"]) for r in got} == want
+
+
 @pytest.mark.parametrize("quoting", [1, 5])
 def test_a_passage_is_found_beside_partial_quotations(spark, quoting):
     rng = random.Random(quoting)
