@@ -171,6 +171,58 @@ def test_without_a_limit_passages_are_found_beside_many_partial_quotations(spark
     assert {(r["doc_id"], r["other_id"]) for r in got} == want
 
 
+def test_passages_are_found_though_each_of_their_seeds_is_common(spark):
+    rng = random.Random(13)
+    word = lambda: f"{rng.choice('bcdfg')}{rng.randrange(10**6)}"
+    rows, want = [], set()
+    for edits in (0, 0, 0, 0, 3, 3, 3, 3):
+        p = [word() for _ in range(60)]
+        q = [word() if k in set(rng.sample(range(1, 59), edits)) else w for k, w in enumerate(p)]
+        for own in (p, q, *[p[:49]] * 12, *[p[11:]] * 12):  # two hold it, 24 others hold 49 of its 60 words
+            rows.append((len(rows), " ".join([*(word() for _ in range(rng.randrange(40))), *own, *(word() for _ in range(rng.randrange(40)))])))
+        want |= {(len(rows) - 26, len(rows) - 25), (len(rows) - 25, len(rows) - 26)}
+    got = passages.repeated_passages(docs_of(spark, rows)).collect()
+    assert {(r["doc_id"], r["other_id"]) for r in got} == want
+    assert all(r["last_word"] - r["first_word"] >= 57 for r in got)
+
+
+def test_common_seeds_link_what_all_pairs_of_seeds_link(spark):
+    rng = random.Random(17)
+    word = lambda: f"{rng.choice('bcdfg')}{rng.randrange(10**6)}"
+    p = [word() for _ in range(140)]
+    rows = []
+    for i in range(60):  # stretches of one text, some with changed words, a common line, one word said many times
+        first = rng.randrange(90)
+        own = [word() if i % 3 and rng.random() < 0.06 else w for w in p[first : first + rng.randrange(30, 90)]]
+        line = "common line of nine words that many texts share".split()
+        rows.append((i, " ".join([*line, *(word() for _ in range(rng.randrange(30))), *own, *(word() for _ in range(rng.randrange(30))), *["For"] * (i % 4)])))
+
+    got, whole = ({(r["doc_id"], r["other_id"]) for r in passages.repeated_passages(docs_of(spark, rows), held=held).collect()} for held in (passages.HELD, None))
+    near = {i: {j for k, j in got if k == i} for i, _ in rows}
+    # where a passage ends by a word or two decides whether a pair follows from others
+    assert len(got & whole) >= 0.95 * len(whole) and len(whole) > 100
+    assert all((i, j) in got or near[i] & near[j] for i, j in whole)
+
+
+def test_two_common_seeds_are_left_to_the_earlier_document_of_a_passage():
+    at = np.arange(2, 200, 2)
+    seeds = passages._rows(passages.SEED, at.astype("u8"), np.full(len(at), 9), at)
+    cover = lambda *runs: np.array([(9, 4, 0, 120, *r) for r in runs], passages.COVER)
+    every = {(int(x), int(y)) for x in at for y in at if passages.LEAST_APART <= y - x <= passages.MOST_APART}
+    pairs = lambda rows: {(int(x), int(y)) for x, y in zip(rows["at"], rows["then"], strict=True)}
+    assert pairs(passages._two_by_two(seeds, cover()[:0], 4)) == every
+    got = passages._two_by_two(seeds, cover((0, 50, 7), (51, 120, 7)), 4)
+    equal = lambda x: 0 < x < 46 or 51 < x < 116
+    assert pairs(got) == {(x, y) for x, y in every if not (equal(x) and equal(y))}
+    assert all((r["by"] == 4) == (r["then"] + 4 <= 120) for r in got)
+    other = passages._two_by_two(seeds, cover((0, 50, 7), (51, 120, 8)), 4)
+    assert pairs(other) == pairs(got) | {(x, y) for x, y in every if x < 46 and 51 < y < 116}
+    none = np.zeros(0, bool)
+    assert list(passages._across(none, none)) == []
+    group, part = np.array([1, 0, 0, 0, 1, 1, 0], bool), np.array([1, 0, 1, 1, 1, 1, 1], bool)
+    assert sorted((int(x), int(y)) for i, j in passages._across(group, part) for x, y in zip(i, j, strict=True)) == [(0, 2), (0, 3), (1, 2), (1, 3), (2, 3), (5, 6)]
+
+
 @pytest.mark.parametrize("quoting", [1, 5])
 def test_a_passage_is_found_beside_partial_quotations(spark, quoting):
     rng = random.Random(quoting)
