@@ -1,7 +1,9 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from lodestone.llm import htmltext, passages
 from lodestone.llm.queries import llm_queries
@@ -223,6 +225,81 @@ def test_two_common_seeds_are_left_to_the_earlier_document_of_a_passage():
     assert sorted((int(x), int(y)) for i, j in passages._across(group, part) for x, y in zip(i, j, strict=True)) == [(0, 2), (0, 3), (1, 2), (1, 3), (2, 3), (5, 6)]
 
 
+def test_places_of_common_seeds_grow_with_the_documents_that_quote_the_same(spark, monkeypatch):
+    rng = random.Random(19)
+    word = lambda: f"{rng.choice('bcdfg')}{rng.randrange(10**6)}"
+    p, sizes, written = [word() for _ in range(45)], {}, passages.written
+
+    def weighed(df, name, *args):
+        out = written(df, name, *args)
+        if name == "passage-joint":
+            sizes[n] = out.agg(F.sum(F.octet_length("rows"))).first()[0]
+        return out
+
+    monkeypatch.setattr(passages, "written", weighed)
+    for n in (60, 240):
+        rows = [(i, " ".join([*(word() for _ in range(20)), *p, *(word() for _ in range(20))])) for i in range(n)]
+        assert passages.repeated_passages(docs_of(spark, rows)).count() == 0
+    assert 0 < sizes[240] < 5 * sizes[60]
+
+
+def test_places_are_matched_across_two_sides_whatever_is_matched_at_a_time(monkeypatch):
+    rng = np.random.default_rng(3)
+    n = 400
+    rows = passages._rows(passages.JOINT, rng.integers(0, 9, n), rng.integers(0, 4, n), rng.integers(-15, 15, n), rng.integers(0, 50, n), rng.integers(50, 99, n))
+    side = rows["key"] % 2 == 0
+    for one, two in ((side, ~side), (side, side), (side[:0], side[:0])):
+        own = rows[: len(one)]
+        want = set()
+        for x in own[one]:
+            for y in own[two]:
+                if x["code"] == y["code"] and x["by"] != y["by"] and x["key"] != y["key"]:
+                    a, b = sorted((x, y), key=lambda r: r["key"])
+                    want |= {tuple(int(v) for v in (a["key"], b["key"], a[at], b[at])) for at in ("at", "then")}
+        for at_once in (7, 100, 1 << 19):
+            monkeypatch.setattr(passages, "MATCHES", at_once)
+            found = [{tuple(map(int, r)) for r in part} for part in passages._met(own, one, two)]
+            assert set().union(*found) == want
+            whole = [(r[:2], k) for k, part in enumerate(found) for r in part]
+            assert len({pair for pair, _ in whole}) == len(set(whole))  # a pair of documents comes at one time
+
+
+def test_only_chains_without_a_passage_are_left_out_by_bytes_of_words():
+    rng = np.random.default_rng(5)
+    x = rng.integers(0, 1 << 32, 300, dtype="u8").astype("<u4")
+    kept = 0
+    for k in range(300):
+        y = np.where(rng.random(300) < rng.choice([0.1, 0.2, 0.3, 0.6]), rng.integers(0, 1 << 32, 300, dtype="u8"), x).astype("<u4")
+        first, size = int(rng.integers(0, 260)), int(rng.integers(4, 40))
+        size = min(size, 300 - first)
+        y[first : first + size] = x[first : first + size]
+        chain = [(first, first, size)] if k % 2 or size < 9 else [(first, first, 4), (first + size - 4, first + size - 4, 4)]
+        found = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([2]), pa.array([[v for r in chain for v in r]], pa.list_(pa.int32()))], names=["a", "b", "chain"])
+        left = len(passages._Bytes({1: x.astype("u1"), 2: y.astype("u1")}).chains(found, 50, 0.8))
+        b, e = max(0, first - passages.MARGIN), first + size + passages.MARGIN
+        shift = [(s - b, t - b, n) for s, t, n in chain]
+        parts = [q for cost in (passages.MISMATCH, 1) for q in passages.alike_parts(*passages.path(x[b:e], y[b:e], shift, cost), 50, 0.8)]
+        assert left or not parts
+        kept += left
+    assert 0 < kept < 300
+
+
+def test_pairs_that_follow_from_an_earlier_document_are_told_as_one_by_one(spark):
+    rng = random.Random(23)
+    rows = {(*sorted(rng.sample(range(12), 2)), f, f + n, g, g + n) for _ in range(900) for f, g, n in [(rng.randrange(40), rng.randrange(40), rng.randrange(50, 90))]}
+    pairs = passages._rows(passages.PAIR, *np.array(sorted(rows)).T)
+    legs = passages._rows(passages.LEG, *(np.array([(b, a, fa - fb, fb, tb) for a, b, fa, _, fb, tb in sorted(rows)]).T))
+    want = []
+    for a, b, fa, ta, fb, tb in sorted(rows):
+        one, two = ([(c, x - s) for c, d, x, _, s, e in rows if d == side and s <= f and t <= e] for side, f, t in ((a, fa, ta), (b, fb, tb)))
+        want.append(any(c == d and abs(fa + p - fb - q) <= (1 - 0.8) * (ta - fa) for c, p in one for d, q in two))
+    assert passages._told(pairs, legs, 0.8).tolist() == want and 100 < sum(want) < 800
+    assert not passages._told(pairs, legs[:0], 0.8).any()
+    table = spark.createDataFrame([(*r, k) for k, r in enumerate(sorted(rows))], "key_a long, key_b long, from_a long, to_a long, from_b long, to_b long, k long")
+    got = {r["k"] for r in passages._first_pairs(table, 0.8).collect()}
+    assert got == {k for k, told in enumerate(want) if not told}
+
+
 @pytest.mark.parametrize("quoting", [1, 5])
 def test_a_passage_is_found_beside_partial_quotations(spark, quoting):
     rng = random.Random(quoting)
