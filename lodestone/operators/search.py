@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from lodestone.functions.vectors import as_double, dot, unit
 from lodestone.operators import scoring
-from lodestone.operators.bm25 import B, K1, Index, query_weights, range_of, rate, scored_cells
+from lodestone.operators.bm25 import B, K1, SENT_ROWS, Index, query_weights, range_of, rate, scored_cells
 from lodestone.session import settled
 
 # Questions that go to the tasks whole have at most this many rows and terms; more of them are
@@ -204,6 +204,11 @@ def rerank(candidates: DataFrame, scorer: Column, k: int = 5) -> DataFrame:
     return top_k(scored, k, "was").drop("was")
 
 
+def sent(found: DataFrame) -> DataFrame:
+    """Found documents as the side of a join that goes to all tasks while it is small, so that the corpus is not shuffled for it."""
+    return F.broadcast(found) if found.count() <= SENT_ROWS else found
+
+
 def with_vectors(candidates: DataFrame, index: Index, vectors: DataFrame) -> DataFrame:
     """Candidates with the unit vectors of their document and query."""
     documents = index.documents.select("doc_id", F.col("vector").alias("doc_unit"))
@@ -250,7 +255,7 @@ def search_schema(
     retriever: Retriever, corpus: DataFrame, k_retrieve: int = 8, k_final: int = 4
 ) -> DataFrame:
     """Hybrid candidates, reranked by cosine, with the columns of ``corpus``."""
-    candidates = retriever.hybrid_search(k_retrieve)
-    joined = with_vectors(candidates, retriever.index, retriever.vectors)
+    candidates = settled(retriever.hybrid_search(k_retrieve))
+    joined = with_vectors(sent(candidates), retriever.index, retriever.vectors)
     best = rerank(joined, cosine_of_candidates(), k_final)
-    return best.select("query_id", "doc_id", "rank", "score").join(corpus, "doc_id")
+    return sent(settled(best.select("query_id", "doc_id", "rank", "score"))).join(corpus, "doc_id")

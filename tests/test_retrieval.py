@@ -199,6 +199,43 @@ def test_blocks_hold_each_posting_once(stored):
     assert sorted(map(tuple, rows)) == want
 
 
+def test_stored_postings_are_a_value_a_range_and_bucket(stored):
+    """Shuffling and storing them does not grow with the terms of each range."""
+    index = stored[2]
+    chunks, blocks = index.chunks.select("bucket", "range").collect(), index.blocks.select("term", "bucket", "range").collect()
+    assert len(set(chunks)) == len(chunks) == len({(b.bucket, b.range) for b in blocks}) < len(blocks)
+    named = index.terms.select("term", bm25.bucket_of(index.buckets).alias("bucket")).collect()
+    assert scoring.buckets_of(pa.array([r.term for r in named]), index.buckets).tolist() == [r.bucket for r in named]
+    assert {r.term: r.bucket for r in named} == {b.term: b.bucket for b in blocks}
+
+
+def test_terms_are_split_in_tasks_as_in_columns(spark):
+    odd = [chr(c) for c in range(1, 0x3100) if not 0xD800 <= c < 0xE000]
+    rows = [(i, f"A{c}b_C {c}") for i, c in enumerate(odd)] + [(-1, ""), (-2, None), (-3, " _\u2003"), (-4, "ŞİS ΣΑΣ a  A\x1fa")]
+    documents = spark.createDataFrame(rows, "doc_id bigint, text string")
+    want = {r.doc_id: sorted(r.w) for r in documents.select("doc_id", tokenize(F.coalesce("text", F.lit(""))).alias("w")).collect()}
+    got = bm25.bags(documents).collect()
+    assert {r.doc_id: sorted(t for t, n in zip(r.terms, r.counts, strict=True) for _ in range(n)) for r in got} == want
+    assert all(r.length == len(want[r.doc_id]) for r in got)
+
+
+def test_highs_of_chunks_are_those_of_all_blocks(monkeypatch):
+    rng = random.Random(6)
+    monkeypatch.setattr(scoring, "HELD_ROWS", 5)
+    weights, batches = {}, []
+    for bucket in (1, 2, 1):
+        for _ in range(7):
+            own = [(f"{bucket}w{i}", [rng.randint(1, 9) for _ in range(n)], [rng.randint(9, 99) for _ in range(n)]) for i, n in enumerate(rng.sample([1, 2, 40, 70], 3))]
+            for term, tfs, lengths in own:
+                weights.setdefault(term, []).extend(tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * n / 30.0)) for tf, n in zip(tfs, lengths, strict=True))
+            table = pa.table([pa.array(c, t) for c, t in zip(zip(*own, strict=True), (pa.string(), pa.list_(pa.int32()), pa.list_(pa.int32())), strict=True)], names=["term", "tfs", "lengths"])
+            batches.append(pa.record_batch([pa.array([bucket], pa.int32()), pa.array([scoring._chunk(table)], pa.binary())], names=["bucket", "chunk"]))
+    some = pa.Table.from_batches(list(scoring.chunk_highs(batches, 1.5, 0.75, 30.0, 32)))
+    assert all(t.startswith(str(b)) for b, t in zip(some["bucket"].to_pylist(), some["term"].to_pylist(), strict=True)) and some.num_rows < 60
+    got = {r["term"]: (r["df"], r["highs"]) for r in scoring.whole_terms(some.drop_columns(["bucket"]), 32).to_pylist()}
+    assert got == {t: (len(w), pytest.approx(sorted(w, reverse=True)[:32])) for t, w in weights.items()}
+
+
 def test_small_batches_give_the_same(spark, setup):
     *_, index, queries, vectors = setup
     whole = found(search.Retriever(index, queries, vectors).hybrid_search(5))
