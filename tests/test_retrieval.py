@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lodestone.functions.text import tokenize
 from lodestone.operators import bm25, scoring, search
 from lodestone.operators.bm25 import Index, bm25_scores, build_index, scored_cells
+from lodestone.plans import derived
 
 WORDS = "order revenue region customer the discount date_key ship supplier rate".split()
 
@@ -392,3 +393,19 @@ def test_rerank_keeps_order_of_equal_scores(spark):
 def test_context_joins_texts_in_rank_order(spark):
     ranked = spark.createDataFrame([(1, 2, "b"), (1, 1, "a"), (1, 10, "c")], "query_id int, rank int, text string")
     assert search.context_blocks(ranked).first().context == "a\n\nb\n\nc"
+
+
+def test_texts_are_not_shuffled_for_found_documents(spark, data):
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        ranked = spark.createDataFrame([(1, 2, 1), (1, 3, 2)], "query_id bigint, doc_id bigint, rank int")
+        quoted = derived.quoted_by(ranked, spark, data)
+        index = derived.index(spark, data)
+        retriever = search.Retriever(index, derived.questions(spark, data), derived.vectors(spark, data, "query_id"))
+        schema = search.search_schema(retriever, derived.corpus(spark, data))
+        for found in (quoted, schema):
+            plan = found._jdf.queryExecution().executedPlan().toString()
+            assert "BroadcastHashJoin [doc_id" in plan and "SortMergeJoin [doc_id" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
